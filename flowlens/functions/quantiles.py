@@ -27,12 +27,13 @@ def melt(df: DataFrame, columns, keep=()) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    direct_rows: int = DIRECT_ROWS, biggest: int | None = None) -> DataFrame:
+                    direct_rows: int = DIRECT_ROWS, biggest: int | None = None, extra=()) -> DataFrame:
     """Linear-interpolation quantiles per group: keys..., n, q (array, one per prob).
 
     ``biggest``: a known bound on the rows of any group, to save the counting job.
     Groups are report rows (features, protocols, candidate combinations); their number
     is checked against MAX_GROUPS before anything about them reaches the driver.
+    ``extra``: further aggregates over the same groups, in the same pass where possible.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v"))
     if biggest is None:
@@ -40,10 +41,22 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         biggest = counts.agg(F.max("n")).first()[0] or 0
     if biggest <= direct_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return data.groupBy(*keys).agg(F.count("_v").alias("n"), F.percentile("_v", wanted).alias("q"))
+        return df.withColumn("_v", F.col(value).cast("double")).groupBy(*keys).agg(
+            F.count("_v").alias("n"), F.percentile("_v", wanted).alias("q"), *extra)
     if not keys:
-        return refined_quantiles(data.withColumn("_all", F.lit(0)), ["_all"], probs, direct_rows).drop("_all")
-    return refined_quantiles(data, keys, probs, direct_rows)
+        data, df = data.withColumn("_all", F.lit(0)), df.withColumn("_all", F.lit(0))
+        return exact_quantiles_of(df, data, ["_all"], probs, direct_rows, extra).drop("_all")
+    return exact_quantiles_of(df, data, keys, probs, direct_rows, extra)
+
+
+def exact_quantiles_of(df, data, keys, probs, direct_rows, extra) -> DataFrame:
+    found = refined_quantiles(data, keys, probs, direct_rows)
+    if not extra:
+        return found
+    other = df.groupBy(*keys).agg(*extra).withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    # One row per group, at most MAX_GROUPS.
+    return other.join(F.broadcast(found), same).drop(*[f"_{k}" for k in keys])
 
 
 def bracket_rows(data: DataFrame, keys: list[str], brackets: list[tuple]) -> DataFrame:
