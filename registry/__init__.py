@@ -2,7 +2,7 @@
 
 from registry.base import QUERIES, SQL
 from registry import (  # noqa: F401
-    features, profiles,
+    features, profiles, evaluation, rules,
 )
 
 __all__ = ["QUERIES", "SQL"]
