@@ -105,8 +105,13 @@ def feature_breakdown(df: DataFrame, skewed=None) -> DataFrame:
         rows, "feature string, family string, stage int, skewed boolean, transformed string, present boolean")
 
 
-def breakdown_counts(catalog: DataFrame) -> DataFrame:
-    """Features per family: known, present and skewed."""
-    return catalog.groupBy("family").agg(
+def breakdown_counts(df: DataFrame, skewed=None) -> DataFrame:
+    """Features per family: known, present and skewed, with the filled cells of those present."""
+    catalog = feature_breakdown(df, skewed)
+    present = [c for c in numeric_columns(df) if c not in NON_FEATURES and c != "flow_id"]
+    counts = df.agg(*[F.count(c).alias(c) for c in present])
+    filled = counts.unpivot([], counts.columns, "feature", "filled")  # one row per column
+    return (catalog.join(F.broadcast(filled), "feature", "left").groupBy("family").agg(
         F.count(F.lit(1)).alias("known"), F.count_if("present").alias("present"),
-        F.count_if(F.col("skewed") & F.col("present")).alias("skewed"))
+        F.count_if(F.col("skewed") & F.col("present")).alias("skewed"),
+        F.coalesce(F.sum("filled"), F.lit(0)).alias("filled_cells")))

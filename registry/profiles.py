@@ -137,12 +137,12 @@ def box_summary(spark, sf_dir):
 
 
 @query("feature_breakdown", """
-SELECT * FROM (VALUES ('base', 4, 4, 4), ('row', 9, 9, 5), ('calendar', 12, 12, 0), ('interval', 2, 2, 2),
+SELECT family, known, present, skewed, present * (SELECT COUNT(*) FROM events) AS filled_cells FROM (VALUES
+  ('base', 4, 4, 4), ('row', 9, 9, 5), ('calendar', 12, 12, 0), ('interval', 2, 2, 2),
   ('src_window', 4, 4, 2), ('pair_window', 10, 0, 0), ('other', 1, 1, 0)) AS t(family, known, present, skewed)""")
 def feature_breakdown(spark, sf_dir):
-    f = extract_features(scored_flows(spark, sf_dir).drop("y_pred", "anomaly_score").withColumn("extra", F.lit(1.5)), 3)
-    return rows.breakdown_counts(rows.feature_breakdown(f)).withColumns(
-        {c: F.col(c).cast("int") for c in ("known", "present", "skewed")})
+    f = extract_features(flows(spark, sf_dir).withColumn("extra", F.lit(1.5)), 3, size="1 day")
+    return rows.breakdown_counts(f).withColumns({c: F.col(c).cast("int") for c in ("known", "present", "skewed")})
 
 
 @query("prepare_feature_set", """SELECT flow_id, Dur, TotBytes, TotPkts, SrcBytes, TotBytes - SrcBytes AS "DstBytes" FROM {flows} AS f""")
