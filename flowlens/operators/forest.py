@@ -14,10 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from flowlens.functions.quantiles import exact_quantiles
-from flowlens.operators.sampling import hash_cuts, below_cut, key_hash, strata_counts
+from flowlens.operators.sampling import strata_counts
 
-NODE_SCHEMA = ("grp string, tree int, node int, feature int, split double, left int, right int, "
-               "depth double")
+NODE_SCHEMA = "grp string, tree int, node int, feature int, split double, child int, depth double"
 EULER = 0.5772156649015329
 ONE_GROUP = "all"
 
@@ -37,20 +36,18 @@ def feature_share(width: int) -> float:
 def grow_tree(x: np.ndarray, columns: np.ndarray, rng: np.random.Generator) -> list[tuple]:
     """Random splits until rows are alone, alike or at the depth limit.
 
-    A node is (feature, split, left, right, path length credited to rows that end there).
+    A node is (feature, split, child, path length credited to rows that end there); the
+    right child follows the left one, and a leaf is its own child with an endless split.
     """
     limit = math.ceil(math.log2(max(len(x), 2)))
-    nodes, todo = [], [(np.arange(len(x)), 0, -1, 0)]
+    nodes, todo = [None], [(0, np.arange(len(x)), 0)]
     while todo:
-        rows, depth, parent, side = todo.pop()
-        here = len(nodes)
-        if parent >= 0:
-            nodes[parent][2 + side] = here
+        here, rows, depth = todo.pop()
         part = x[rows][:, columns]
         low, high = part.min(axis=0), part.max(axis=0)
         usable = np.flatnonzero(high > low)
         if depth >= limit or len(rows) <= 1 or len(usable) == 0:
-            nodes.append([0, 0.0, here, here, depth + float(expected_depth(len(rows)))])
+            nodes[here] = (0, math.inf, here, depth + float(expected_depth(len(rows))))
             continue
         pick = rng.choice(usable)
         cut = low[pick] + (high[pick] - low[pick]) * rng.random()
@@ -58,10 +55,23 @@ def grow_tree(x: np.ndarray, columns: np.ndarray, rng: np.random.Generator) -> l
         if goes_left.all():  # the cut rounded up to the maximum
             cut = low[pick]
             goes_left = part[:, pick] <= cut
-        nodes.append([int(columns[pick]), float(cut), -1, -1, 0.0])
-        todo.append((rows[goes_left], depth + 1, here, 0))
-        todo.append((rows[~goes_left], depth + 1, here, 1))
-    return [tuple(n) for n in nodes]
+        nodes[here] = (int(columns[pick]), float(cut), len(nodes), 0.0)
+        todo += [(len(nodes), rows[goes_left], depth + 1), (len(nodes) + 1, rows[~goes_left], depth + 1)]
+        nodes += [None, None]
+    return nodes
+
+
+def walk(x: np.ndarray, trees, steps: int) -> np.ndarray:
+    """Mean path length of each row over all trees, one small tree at a time."""
+    flat, width = np.ascontiguousarray(x).ravel(), x.shape[1]
+    line, total = np.arange(len(x)) * width, np.zeros(len(x))
+    for feature, split, child, depth in trees:
+        at = np.zeros(len(x), np.int64)
+        for _ in range(steps):
+            value = flat.take(line + feature.take(at))
+            at = child.take(at) + (value > split.take(at))
+        total += depth.take(at)
+    return total / max(len(trees), 1)
 
 
 @dataclass
@@ -76,20 +86,14 @@ class ForestModel:
     offsets: dict = field(default_factory=dict)
 
     def packed(self) -> dict:
-        """Per group, node arrays of shape (trees, nodes) for vectorised walks."""
+        """Per group: its trees as node arrays, the depth limit and the depth scale."""
         out = {}
         for grp, part in self.nodes.groupby("grp"):
-            tree = part["tree"].to_numpy()
-            shape = (tree.max() + 1, part["node"].max() + 1)
-            at = (tree, part["node"].to_numpy())
-            arrays = []
-            for name, kind in (("feature", np.int32), ("split", float), ("left", np.int32),
-                               ("right", np.int32), ("depth", float)):
-                a = np.zeros(shape, kind)
-                a[at] = part[name].to_numpy()
-                arrays.append(a)
-            steps = math.ceil(math.log2(max(self.sizes[grp], 2)))
-            out[grp] = (*arrays, steps, float(expected_depth(self.sizes[grp])))
+            trees = [tuple(t[c].to_numpy(kind) for c, kind in (
+                ("feature", np.int64), ("split", float), ("child", np.int64), ("depth", float)))
+                for _, t in part.groupby("tree")]
+            size = self.sizes[grp]
+            out[grp] = (trees, math.ceil(math.log2(max(size, 2))), float(expected_depth(size)))
         return out
 
     def transform(self, df: DataFrame, out: str = "raw_score") -> DataFrame:
@@ -102,19 +106,11 @@ class ForestModel:
             result = np.full(len(grp), np.nan)
             x = values.to_numpy(dtype=float)
             names = grp.to_numpy()
-            for name, (feature, split, left, right, depth, steps, scale) in shared.value.items():
+            for name, (trees, steps, scale) in shared.value.items():
                 rows = np.flatnonzero(names == name)
-                trees = np.arange(feature.shape[0])[None, :]
-                for begin in range(0, len(rows), 2048):
-                    part = rows[begin:begin + 2048]
-                    data = x[part]
-                    at = np.zeros((len(part), feature.shape[0]), np.int32)
-                    line = np.arange(len(part))[:, None]
-                    for _ in range(steps):
-                        smaller = data[line, feature[trees, at]] <= split[trees, at]
-                        at = np.where(smaller, left[trees, at], right[trees, at])
-                    mean = depth[trees, at].mean(axis=1)
-                    result[part] = -np.exp2(-mean / max(scale, 1e-12))
+                for begin in range(0, len(rows), 4096):
+                    part = rows[begin:begin + 4096]
+                    result[part] = -np.exp2(-walk(x[part], trees, steps) / max(scale, 1e-12))
             return pd.Series(result)
 
         group = F.col(self.group).cast("string") if self.group else F.lit(ONE_GROUP)
@@ -175,12 +171,19 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
         return ForestModel(cols, group, {}, pd.DataFrame(columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")]))
     draws = {g: min(max_samples, n) for g, n in counts.items()}
     pool = {g: min(n, trees * draws[g]) for g, n in counts.items()}
-    cuts = hash_cuts(df, key, group, counts, {g: [pool[g]] for g in counts}, seed)
-    chosen = df.where(below_cut(key, group, {g: cuts[g][pool[g]] for g in counts}, seed))
+    # A share of the rows by hash, wide enough that the pool is full beyond any doubt.
+    draw_hash = F.xxhash64(F.col(key), F.lit(seed))
+    spot = F.pmod(draw_hash, F.lit(1 << 52)) / F.lit(float(1 << 52))
+    wide = {g: min(1.0, (pool[g] + 8 * math.sqrt(pool[g]) + 64) / counts[g]) for g in counts}
+    inside = F.lit(False)
+    for g, share in wide.items():
+        here = F.col(group).eqNullSafe(F.lit(g)) if group else F.lit(True)
+        inside = F.when(here, spot <= share).otherwise(inside)
+    chosen = df.where(inside)
     name = F.col(group).cast("string") if group else F.lit(ONE_GROUP)
     # At most trees x max_samples rows per group are ranked and joined.
     order = Window.partitionBy("grp").orderBy("_h", "_key")
-    chosen = (chosen.select(name.alias("grp"), key_hash(key, seed).alias("_h"), F.col(key).alias("_key"),
+    chosen = (chosen.select(name.alias("grp"), draw_hash.alias("_h"), F.col(key).alias("_key"),
                             F.array(*[feature_value(c) for c in cols]).alias("x"))
               .select("grp", "x", (F.row_number().over(order) - 1).cast("long").alias("pos")))
 
@@ -209,7 +212,7 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
         local = np.random.default_rng([seed, tree, *grp.encode()])
         columns = np.sort(local.permutation(total)[:width])
         nodes = grow_tree(np.stack(pdf["x"].to_numpy()), columns, local)
-        out = pd.DataFrame(nodes, columns=["feature", "split", "left", "right", "depth"])
+        out = pd.DataFrame(nodes, columns=["feature", "split", "child", "depth"])
         out.insert(0, "node", np.arange(len(out)))
         out.insert(0, "tree", tree)
         out.insert(0, "grp", grp)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from flowlens.functions.catalog import BEHAVIORAL_FEATURES, SERVICE_PORTS
 from flowlens.functions.columns import any_of, ratio_or_zero, require
-from flowlens.functions.quantiles import exact_quantile, exact_quantiles, melt
+from flowlens.functions.quantiles import DIRECT_ROWS, exact_quantile, exact_quantiles, melt
 from flowlens.sources.stores import RULE_SCHEMA
 
 MAX_RULES = 2_000
@@ -128,14 +128,17 @@ def behavioral_columns(df: DataFrame, features=None) -> list[str]:
 
 
 def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str = "label_binary",
-                      p: str = "y_pred", limit: int = MAX_CONDITIONS, **kw) -> DataFrame:
+                      p: str = "y_pred", limit: int = MAX_CONDITIONS, totals: dict | None = None, **kw) -> DataFrame:
     """Upper bounds that separate normal from attack flows, per combination and feature.
 
     One job over all combinations: features and classes become rows of a long table whose
     groups are summarised by exact quantiles. Output: proto, port, feature, place, bound.
+    ``totals``: known class sizes, which bound the rows of any group.
     """
     spark = df.sparkSession
     columns = behavioral_columns(df, features)
+    if totals and max(totals.values()) <= DIRECT_ROWS:
+        kw.setdefault("biggest", max(totals.values()))
     wanted = [(r["proto"], r["port"]) for r in combos.select("proto", "port").distinct().limit(MAX_RULES + 1).collect()]
     if len(wanted) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} combinations; raise the thresholds")
@@ -216,26 +219,28 @@ def service_port_stats(df: DataFrame, y: str = "label_binary", p: str = "y_pred"
     return stats.join(F.broadcast(modal), "port", "left")
 
 
-def service_port_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", fp_threshold: float = 0.05,
-                       normal_threshold: float = 0.01, attack_threshold: float = 0.03, features=None,
-                       totals: dict | None = None) -> DataFrame:
-    """Rules for well-known ports: plain where attacks are rare, behavioural up to twice that.
-
-    Without bounds a plain rule is still made while attacks stay below 1.5 times the threshold.
-    """
+def service_candidates(df: DataFrame, y: str, p: str, fp_threshold: float, normal_threshold: float,
+                       attack_threshold: float, totals: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Service ports safe enough for a plain rule, and those that need bounds; ten rows at most."""
     stats = service_port_stats(df, y, p, totals).where(
         (F.col("fp_ratio") > fp_threshold) & (F.col("normal_ratio") > normal_threshold))
+    # Ten rows at most: kept as literals so that later steps do not count again.
+    stats = df.sparkSession.createDataFrame(stats.collect(), stats.schema)
     attack = F.col("attack_ratio")
-    plain = stats.where(attack < attack_threshold).withColumn(
-        "conditions", F.lit(None).cast("array<struct<feature:string,op:string,bound:double>>"))
-    risky = stats.where((attack >= attack_threshold) & (attack < 2 * attack_threshold)
-                        & F.col("modal_proto").isNotNull())
-    combos = risky.select(F.col("modal_proto").alias("proto"), "port")
-    bounds = condition_lists(behavioral_bounds(df, combos, features, y, p))
-    risky = risky.join(F.broadcast(bounds.select(F.col("proto").alias("modal_proto"), "port", "conditions")),
-                       ["modal_proto", "port"], "left")
-    risky = risky.where(F.col("conditions").isNotNull() | (attack < 1.5 * attack_threshold))
-    both = plain.unionByName(risky.select(plain.columns))
+    risky = stats.where((attack >= attack_threshold) & (attack < 2 * attack_threshold) & F.col("modal_proto").isNotNull())
+    return stats.where(attack < attack_threshold), risky
+
+
+def service_rules(plain: DataFrame, risky: DataFrame, bounds: DataFrame, attack_threshold: float) -> DataFrame:
+    """Plain rules where attacks are rare, behavioural ones up to twice the threshold.
+
+    Without bounds a plain rule is still made while attacks stay below 1.5 times the threshold.
+    """
+    none = F.lit(None).cast("array<struct<feature:string,op:string,bound:double>>")
+    found = condition_lists(bounds).withColumnRenamed("proto", "modal_proto")
+    risky = risky.join(F.broadcast(found), ["modal_proto", "port"], "left")
+    risky = risky.where(F.col("conditions").isNotNull() | (F.col("attack_ratio") < 1.5 * attack_threshold))
+    both = plain.withColumn("conditions", none).unionByName(risky.select(*plain.columns, "conditions"))
     behaves = F.col("conditions").isNotNull()
     name = F.concat("service", F.lit(" (Port "), port_name(F.col("port")), F.when(behaves, ", behavioral)").otherwise(")"))
     return both.select(
@@ -244,6 +249,17 @@ def service_port_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred"
         F.lit(1).alias("source"), F.col("fp_ratio").alias("weight"))
 
 
+def service_port_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", fp_threshold: float = 0.05,
+                       normal_threshold: float = 0.01, attack_threshold: float = 0.03, features=None,
+                       totals: dict | None = None) -> DataFrame:
+    """Rules for well-known ports."""
+    totals = totals or class_totals(df, y, p)
+    plain, risky = service_candidates(df, y, p, fp_threshold, normal_threshold, attack_threshold, totals)
+    combos = risky.select(F.col("modal_proto").alias("proto"), "port")
+    bounds = behavioral_bounds(df, combos, features, y, p, totals=totals)
+    return service_rules(plain, risky, bounds, attack_threshold)
+
+
 def rule_rows(rules: DataFrame) -> list[Row]:
     """The rule set as parameters; refuses sets that no plan should carry."""
     rows = rules.limit(MAX_RULES + 1).collect()
@@ -332,8 +348,13 @@ def mine_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", method
         return spark.createDataFrame([], RULE_SCHEMA)
     chosen = candidates(combo_stats(df, y, p, totals=totals), method, fp_threshold, top_n, score_threshold,
                         normal_threshold, min_samples)
-    made = combo_rules(chosen, behavioral_bounds(df, chosen, features, y, p)).unionByName(
-        service_port_rules(df, y, p, fp_threshold, normal_threshold, attack_threshold, features, totals))
+    # Fewer rows than 1 / normal_threshold: kept as literals so that they are counted once.
+    chosen = spark.createDataFrame(chosen.limit(MAX_RULES + 1).collect(), chosen.schema)
+    plain, risky = service_candidates(df, y, p, fp_threshold, normal_threshold, attack_threshold, totals)
+    combos = chosen.select("proto", "port").unionByName(risky.select(F.col("modal_proto").alias("proto"), "port"))
+    bounds = behavioral_bounds(df, combos, features, y, p, totals=totals)
+    bounds = spark.createDataFrame(bounds.collect(), bounds.schema)  # five per combination at most
+    made = combo_rules(chosen, bounds).unionByName(service_rules(plain, risky, bounds, attack_threshold))
     rows = made.limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowlens.functions.catalog import SKEWED_FEATURES
 from flowlens.functions.columns import finite, numeric_columns, ratio_or_zero, require
-from flowlens.functions.quantiles import exact_quantiles, melt
+from flowlens.functions.quantiles import DIRECT_ROWS, exact_quantiles, melt
 from flowlens.sources.stores import PARAM_SCHEMA
 
 # The transforms compared for each feature, in order of preference.
@@ -203,14 +203,16 @@ def fit_for_unsupervised(df: DataFrame, skewed=None, features=None, prefix: str
     columns = model_columns(df, skewed, features, prefix, replace, key)
     if not columns:
         raise ValueError("no numeric feature to scale")
-    minima = column_minima(df, skewed) if skewed else {}
-    moved = log_transform(df, skewed, "" if replace else prefix, minima)
-    return {"skewed": skewed, "minima": minima, "prefix": "" if replace else prefix,
-            "columns": columns, "params": robust_fit(moved, columns)}
+    learned = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.min(F.col(c).cast("double")).alias(c) for c in skewed])
+    minima = learned.first().asDict()
+    rows = minima.pop("_rows")
+    moved = log_transform(df, skewed, "" if replace else prefix, minima) if skewed else df
+    return {"skewed": skewed, "minima": minima, "prefix": "" if replace else prefix, "columns": columns,
+            "params": robust_fit(moved, columns, biggest=rows if rows <= DIRECT_ROWS else None)}
 
 
 def apply_for_unsupervised(df: DataFrame, fitted: dict) -> DataFrame:
-    moved = log_transform(df, fitted["skewed"], fitted["prefix"], fitted["minima"])
+    moved = log_transform(df, fitted["skewed"], fitted["prefix"], fitted["minima"]) if fitted["skewed"] else df
     return scale_apply(moved, fitted["params"])
 
 

@@ -160,3 +160,30 @@ def symmetry_profile(df: DataFrame, column: str = "bidirectional_symmetry") -> D
     return df.agg(F.avg(value).alias("mean_symmetry"),
                   high.alias("two_way_rows"), ratio_or_zero(high, total).alias("two_way_share"),
                   low.alias("one_way_rows"), ratio_or_zero(low, total).alias("one_way_share"))
+
+
+def port_entropy(df: DataFrame, size: str = "1min") -> DataFrame:
+    """Entropy (bits) of the destination ports each source used per window."""
+    keyed = df.withColumn("_bucket", bucket_number(df, size))
+    ports = (keyed.where("SrcAddr is not null and _bucket is not null and Dport is not null")
+             .groupBy("SrcAddr", "_bucket", "Dport").agg(F.count(F.lit(1)).alias("c")))
+    # With n flows in the window: -sum(c/n log2(c/n)) = log2(n) - sum(c log2(c)) / n.
+    n = F.sum("c")
+    return ports.groupBy("SrcAddr", "_bucket").agg(
+        n.alias("flows"), F.greatest(F.log2(n.cast("double")) - F.sum(F.col("c") * F.log2(F.col("c").cast("double"))) / n,
+                                     F.lit(0.0)).alias("dport_entropy"))
+
+
+# Ports of file sharing and remote desktop.
+LATERAL_PORTS = {"smb": 445, "rdp": 3389}
+
+
+def lateral_features(df: DataFrame, size: str = "1min", ports=None) -> DataFrame:
+    """Flows and distinct targets per source and window on ports used to move sideways."""
+    keyed = df.withColumn("_bucket", bucket_number(df, size))
+    picked = []
+    for name, port in (ports or LATERAL_PORTS).items():
+        here = F.col("Dport") == port
+        picked += [F.count_if(here).alias(f"{name}_flows"),
+                   F.count_distinct(F.when(here, F.col("DstAddr"))).alias(f"{name}_targets")]
+    return keyed.where("SrcAddr is not null and _bucket is not null").groupBy("SrcAddr", "_bucket").agg(*picked)

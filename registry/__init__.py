@@ -2,7 +2,7 @@
 
 from registry.base import QUERIES, SQL
 from registry import (  # noqa: F401
-    features, profiles, evaluation, rules, models,
+    features, profiles, evaluation, rules, models, streams,
 )
 
 __all__ = ["QUERIES", "SQL"]
