@@ -88,7 +88,7 @@ class ForestModel:
     def packed(self) -> dict:
         """Per group: its trees as node arrays, the depth limit and the depth scale."""
         out = {}
-        for grp, part in self.nodes.groupby("grp"):
+        for grp, part in self.nodes.sort_values(["tree", "node"]).groupby("grp"):
             trees = [tuple(t[c].to_numpy(kind) for c, kind in (
                 ("feature", np.int64), ("split", float), ("child", np.int64), ("depth", float)))
                 for _, t in part.groupby("tree")]

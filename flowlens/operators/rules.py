@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 from flowlens.functions.catalog import BEHAVIORAL_FEATURES, SERVICE_PORTS
 from flowlens.functions.columns import any_of, ratio_or_zero, require
 from flowlens.functions.quantiles import DIRECT_ROWS, exact_quantile, exact_quantiles, melt
-from flowlens.sources.stores import RULE_SCHEMA
+from flowlens.sources.stores import RULE_SCHEMA, rule_fields
 
 MAX_RULES = 2_000
 # What a behavioural bound needs to be found.
@@ -331,10 +331,7 @@ def validate_rules(df: DataFrame, rules: DataFrame, y: str = "label_binary", p:
 
 def as_rules(df: DataFrame) -> DataFrame:
     """Fill in the unused columns of the stored rule form."""
-    from flowlens.sources.stores import rule_columns
-
-    named = [c.strip().split(" ", 1) for c in rule_columns()]
-    return df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in named])
+    return df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in rule_fields()])
 
 
 def mine_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", method: str = "threshold",
@@ -367,7 +364,7 @@ def mine_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", method
 
     rows = [{**r.asDict(recursive=True), "rule_id": i, "anomaly_score_threshold": score_gate}
             for i, r in enumerate(sorted(rows, key=place))]
-    names = as_rules(spark.createDataFrame([], RULE_SCHEMA)).columns
+    names = [n for n, _ in rule_fields()]
     table = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], RULE_SCHEMA)
     return validate_rules(df, table, y, p, limit)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowlens.sources.flows import try_parquet
 
@@ -69,25 +69,18 @@ def load_transformed(spark: SparkSession, base: str) -> tuple[DataFrame, DataFra
     return data, spark.read.parquet(f"{base}/params"), columns
 
 
+def rule_fields() -> list[tuple[str, str]]:
+    """Names and types of the stored rule form."""
+    return [(f.name, f.dataType.simpleString()) for f in T.DataType.fromDDL(RULE_SCHEMA).fields]
+
+
 def save_rules(rules: DataFrame, path: str) -> str:
     """Write rules as JSON lines; the path gets a .json ending."""
     path = path if path.endswith(".json") else path + ".json"
-    rules.select(*[c.strip().split(" ")[0] for c in rule_columns()]).write.mode("overwrite").json(path)
+    rules.select(*[n for n, _ in rule_fields()]).write.mode("overwrite").json(path)
     return path
 
 
-def rule_columns() -> list[str]:
-    depth, out, word = 0, [], ""
-    for ch in RULE_SCHEMA:
-        depth += (ch == "<") - (ch == ">")
-        if ch == "," and depth == 0:
-            out.append(word)
-            word = ""
-        else:
-            word += ch
-    return [*out, word]
-
-
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
     path = path if path.endswith(".json") else path + ".json"
     try:
