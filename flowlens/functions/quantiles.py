@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-DIRECT_ROWS = 500_000
+DIRECT_ROWS = 1_000_000
 ACCURACY = 20_000
 STEPS = 256
 MAX_GROUPS = 100_000

@@ -67,31 +67,40 @@ def fp_patterns(df: DataFrame, y: str = "label_binary", p: str = "y_pred") -> Da
             .withColumn("share", ratio_or_zero(F.col("n"), F.lit(total))).select("pattern", "value", "n", "share"))
 
 
-def class_totals(df: DataFrame, y: str, p: str) -> dict:
+def combo_counts(df: DataFrame, y: str = "label_binary", p: str = "y_pred") -> DataFrame:
+    """False positives, normal flows, attacks and misses per protocol and port, missing keys included.
+
+    The one pass over the flows that all shares are computed from. Protocols are lower-cased
+    before grouping; the map side combines, so a hot combination is a few rows when it moves.
+    """
+    require(df, ["Proto", "Dport"])
+    proto, port = combo_keys()
+    rows = df.select(proto, port, (F.col(y) == 1).alias("a"), (F.col(p) == 1).alias("f"))
+    return rows.groupBy("proto", "port").agg(
+        F.count_if(~F.col("a") & F.col("f")).alias("fp"), F.count_if(~F.col("a")).alias("normal"),
+        F.count_if("a").alias("attack"), F.count_if(F.col("a") & ~F.col("f")).alias("fn"))
+
+
+def class_totals(counts: DataFrame) -> dict:
     """Rows per outcome group: four numbers."""
-    attack, flagged = F.col(y) == 1, F.col(p) == 1
-    return df.agg(F.count_if(~attack & flagged).alias("fp"), F.count_if(~attack).alias("normal"),
-                  F.count_if(attack).alias("attack"), F.count_if(attack & ~flagged).alias("fn")).first().asDict()
+    row = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("fp", "normal", "attack", "fn")]).first()
+    return row.asDict()
 
 
-def combo_stats(df: DataFrame, y: str = "label_binary", p: str = "y_pred", keys=("proto", "port"),
-                totals: dict | None = None) -> DataFrame:
+def combo_stats(df: DataFrame | None, y: str = "label_binary", p: str = "y_pred", keys=("proto", "port"),
+                counts: DataFrame | None = None, totals: dict | None = None) -> DataFrame:
     """Share of all false positives, normal flows and attacks per protocol and port (or port).
 
-    Protocols are lower-cased before grouping. Only combinations with a false positive remain.
+    Only combinations with a false positive remain. ``counts`` and ``totals`` reuse a pass
+    made before.
     """
-    require(df, ["Proto", "Dport"])
-    totals = totals or class_totals(df, y, p)
-    attack, flagged = F.col(y) == 1, F.col(p) == 1
-    proto, port = combo_keys()
-    rows = df.select(proto, port, attack.alias("a"), flagged.alias("f"))
+    counts = combo_counts(df, y, p) if counts is None else counts
+    totals = totals or class_totals(counts)
     for k in keys:
-        rows = rows.where(F.col(k).isNotNull())
-    stats = rows.groupBy(*keys).agg(
-        F.count_if(~F.col("a") & F.col("f")).alias("fp_count"), F.count_if(~F.col("a")).alias("normal_count"),
-        F.count_if("a").alias("attack_count")).where("fp_count > 0")
-    return stats.withColumns({f"{n}_ratio": ratio_or_zero(F.col(f"{n}_count"), F.lit(totals[n]))
-                              for n in ("fp", "normal", "attack")})
+        counts = counts.where(F.col(k).isNotNull())
+    names = ("fp", "normal", "attack")
+    stats = counts.groupBy(*keys).agg(*[F.sum(n).alias(f"{n}_count") for n in names]).where("fp_count > 0")
+    return stats.withColumns({f"{n}_ratio": ratio_or_zero(F.col(f"{n}_count"), F.lit(totals[n])) for n in names})
 
 
 def combo_score(stats: DataFrame, min_samples: int = 50) -> DataFrame:
@@ -151,15 +160,21 @@ def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str =
     rows = rows.withColumn("grp", F.explode("groups")).drop("groups")
     long = melt(rows, columns, ["proto", "port", "grp"]).where("value is not null")
     keys = ["proto", "port", "feature"]
-    found = exact_quantiles(long, [*keys, "grp"], "value", PROBS, **kw)
+    small = kw.get("biggest") is not None
+    # The smallest of the most frequent values: from the same value maps while they are small.
+    extra = [F.mode("value", True).alias("mode")] if small else []
+    found = exact_quantiles(long, [*keys, "grp"], "value", PROBS, extra=extra, **kw)
+    parts = ["n", "q", *(["mode"] if small else [])]
     wide = found.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("grp") == g, F.struct("n", "q"))).alias(g) for g in ("normal", "attack", "fn")])
-    # The smallest of the most frequent normal values, by counting instead of a value map.
-    modes = (long.where("grp = 'normal'").groupBy(*keys, "value").count()
-             .groupBy(*keys).agg(F.max(F.struct("count", (-F.col("value")).alias("v"))).alias("m"))
-             .select(*keys, (-F.col("m.v")).alias("mode")))
-    # Both sides hold one row per combination and feature, bounded above.
-    wide = wide.join(F.broadcast(modes), keys)
+        F.max(F.when(F.col("grp") == g, F.struct(*parts))).alias(g) for g in ("normal", "attack", "fn")])
+    if small:
+        wide = wide.withColumn("mode", F.col("normal.mode"))
+    else:
+        # By counting instead; both sides hold one row per combination and feature, bounded above.
+        modes = (long.where("grp = 'normal'").groupBy(*keys, "value").count()
+                 .groupBy(*keys).agg(F.max(F.struct("count", (-F.col("value")).alias("v"))).alias("m"))
+                 .select(*keys, (-F.col("m.v")).alias("mode")))
+        wide = wide.join(F.broadcast(modes), keys)
     at = {prob: i for i, prob in enumerate(PROBS)}
 
     def q(group, prob):
@@ -208,24 +223,28 @@ def service_table(spark) -> DataFrame:
     return spark.createDataFrame([(float(p), s) for p, s in SERVICE_PORTS.items()], "port double, service string")
 
 
-def service_port_stats(df: DataFrame, y: str = "label_binary", p: str = "y_pred", totals: dict | None = None) -> DataFrame:
+def service_port_stats(df: DataFrame | None, y: str = "label_binary", p: str = "y_pred",
+                       counts: DataFrame | None = None, totals: dict | None = None) -> DataFrame:
     """Shares per well-known service port with the protocol most of its false positives use."""
-    services = F.broadcast(service_table(df.sparkSession))  # ten rows
-    stats = combo_stats(df, y, p, ("port",), totals).join(services, "port")
-    fps = combo_stats(df, y, p, ("proto", "port"), totals)
-    first = Window.partitionBy("port").orderBy(F.desc("fp_count"), "proto")
-    modal = (fps.join(services, "port").withColumn("r", F.row_number().over(first)).where("r = 1")
+    counts = combo_counts(df, y, p) if counts is None else counts
+    totals = totals or class_totals(counts)
+    services = F.broadcast(service_table(counts.sparkSession))  # ten rows
+    stats = combo_stats(None, keys=("port",), counts=counts, totals=totals).join(services, "port")
+    # A service port has one row per protocol.
+    first = Window.partitionBy("port").orderBy(F.desc("fp"), "proto")
+    modal = (counts.where("fp > 0 and proto is not null").join(services, "port")
+             .withColumn("r", F.row_number().over(first)).where("r = 1")
              .select("port", F.col("proto").alias("modal_proto")))
     return stats.join(F.broadcast(modal), "port", "left")
 
 
-def service_candidates(df: DataFrame, y: str, p: str, fp_threshold: float, normal_threshold: float,
-                       attack_threshold: float, totals: dict | None = None) -> tuple[DataFrame, DataFrame]:
+def service_candidates(counts: DataFrame, fp_threshold: float, normal_threshold: float, attack_threshold: float,
+                       totals: dict) -> tuple[DataFrame, DataFrame]:
     """Service ports safe enough for a plain rule, and those that need bounds; ten rows at most."""
-    stats = service_port_stats(df, y, p, totals).where(
+    stats = service_port_stats(None, counts=counts, totals=totals).where(
         (F.col("fp_ratio") > fp_threshold) & (F.col("normal_ratio") > normal_threshold))
-    # Ten rows at most: kept as literals so that later steps do not count again.
-    stats = df.sparkSession.createDataFrame(stats.collect(), stats.schema)
+    # Kept as literals so that later steps do not count again.
+    stats = counts.sparkSession.createDataFrame(stats.collect(), stats.schema)
     attack = F.col("attack_ratio")
     risky = stats.where((attack >= attack_threshold) & (attack < 2 * attack_threshold) & F.col("modal_proto").isNotNull())
     return stats.where(attack < attack_threshold), risky
@@ -250,11 +269,11 @@ def service_rules(plain: DataFrame, risky: DataFrame, bounds: DataFrame, attack_
 
 
 def service_port_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", fp_threshold: float = 0.05,
-                       normal_threshold: float = 0.01, attack_threshold: float = 0.03, features=None,
-                       totals: dict | None = None) -> DataFrame:
+                       normal_threshold: float = 0.01, attack_threshold: float = 0.03, features=None) -> DataFrame:
     """Rules for well-known ports."""
-    totals = totals or class_totals(df, y, p)
-    plain, risky = service_candidates(df, y, p, fp_threshold, normal_threshold, attack_threshold, totals)
+    counts = combo_counts(df, y, p)
+    totals = class_totals(counts)
+    plain, risky = service_candidates(counts, fp_threshold, normal_threshold, attack_threshold, totals)
     combos = risky.select(F.col("modal_proto").alias("proto"), "port")
     bounds = behavioral_bounds(df, combos, features, y, p, totals=totals)
     return service_rules(plain, risky, bounds, attack_threshold)
@@ -340,14 +359,18 @@ def mine_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", method
                score_gate: float | None = None, limit: float = FN_LIMIT) -> DataFrame:
     """Mine, synthesise and safety-check allow-list rules; the result is a finished small table."""
     spark = df.sparkSession
-    totals = class_totals(df, y, p)
-    if not totals["fp"]:
-        return spark.createDataFrame([], RULE_SCHEMA)
-    chosen = candidates(combo_stats(df, y, p, totals=totals), method, fp_threshold, top_n, score_threshold,
-                        normal_threshold, min_samples)
-    # Fewer rows than 1 / normal_threshold: kept as literals so that they are counted once.
-    chosen = spark.createDataFrame(chosen.limit(MAX_RULES + 1).collect(), chosen.schema)
-    plain, risky = service_candidates(df, y, p, fp_threshold, normal_threshold, attack_threshold, totals)
+    counts = combo_counts(df, y, p).persist()  # one row per protocol and port, read by four reports
+    try:
+        totals = class_totals(counts)
+        if not totals["fp"]:
+            return spark.createDataFrame([], RULE_SCHEMA)
+        chosen = candidates(combo_stats(None, counts=counts, totals=totals), method, fp_threshold, top_n,
+                            score_threshold, normal_threshold, min_samples)
+        # Fewer rows than 1 / normal_threshold: kept as literals so that they are counted once.
+        chosen = spark.createDataFrame(chosen.limit(MAX_RULES + 1).collect(), chosen.schema)
+        plain, risky = service_candidates(counts, fp_threshold, normal_threshold, attack_threshold, totals)
+    finally:
+        counts.unpersist()
     combos = chosen.select("proto", "port").unionByName(risky.select(F.col("modal_proto").alias("proto"), "port"))
     bounds = behavioral_bounds(df, combos, features, y, p, totals=totals)
     bounds = spark.createDataFrame(bounds.collect(), bounds.schema)  # five per combination at most

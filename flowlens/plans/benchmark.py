@@ -50,7 +50,8 @@ def benchmark_models(df: DataFrame, label: str | None = "label_binary", detector
     """
     key = sampling.get("key", "flow_id")
     rows, columns = prepare_sample(df, label, **sampling)
-    rows = materialize(rows, "sample")
+    # A bounded sample, spread over the cores so that fitting and scoring run in parallel.
+    rows = materialize(rows.repartition(df.sparkSession.sparkContext.defaultParallelism, key), "sample")
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     size = train.count()
     labelled = bool(label) and label in rows.columns
