@@ -202,7 +202,9 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
                 else F.pmod(F.col("start") + draw * F.col("stride"), F.col("pool")))
     picked = (table.withColumn("draw", F.explode(F.sequence(F.lit(0), F.col("draws") - 1)))
               .select("grp", "tree", "draw", position.alias("pos")))
-    dealt = picked.join(chosen, ["grp", "pos"])
+    # Few bytes but much work per row: one task per core, which coalescing would undo.
+    tasks = max(1, min(len(plan), spark.sparkContext.defaultParallelism))
+    dealt = picked.join(chosen, ["grp", "pos"]).repartition(tasks, "grp", "tree")
     width = max(1, int((max_features if max_features is not None else feature_share(len(cols))) * len(cols)))
     total = len(cols)
 

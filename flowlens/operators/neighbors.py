@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, functions as F
 
 from flowlens.operators.forest import feature_value
 
@@ -100,10 +101,14 @@ def fit_lof(train: DataFrame, columns, k: int = 20, key: str = "flow_id") -> Lof
 
     parts = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 64))
     pairs = spark.range(0, len(rows), 1, parts).mapInPandas(search, "id long, rank int, other long, dist double")
-    reach = pairs.where(F.col("rank") == k - 1).select(F.col("id").alias("other"), F.col("dist").alias("reach"))
-    density = (pairs.join(reach, "other").groupBy("id")
-               .agg((1 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")))
-    found = (density.join(reach.withColumnRenamed("other", "id"), "id").orderBy("id")).toPandas()
+    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)  # k rows per training row, read twice
+    try:
+        reach = pairs.where(F.col("rank") == k - 1).select(F.col("id").alias("other"), F.col("dist").alias("reach"))
+        found = pairs.join(reach, "other").groupBy("id").agg(
+            F.max(F.when(F.col("rank") == k - 1, F.col("dist"))).alias("reach"),
+            (1 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")).toPandas().sort_values("id")
+    finally:
+        pairs.unpersist()
     return LofModel(columns, k, matrix, found["reach"].to_numpy(), found["density"].to_numpy())
 
 

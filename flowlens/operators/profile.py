@@ -124,8 +124,7 @@ def box_summary(df: DataFrame, feature: str, by: str | None = None) -> DataFrame
     box = found.select(F.col("grp").alias("g"), q[0].alias("q25"), q[1].alias("median"), q[2].alias("q75"))
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = F.col("v").between(F.col("q25") - reach, F.col("q75") + reach)
-    # One row per group of a report.
-    joined = data.join(F.broadcast(box.limit(100_000)), F.col("grp").eqNullSafe(F.col("g")))
+    joined = data.join(box, F.col("grp").eqNullSafe(F.col("g")))
     return joined.groupBy("grp", "q25", "median", "q75").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"), F.count_if(~inside).alias("outliers"))

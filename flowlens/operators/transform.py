@@ -298,6 +298,8 @@ def long_overlap(long: DataFrame, keys: list[str]) -> DataFrame:
                             columns=[*keys, "density_overlap"])
 
     schema = ", ".join(f"`{k}` string" for k in keys) + ", density_overlap double"
+    # Few bytes but much work per row: one task per core, which coalescing would undo.
+    bins = bins.repartition(long.sparkSession.sparkContext.defaultParallelism, *keys)
     return bins.groupBy(*keys).applyInPandas(one, schema)
 
 

@@ -9,6 +9,7 @@ from flowlens.operators.sampling import sample_n
 from flowlens.plans.benchmark import benchmark_models, compare_models
 from flowlens.plans.features import add_pair_stage, build_features, extract_features, smoke_stage4
 from flowlens.plans.postprocess import feedback_labels, postprocess
+from flowlens.plans.process import process_flows
 from flowlens.plans.training import UnsupervisedConfig, train_supervised, train_unsupervised
 from flowlens.sources import flows as src, stores
 from flowlens.sources.storage import scratch_path
@@ -318,3 +319,24 @@ def best_transform_store(spark, sf_dir):
     data, params = tr.apply_best(f, best)
     stores.save_best_transforms(best, data.select("flow_id", "TotBytes"), tr.params_table(spark, params), base)
     return spark.read.parquet(f"{base}/data")
+
+
+@query("process_flows", """WITH t AS (SELECT flow_id, ln(1 + TotBytes) AS x, ln(1 + Dur) AS y FROM {flows} AS f)
+SELECT flow_id, ROUND((x - quantile_cont(x, 0.5) OVER ()) / (quantile_cont(x, 0.75) OVER () - quantile_cont(x, 0.25) OVER ()), 6) AS "log_TotBytes"
+FROM t""")
+def process(spark, sf_dir):
+    done = process_flows(flows(spark, sf_dir), scratch_path(spark, "process"), 3, "1 day")
+    return rounded(done.transformed.select("flow_id", "log_TotBytes"), ["log_TotBytes"])
+
+
+@query("process_incremental", """SELECT flow_id, COUNT(*) OVER (PARTITION BY least(SrcAddr, DstAddr), greatest(SrcAddr, DstAddr),
+  date_trunc('day', StartTime)) AS bidirectional_flow_count FROM {flows} AS f""")
+def process_incremental(spark, sf_dir):
+    base, f = scratch_path(spark, "process"), flows(spark, sf_dir)
+    stores.save_features(extract_features(f, 3, size="1 day"), base, 3)
+    return process_flows(f, base, 4, "1 day", incremental=True).features.select("flow_id", "bidirectional_flow_count")
+
+
+@query("feature_counts")
+def counts(spark, sf_dir):
+    return process_flows(flows(spark, sf_dir), None, 3, "1 day").counts

@@ -377,3 +377,10 @@ def label_leak_screen(spark, sf_dir):
     f = flows(spark, sf_dir)
     kept, _ = select.leak_screen(f, ["TotBytes", "SrcAddr", "Dport", "Dur"])
     return f.select("flow_id", *kept)
+
+
+@query("profile_flows", each(NUMBERS, f"ROUND({SKEW}, 4) AS skewness, ROUND(quantile_cont(x, 0.95), 6) AS q95, "
+                                      f"ABS({SKEW}) > 1 OR kurtosis_pop(x) + 3 > 5 AS is_long_tail", "{flows}"))
+def profile_flows(spark, sf_dir):
+    tails = profile.profile_flows(flows(spark, sf_dir))["long_tail"].where(F.col("feature").isin(NUMBERS))
+    return rounded(rounded(tails, ["q95"]), ["skewness"], 4).select("feature", "skewness", "q95", "is_long_tail")
