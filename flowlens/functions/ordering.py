@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 INF = float("inf")
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 4096
+SAMPLE_PER_SLICE = 500
 
 
 def slice_bounds(df: DataFrame, value: Column, rows_per_slice: int = ROWS_PER_SLICE,
@@ -23,8 +24,9 @@ def slice_bounds(df: DataFrame, value: Column, rows_per_slice: int = ROWS_PER_SL
     """Row count and boundaries that cut ``value`` into slices of about equal row count.
 
     A count decides how many slices are needed; one is the common case on small data.
-    Otherwise one more aggregate over the needed columns finds the boundaries, also for
-    ``extra`` columns. Repeated boundaries mark a value that fills more than one slice.
+    Otherwise a sample of a few hundred rows per slice places the boundaries, also for
+    ``extra`` columns. Where they lie decides how even the slices are, never a result.
+    Repeated boundaries mark a value that fills more than one slice.
     """
     columns = [value, *extra]
     named = df.select(*[c.alias(f"b{i}") for i, c in enumerate(columns)])
@@ -32,11 +34,13 @@ def slice_bounds(df: DataFrame, value: Column, rows_per_slice: int = ROWS_PER_SL
     slices = min(MAX_SLICES, math.ceil(rows / rows_per_slice)) if rows else 1
     if slices == 1:
         return rows, [], [[] for _ in extra]
+    share = min(1.0, SAMPLE_PER_SLICE * slices / rows)
+    picked = named.where("b0 is not null").sample(share, seed=42) if share < 1 else named
     # Literal text, as thousands of single literal columns are slow to build.
     steps = ", ".join(f"{i / slices!r}D" for i in range(1, slices))
     accuracy = max(10_000, 20 * slices)
-    found = named.agg(*[F.expr(f"percentile_approx(b{i}, array({steps}), {accuracy})").alias(f"b{i}")
-                        for i in range(len(columns))]).first()
+    found = picked.agg(*[F.expr(f"percentile_approx(b{i}, array({steps}), {accuracy})").alias(f"b{i}")
+                         for i in range(len(columns))]).first()
     bounds = [list(found[f"b{i}"] or []) for i in range(len(columns))]
     return rows, bounds[0], bounds[1:]
 
@@ -45,11 +49,10 @@ def with_slice(df: DataFrame, source: str, bounds, out: str) -> DataFrame:
     """Add the slice number of a numeric column (binary search in the JVM); NULL is slice 0."""
     cuts = sorted(set(float(b) for b in bounds))
     if not cuts:
-        return df.withColumn(out, F.lit(0.0))
-    splitter = Bucketizer(splits=[-INF, *cuts, INF], inputCol=source, outputCol=out,
-                          handleInvalid="keep")
+        return df.withColumn(out, F.lit(0))
+    splitter = Bucketizer(splits=[-INF, *cuts, INF], inputCol=source, outputCol=out, handleInvalid="keep")
     typed = df.withColumn(source, F.col(source).cast("double"))
-    return splitter.transform(typed).fillna(0.0, [out])
+    return splitter.transform(typed).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0)))
 
 
 def running_sums(df: DataFrame, order: str, sums: dict[str, Column], descending: bool = False,

@@ -2,9 +2,10 @@
 
 ``percentile`` keeps a value -> count map per group, which is exact but grows with
 the data. It is used directly while the group is small. Beyond that, an approximate
-summary brackets each wanted order statistic, a narrow aggregate counts what lies
-below and inside the bracket, and brackets shrink until their rows are few. Rows are
-not sorted or shuffled as a whole: every round is a partial aggregate over the scan.
+summary of a sample brackets each wanted order statistic, a narrow aggregate counts what
+lies below and inside the bracket, and brackets shrink until their rows are few. The counts
+are exact, so a bracket that missed is noticed and moved. Rows are not sorted or shuffled
+as a whole: every round is a partial aggregate over the scan with a small state.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ import math
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 DIRECT_ROWS = 1_000_000
-ACCURACY = 20_000
+SAMPLE = 100_000
+ACCURACY = 10_000
 STEPS = 256
+MARGIN = 2
 MAX_GROUPS = 100_000
 
 
@@ -60,8 +63,8 @@ def exact_quantiles_of(df, data, keys, probs, direct_rows, extra) -> DataFrame:
 
 
 def bracket_rows(data: DataFrame, keys: list[str], brackets: list[tuple]) -> DataFrame:
-    """Each row once per bracket of its group: keys..., _v, _lo, _hi."""
-    ends = [T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())]
+    """Each row once per bracket of its group: keys..., _v, _lo, _hi, _share."""
+    ends = [T.StructField(n, T.DoubleType()) for n in ("_lo", "_hi", "_share")]
     schema = T.StructType([*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys], *ends])
     # A few rows per group and wanted quantile, with groups capped by MAX_GROUPS.
     table = data.sparkSession.createDataFrame(brackets, schema)
@@ -77,31 +80,47 @@ def refined_quantiles(data: DataFrame, keys: list[str], probs, direct_rows: int)
     places = {key: [p * (n - 1) for p in probs] for key, n in sizes.items() if n}
 
     # Every order statistic a quantile interpolates between starts with the widest bracket.
-    pending = {(key, rank): (-math.inf, math.inf) for key, at in places.items()
+    # ``outer`` is the last bracket known to hold the rank, so a miss still shrinks the search.
+    widest = (-math.inf, math.inf)
+    pending = {(key, rank): widest for key, at in places.items()
                for a in at for rank in {math.floor(a), math.ceil(a)}}
+    outer = dict.fromkeys(pending, widest)
+    inside_rows = {(key, widest): n for key, n in sizes.items()}
+    steps = ", ".join(f"{i / STEPS!r}D" for i in range(STEPS + 1))
     found = {}
     while pending:
-        brackets = sorted({(*key, *b) for (key, _), b in pending.items()}, key=repr)
+        brackets = sorted({(*key, *b, min(1.0, SAMPLE / max(inside_rows.get((key, b), SAMPLE), 1)))
+                           for (key, _), b in pending.items()}, key=repr)
         inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
-        steps = ", ".join(f"{i / STEPS!r}D" for i in range(STEPS + 1))
-        rows = bracket_rows(data, keys, brackets).withColumn("_in", F.when(inside, F.col("_v")))
+        rows = bracket_rows(data, keys, brackets).withColumn(
+            "_in", F.when(inside & (F.rand(42) < F.col("_share")), F.col("_v")))
         seen = rows.groupBy(*keys, "_lo", "_hi").agg(
             F.count(F.when(F.col("_v") < F.col("_lo"), 1)).alias("below"),
-            F.count("_in").alias("within"),
+            F.count(F.when(inside, 1)).alias("within"),
             F.expr(f"percentile_approx(_in, array({steps}), {ACCURACY})").alias("cuts")).collect()
         seen = {(tuple(r[k] for k in keys), (r["_lo"], r["_hi"])): r for r in seen}
         narrower, final = {}, []
         for (key, rank), bracket in pending.items():
             stats = seen[(key, bracket)]
-            offset, cuts = rank - stats["below"], stats["cuts"]
-            # The summary errs by at most within/ACCURACY ranks, less than one step.
-            at = offset / max(stats["within"] - 1, 1) * STEPS
-            low, high = max(math.floor(at) - 1, 0), min(math.ceil(at) + 1, STEPS)
+            offset, within, cuts = rank - stats["below"], stats["within"], stats["cuts"]
+            if offset < 0:  # the sample misled: the rank lies below the bracket
+                narrower[(key, rank)] = (outer[(key, rank)][0], bracket[0])
+                continue
+            if offset >= within:
+                narrower[(key, rank)] = (bracket[1], outer[(key, rank)][1])
+                continue
+            outer[(key, rank)] = bracket
+            if within <= direct_rows or cuts is None:
+                final.append((key, rank, bracket, offset))
+                continue
+            at = offset / max(within - 1, 1) * STEPS
+            low, high = max(math.floor(at) - MARGIN, 0), min(math.ceil(at) + MARGIN, STEPS)
             tight = (cuts[low] if low else bracket[0], cuts[high] if high < STEPS else bracket[1])
-            if stats["within"] <= direct_rows or tight == bracket:
+            if tight == bracket:
                 final.append((key, rank, bracket, offset))
             else:
                 narrower[(key, rank)] = tight
+                inside_rows.setdefault((key, tight), max(1, within * (high - low) // STEPS))
         if final:
             found.update(read_ranks(data, keys, final))
         pending = narrower
@@ -119,7 +138,7 @@ def refined_quantiles(data: DataFrame, keys: list[str], probs, direct_rows: int)
 
 def read_ranks(data: DataFrame, keys: list[str], final: list[tuple]) -> dict:
     """Values at the wanted positions of brackets that hold few rows or few distinct values."""
-    rows = bracket_rows(data, keys, sorted({(*k, *b) for k, _, b, _ in final}, key=repr))
+    rows = bracket_rows(data, keys, sorted({(*k, *b, 1.0) for k, _, b, _ in final}, key=repr))
     rows = rows.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     order = (Window.partitionBy(*keys, "_lo", "_hi").orderBy("_v")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))

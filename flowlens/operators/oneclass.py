@@ -98,7 +98,7 @@ def fit_oneclass(df: DataFrame, columns, nu: float = 0.1, gamma: float | None =
         w = mean_feature(rows, directions, phases)
         for _ in range(steps):
             scored = rows.select(linear_score(rows, "x", directions, phases, w).alias("s"))
-            cut = scored.agg(F.percentile_approx("s", nu, 10_000)).first()[0]
+            cut = scored.agg(F.percentile_approx("s", nu, 2_000)).first()[0]
             target = mean_feature(rows, directions, phases, (w, cut))
             gap = w - target
             size = float(gap @ gap)

@@ -41,7 +41,7 @@ def interval_features(df: DataFrame, key: str = "flow_id", src: str = "SrcAddr",
     crowded = sorted({b for b in bounds if bounds.count(b) > 1})
     cuts = [*bounds, *[b + 1 for b in crowded]]
     flows = with_slice(flows.withColumn("_order", F.col("_t")), "_order", cuts, "_slice").drop("_order")
-    flows = flows.withColumn("_sub", F.when(usable, F.lit(0.0)).otherwise(idle.cast("double")))
+    flows = flows.withColumn("_sub", F.when(usable, F.lit(0)).otherwise(idle.cast("int")))
     if crowded and numeric_key:
         flows = with_slice(flows.withColumn("_order", F.col(key)), "_order", more[0], "_cut").drop("_order")
         flows = flows.withColumn("_sub", F.when(usable & F.col("_t").isin(crowded), F.col("_cut"))

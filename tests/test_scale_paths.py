@@ -32,6 +32,17 @@ def test_quantiles_equal_numpy(skewed, direct):
     assert exact_quantile(skewed, "v", 0.37, direct_rows=direct) == pytest.approx(np.quantile(pdf.v, 0.37), rel=1e-12)
 
 
+def test_misleading_samples_are_noticed(skewed, monkeypatch):
+    """Brackets from far too small samples miss, and are moved until they hold the rank."""
+    from flowlens.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "SAMPLE", 20)
+    monkeypatch.setattr(quantiles, "MARGIN", 0)
+    v = skewed.toPandas().dropna().v
+    got = exact_quantiles(skewed, [], "v", PROBS, direct_rows=50).first()["q"]
+    assert got == pytest.approx(list(np.quantile(v, PROBS)), rel=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert exact_quantile(empty, "v", 0.5) is None
