@@ -82,16 +82,15 @@ def compare_models(results: DataFrame) -> DataFrame:
 
     Without labels only times and the predicted share can be compared.
     """
-    picks = []
-    for names, fn, pick in ((MORE, F.max, F.max_by), (LESS, F.min, F.min_by)):
-        for n in names:
-            if n in results.columns:
-                value = F.col(n).cast("double")
-                picks.append(F.struct(F.lit(n).alias("metric"), pick("model_name", value).alias("best"),
-                                      fn(value).alias("value")))
+    def pick(name, sign):
+        """The detector with the smallest signed value; names decide ties, missing values lose."""
+        value = F.col(name).cast("double") * sign
+        order = F.when(value.isNotNull(), F.struct(value, F.col("model_name")))
+        return F.struct(F.lit(name).alias("metric"), F.min_by("model_name", order).alias("best"),
+                        (F.min(value) * sign).alias("value"))
+
+    picks = [pick(n, sign) for names, sign in ((MORE, -1.0), (LESS, 1.0)) for n in names if n in results.columns]
     if not set(MORE) & set(results.columns):
-        share = F.col("predicted_share").cast("double")
-        picks.append(F.struct(F.lit("predicted_share").alias("metric"), F.max_by("model_name", share).alias("best"),
-                              F.max(share).alias("value")))
+        picks.append(pick("predicted_share", -1.0))
     table = results.agg(F.array(*picks).alias("rows"))
     return table.select(F.explode("rows").alias("r")).select("r.*").where("value is not null")

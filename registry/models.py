@@ -141,16 +141,15 @@ RESULTS = """(SELECT lower(Proto) AS model_name, AVG(CASE WHEN label_binary = y_
   CAST(COUNT(*) FILTER (label_binary = 1 AND y_pred = 0) AS DOUBLE) AS fn, SUM(Dur) / 1000 AS train_time FROM {scored} AS s GROUP BY 1)"""
 
 
-@query("compare_models", f"""
-SELECT 'accuracy' AS metric, arg_max(model_name, accuracy) AS best, ROUND(MAX(accuracy), 9) AS value FROM {RESULTS} AS r
-UNION ALL SELECT 'train_time', arg_min(model_name, train_time), ROUND(MIN(train_time), 9) FROM {RESULTS} AS r
-UNION ALL SELECT 'fn', arg_min(model_name, fn), ROUND(MIN(fn), 9) FROM {RESULTS} AS r""")
+@query("compare_models", " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{m}' AS metric, model_name AS best, ROUND({m}, 6) AS value FROM {RESULTS} AS r ORDER BY {m} {o}, model_name LIMIT 1) AS {m}_best"
+    for m, o in (("accuracy", "DESC"), ("train_time", ""), ("fn", ""))))
 def compare(spark, sf_dir):
     s = scored_flows(spark, sf_dir).groupBy(F.lower("Proto").alias("model_name")).agg(
         F.avg((F.col("label_binary") == F.col("y_pred")).cast("double")).alias("accuracy"),
         F.count_if((F.col("label_binary") == 1) & (F.col("y_pred") == 0)).alias("fn"),
         (F.sum("Dur") / 1000).alias("train_time"))
-    return rounded(compare_models(s), ["value"], 9)
+    return rounded(compare_models(s), ["value"])
 
 
 QUICK = {"iterations": 5}
