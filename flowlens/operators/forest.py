@@ -236,8 +236,8 @@ def fit_grouped(df: DataFrame, cols, group: str = "protocol_group", label: str |
     """One forest per group in a single job, with a report of every group."""
     from flowlens.operators.thresholds import contamination
 
-    table = contamination(df, label or "", group, default=default_contamination).collect()  # one row per group
-    model = fit_forest(df, cols, group=group, min_rows=min_rows, **options)
+    model = fit_forest(df, cols, group=group, min_rows=min_rows, **options)  # checks the number of groups
+    table = contamination(df, label or "", group, default=default_contamination).collect()
     model.contamination = {str(r[group]): r["contamination"] for r in table if str(r[group]) in model.sizes}
     report = df.sparkSession.createDataFrame(
         [(str(r[group]), r["rows"], r["contamination"], str(r[group]) in model.sizes) for r in table],

@@ -54,7 +54,7 @@ def fp_patterns(df: DataFrame, y: str = "label_binary", p: str = "y_pred") -> Da
     name = F.col("port").cast("string")
     levels = F.array(F.struct(F.lit("proto").alias("pattern"), F.col("proto").alias("value")),
                      F.struct(F.lit("port").alias("pattern"), name.alias("value")),
-                     F.struct(F.lit("proto_port").alias("pattern"), F.concat_ws("/", "proto", name).alias("value")))
+                     F.struct(F.lit("proto_port").alias("pattern"), F.concat("proto", F.lit("/"), name).alias("value")))
     table = (counts.select("count", F.explode(levels).alias("l")).select("count", "l.*")
              .where("value is not null").groupBy("pattern", "value").agg(F.sum("count").alias("n")))
     # Ranked per bucket first, so no task sees all distinct ports.

@@ -8,12 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowlens.functions.catalog import NUMERIC_COLUMNS, PORT_COLUMNS
 
-# Columns of a bidirectional flow capture, in file order, and the
-# spellings of a start time that are accepted.
-CAPTURE_COLUMNS = [
-    "StartTime", "Dur", "Proto", "SrcAddr", "Sport", "Dir", "DstAddr", "Dport", "State",
-    "sTos", "dTos", "TotPkts", "TotBytes", "SrcBytes", "Label",
-]
+# Spellings of a start time that are accepted besides the ISO form.
 TIME_PATTERNS = ["yyyy/MM/dd HH:mm:ss[.SSSSSS]", "yyyy/MM/dd HH:mm"]
 
 

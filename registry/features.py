@@ -39,14 +39,14 @@ def raw_text(spark, sf_dir):
 
 
 @query("clean_coercion", f"""
-SELECT flow_id, CAST(epoch_us(try_strptime(StartTime, '%Y/%m/%d %H:%M:%S.%f')) AS BIGINT) AS start_us,
+SELECT flow_id, try_strptime(StartTime, '%Y/%m/%d %H:%M:%S.%f') AS started,
   TRY_CAST(Dur AS DOUBLE) AS Dur, TRY_CAST(Sport AS DOUBLE) AS Sport,
   TRY_CAST(TotPkts AS DOUBLE) AS TotPkts, Extra
 FROM (SELECT flow_id, StartTime, Dur, CASE WHEN Sport LIKE '0x%' THEN NULL ELSE Sport END AS Sport,
              TotPkts, Extra FROM {RAW} AS r) AS r2""")
 def clean_coercion(spark, sf_dir):
     return clean(raw_text(spark, sf_dir)).select(
-        "flow_id", F.unix_micros("StartTime").alias("start_us"), "Dur", "Sport", "TotPkts", "Extra")
+        "flow_id", F.col("StartTime").cast("timestamp_ntz").alias("started"), "Dur", "Sport", "TotPkts", "Extra")
 
 
 @query("private_addresses", """
