@@ -33,97 +33,93 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
                     direct_rows: int = DIRECT_ROWS, biggest: int | None = None, extra=()) -> DataFrame:
     """Linear-interpolation quantiles per group: keys..., n, q (array, one per prob).
 
-    ``biggest``: a known bound on the rows of any group, to save the counting job.
-    Groups are report rows (features, protocols, candidate combinations); their number
+    ``biggest``: a known bound (at most ``direct_rows``) on the rows of any group, which saves
+    the counting job. Groups are report rows (features, protocols, candidate combinations); their number
     is checked against MAX_GROUPS before anything about them reaches the driver.
     ``extra``: further aggregates over the same groups, in the same pass where possible.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    sizes = None
     if biggest is None:
         counts = data.groupBy(*keys).agg(F.count("_v").alias("n"))
-        biggest = counts.agg(F.max("n")).first()[0] or 0
+        sizes = counts.limit(MAX_GROUPS + 1).collect()
+        biggest = max((r["n"] for r in sizes), default=0)
+        if len(sizes) > MAX_GROUPS:  # too many to hold: only the largest size matters then
+            biggest = counts.agg(F.max("n")).first()[0]
     if biggest <= direct_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         return df.withColumn("_v", F.col(value).cast("double")).groupBy(*keys).agg(
             F.count("_v").alias("n"), F.percentile("_v", wanted).alias("q"), *extra)
-    if not keys:
+    if sizes is None or len(sizes) > MAX_GROUPS:
+        raise ValueError(f"groups of {biggest} rows need their sizes, for at most {MAX_GROUPS} groups")
+    sizes = {tuple(r[k] for k in keys): r["n"] for r in sizes}
+    if not keys:  # one group under a constant key
+        keys, sizes = ["_all"], {(0,): sizes[()]}
         data, df = data.withColumn("_all", F.lit(0)), df.withColumn("_all", F.lit(0))
-        return exact_quantiles_of(df, data, ["_all"], probs, direct_rows, extra).drop("_all")
-    return exact_quantiles_of(df, data, keys, probs, direct_rows, extra)
-
-
-def exact_quantiles_of(df, data, keys, probs, direct_rows, extra) -> DataFrame:
-    found = refined_quantiles(data, keys, probs, direct_rows)
-    if not extra:
-        return found
-    other = df.groupBy(*keys).agg(*extra).withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    # One row per group, at most MAX_GROUPS.
-    return other.join(F.broadcast(found), same).drop(*[f"_{k}" for k in keys])
-
-
-def bracket_rows(data: DataFrame, keys: list[str], brackets: list[tuple]) -> DataFrame:
-    """Each row once per bracket of its group: keys..., _v, _lo, _hi, _share."""
-    ends = [T.StructField(n, T.DoubleType()) for n in ("_lo", "_hi", "_share")]
-    schema = T.StructType([*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys], *ends])
-    # A few rows per group and wanted quantile, with groups capped by MAX_GROUPS.
-    table = data.sparkSession.createDataFrame(brackets, schema)
+    found = refined_quantiles(data, keys, probs, direct_rows, sizes)
+    if extra:
+        other = df.groupBy(*keys).agg(*extra).withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        # One row per group, at most MAX_GROUPS.
+        found = other.join(F.broadcast(found), same).drop(*[f"_{k}" for k in keys])
+    return found.drop("_all")
+
+
+def merged(brackets) -> list[tuple]:
+    """Disjoint, sorted brackets that cover the given ones."""
+    out = []
+    for low, high in sorted(brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def slotted(data: DataFrame, keys: list[str], brackets: dict, sizes: dict) -> DataFrame:
+    """Each value with its place among its group's brackets: keys..., _v, _slot, _inside, _share.
+
+    ``_slot`` counts the brackets below the value; inside or not, a value stays one row.
+    ``_share`` is the sampling rate of the bracket it lies in.
+    """
+    arrays = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("_los", "_his", "_shares")]
+    schema = T.StructType([*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys], *arrays])
+    rows = [(*key, [b[0] for b in bs], [b[1] for b in bs],
+             [min(1.0, SAMPLE / max(sizes.get((key, b), 1), 1)) for b in bs]) for key, bs in brackets.items()]
+    # A few numbers per group, and at most MAX_GROUPS groups.
+    table = data.sparkSession.createDataFrame(rows, schema)
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return data.where("_v is not null").join(F.broadcast(table), same).drop(*[f"_{k}" for k in keys])
+    joined = data.where("_v is not null").join(F.broadcast(table), same)
+    joined = joined.withColumn("_slot", F.expr("size(filter(_his, h -> h < _v))"))
+    inside = F.coalesce(F.col("_v") >= F.try_element_at("_los", F.col("_slot") + 1), F.lit(False))
+    return joined.select(*keys, "_v", "_slot", inside.alias("_inside"),
+                         F.try_element_at("_shares", F.col("_slot") + 1).alias("_share"))
 
 
-def refined_quantiles(data: DataFrame, keys: list[str], probs, direct_rows: int) -> DataFrame:
-    counts = data.groupBy(*keys).agg(F.count("_v").alias("n")).limit(MAX_GROUPS + 1).collect()
-    if len(counts) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; aggregate per group instead")
-    sizes = {tuple(r[k] for k in keys): r["n"] for r in counts}
+def refined_quantiles(data: DataFrame, keys: list[str], probs, direct_rows: int, sizes: dict) -> DataFrame:
+    """Quantiles of groups of known sizes by shrinking brackets."""
     places = {key: [p * (n - 1) for p in probs] for key, n in sizes.items() if n}
 
     # Every order statistic a quantile interpolates between starts with the widest bracket.
-    # ``outer`` is the last bracket known to hold the rank, so a miss still shrinks the search.
     widest = (-math.inf, math.inf)
     pending = {(key, rank): widest for key, at in places.items()
                for a in at for rank in {math.floor(a), math.ceil(a)}}
-    outer = dict.fromkeys(pending, widest)
-    inside_rows = {(key, widest): n for key, n in sizes.items()}
-    steps = ", ".join(f"{i / STEPS!r}D" for i in range(STEPS + 1))
-    found = {}
+    rows_in = {(key, widest): sizes[key] for key in places}
+    stuck, found, turn = set(), {}, 0
     while pending:
-        brackets = sorted({(*key, *b, min(1.0, SAMPLE / max(inside_rows.get((key, b), SAMPLE), 1)))
-                           for (key, _), b in pending.items()}, key=repr)
-        inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
-        rows = bracket_rows(data, keys, brackets).withColumn(
-            "_in", F.when(inside & (F.rand(42) < F.col("_share")), F.col("_v")))
-        seen = rows.groupBy(*keys, "_lo", "_hi").agg(
-            F.count(F.when(F.col("_v") < F.col("_lo"), 1)).alias("below"),
-            F.count(F.when(inside, 1)).alias("within"),
-            F.expr(f"percentile_approx(_in, array({steps}), {ACCURACY})").alias("cuts")).collect()
-        seen = {(tuple(r[k] for k in keys), (r["_lo"], r["_hi"])): r for r in seen}
-        narrower, final = {}, []
-        for (key, rank), bracket in pending.items():
-            stats = seen[(key, bracket)]
-            offset, within, cuts = rank - stats["below"], stats["within"], stats["cuts"]
-            if offset < 0:  # the sample misled: the rank lies below the bracket
-                narrower[(key, rank)] = (outer[(key, rank)][0], bracket[0])
-                continue
-            if offset >= within:
-                narrower[(key, rank)] = (bracket[1], outer[(key, rank)][1])
-                continue
-            outer[(key, rank)] = bracket
-            if within <= direct_rows or cuts is None:
-                final.append((key, rank, bracket, offset))
-                continue
-            at = offset / max(within - 1, 1) * STEPS
-            low, high = max(math.floor(at) - MARGIN, 0), min(math.ceil(at) + MARGIN, STEPS)
-            tight = (cuts[low] if low else bracket[0], cuts[high] if high < STEPS else bracket[1])
-            if tight == bracket:
-                final.append((key, rank, bracket, offset))
-            else:
-                narrower[(key, rank)] = tight
-                inside_rows.setdefault((key, tight), max(1, within * (high - low) // STEPS))
-        if final:
-            found.update(read_ranks(data, keys, final))
-        pending = narrower
+        turn += 1  # a new sample each time
+        brackets: dict[tuple, list] = {}
+        for key, bs in group_by_key(pending).items():
+            brackets[key] = merged(bs)
+            for m in brackets[key]:
+                parts = {b for b in bs if m[0] <= b[0] and b[1] <= m[1]}
+                rows_in.setdefault((key, m), sum(rows_in[(key, b)] for b in parts))
+        big = [(key, b) for key, bs in brackets.items() for b in bs
+               if rows_in[(key, b)] > direct_rows and (key, b) not in stuck]
+        if big:
+            narrow_brackets(data, keys, brackets, rows_in, pending, stuck, direct_rows, turn)
+        else:
+            gather_ranks(data, keys, brackets, rows_in, pending, found)
 
     def between(key, at):
         low, high = found[(key, math.floor(at))], found[(key, math.ceil(at))]
@@ -136,24 +132,73 @@ def refined_quantiles(data: DataFrame, keys: list[str], probs, direct_rows: int)
     return data.sparkSession.createDataFrame(rows, schema)
 
 
-def read_ranks(data: DataFrame, keys: list[str], final: list[tuple]) -> dict:
-    """Values at the wanted positions of brackets that hold few rows or few distinct values."""
-    rows = bracket_rows(data, keys, sorted({(*k, *b, 1.0) for k, _, b, _ in final}, key=repr))
-    rows = rows.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    order = (Window.partitionBy(*keys, "_lo", "_hi").orderBy("_v")
+def group_by_key(pending: dict) -> dict:
+    out: dict[tuple, set] = {}
+    for (key, _), b in pending.items():
+        out.setdefault(key, set()).add(b)
+    return out
+
+
+def gap(bs: list[tuple], slot: int) -> tuple:
+    """The stretch between two neighbouring brackets."""
+    return (bs[slot - 1][1] if slot else -math.inf, bs[slot][0] if slot < len(bs) else math.inf)
+
+
+def narrow_brackets(data, keys, brackets, rows_in, pending, stuck, direct_rows, turn) -> None:
+    """Count exactly what lies in and between the brackets, and shrink the big ones.
+
+    A rank that turns out to lie between brackets gets that stretch as its next bracket.
+    """
+    steps = ", ".join(f"{i / STEPS!r}D" for i in range(STEPS + 1))
+    rows = slotted(data, keys, brackets, rows_in).withColumn(
+        "_picked", F.when(F.col("_inside") & (F.rand(turn) < F.col("_share")), F.col("_v")))
+    seen = rows.groupBy(*keys, "_slot", "_inside").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.expr(f"percentile_approx(_picked, array({steps}), {ACCURACY})").alias("cuts")).collect()
+    table: dict[tuple, list] = {}
+    for r in seen:
+        table.setdefault(tuple(r[k] for k in keys), []).append(r)
+    spans = {}  # per group: (first rank, rows, slot, inside, cuts) in value order
+    for key, parts in table.items():
+        start, spans[key] = 0, []
+        for r in sorted(parts, key=lambda r: (r["_slot"], r["_inside"])):
+            spans[key].append((start, r["c"], r["_slot"], r["_inside"], r["cuts"]))
+            start += r["c"]
+    for (key, rank) in list(pending):
+        start, n, slot, inside, cuts = next(s for s in spans[key] if s[0] <= rank < s[0] + s[1])
+        bracket = brackets[key][slot] if inside else gap(brackets[key], slot)
+        rows_in[(key, bracket)] = n
+        if inside and n > direct_rows:
+            at = (rank - start) / max(n - 1, 1) * STEPS
+            low, high = max(math.floor(at) - MARGIN, 0), min(math.ceil(at) + MARGIN, STEPS)
+            tight = (cuts[low] if low else bracket[0], cuts[high] if high < STEPS else bracket[1]) if cuts else bracket
+            if tight == bracket:  # a few heavy values: as a value map it is small
+                stuck.add((key, bracket))
+            rows_in.setdefault((key, tight), max(1, n * (high - low) // STEPS))
+            bracket = tight
+        pending[(key, rank)] = bracket
+
+
+def gather_ranks(data, keys, brackets, rows_in, pending, found) -> None:
+    """Read the wanted ranks: values inside the brackets one by one, the rest as mere counts."""
+    rows = slotted(data, keys, brackets, rows_in)
+    value = F.when(F.col("_inside"), F.col("_v"))
+    order = (Window.partitionBy(*keys).orderBy("_slot", F.asc_nulls_first("value"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ends = (rows.groupBy(*keys, "_lo", "_hi", "_v").agg(F.count("*").alias("c"))
+    ends = (rows.groupBy(*keys, "_slot", value.alias("value")).agg(F.count(F.lit(1)).alias("c"))
             .withColumn("upto", F.sum("c").over(order)))
-    wants = data.sparkSession.createDataFrame(
-        [(*key, *bracket, rank, offset) for key, rank, bracket, offset in final],
-        T.StructType([*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys],
-                      T.StructField("_wlo", T.DoubleType()), T.StructField("_whi", T.DoubleType()),
-                      T.StructField("rank", T.LongType()), T.StructField("offset", T.LongType())]))
+    wants = data.sparkSession.createDataFrame([(*key, rank) for key, rank in pending], T.StructType(
+        [*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys], T.StructField("rank", T.LongType())]))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    same += [F.col("_lo") == F.col("_wlo"), F.col("_hi") == F.col("_whi"),
-             F.col("offset") < F.col("upto"), F.col("offset") >= F.col("upto") - F.col("c")]
-    got = ends.join(F.broadcast(wants), same).select(*keys, "rank", "_v").collect()
-    return {(tuple(r[k] for k in keys), r["rank"]): r["_v"] for r in got}
+    hit = [F.col("rank") < F.col("upto"), F.col("rank") >= F.col("upto") - F.col("c")]
+    for r in ends.join(F.broadcast(wants), same + hit).select(*keys, "rank", "_slot", "value", "c").collect():
+        key = tuple(r[k] for k in keys)
+        if r["value"] is not None:
+            found[(key, r["rank"])] = r["value"]
+            del pending[(key, r["rank"])]
+        else:  # the bracket missed; the rank lies in this stretch
+            pending[(key, r["rank"])] = stretch = gap(brackets[key], r["_slot"])
+            rows_in[(key, stretch)] = r["c"]
 
 
 def exact_quantile(df: DataFrame, value: str, prob: float, **kw) -> float | None:

@@ -167,14 +167,6 @@ def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str =
     parts = ["n", "q", *(["mode"] if small else [])]
     wide = found.groupBy(*keys).agg(*[
         F.max(F.when(F.col("grp") == g, F.struct(*parts))).alias(g) for g in ("normal", "attack", "fn")])
-    if small:
-        wide = wide.withColumn("mode", F.col("normal.mode"))
-    else:
-        # By counting instead; both sides hold one row per combination and feature, bounded above.
-        modes = (long.where("grp = 'normal'").groupBy(*keys, "value").count()
-                 .groupBy(*keys).agg(F.max(F.struct("count", (-F.col("value")).alias("v"))).alias("m"))
-                 .select(*keys, (-F.col("m.v")).alias("mode")))
-        wide = wide.join(F.broadcast(modes), keys)
     at = {prob: i for i, prob in enumerate(PROBS)}
 
     def q(group, prob):
@@ -185,6 +177,15 @@ def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str =
              | (q("attack", 0.10) > q("normal", 0.95)))
     bound = F.when(q("attack", 0.05) > 0, F.least(q("normal", 0.95), q("attack", 0.05))).otherwise(q("normal", 0.95))
     wide = wide.where(enough & apart).withColumn("b", bound)
+    if small:
+        wide = wide.withColumn("mode", F.col("normal.mode"))
+    else:
+        # By counting, and only where the classes are apart: a few rows per combination.
+        parts = F.broadcast(spark.createDataFrame(wide.select(*keys).collect(), long.select(*keys).schema))
+        modes = (long.where("grp = 'normal'").join(parts, keys).groupBy(*keys, "value").count()
+                 .groupBy(*keys).agg(F.max(F.struct("count", (-F.col("value")).alias("v"))).alias("m"))
+                 .select(*keys, (-F.col("m.v")).alias("mode")))
+        wide = wide.join(F.broadcast(modes), keys)
     has_fn = F.coalesce(F.col("fn.n") > MIN_FN_VALUES, F.lit(False))
     b = F.col("b")
     tight = (F.when(has_fn & (q("fn", 0.05) < b), F.least(b, q("fn", 0.05) * 0.9))
