@@ -33,14 +33,14 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
                     direct_rows: int = DIRECT_ROWS, biggest: int | None = None, extra=()) -> DataFrame:
     """Linear-interpolation quantiles per group: keys..., n, q (array, one per prob).
 
-    ``biggest``: a known bound (at most ``direct_rows``) on the rows of any group, which saves
-    the counting job. Groups are report rows (features, protocols, candidate combinations); their number
+    ``biggest``: a known bound on the rows of any group; up to ``direct_rows`` it saves the
+    counting job. Groups are report rows (features, protocols, candidate combinations); their number
     is checked against MAX_GROUPS before anything about them reaches the driver.
     ``extra``: further aggregates over the same groups, in the same pass where possible.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v"))
     sizes = None
-    if biggest is None:
+    if biggest is None or biggest > direct_rows:
         counts = data.groupBy(*keys).agg(F.count("_v").alias("n"))
         sizes = counts.limit(MAX_GROUPS + 1).collect()
         biggest = max((r["n"] for r in sizes), default=0)
@@ -50,8 +50,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         return df.withColumn("_v", F.col(value).cast("double")).groupBy(*keys).agg(
             F.count("_v").alias("n"), F.percentile("_v", wanted).alias("q"), *extra)
-    if sizes is None or len(sizes) > MAX_GROUPS:
-        raise ValueError(f"groups of {biggest} rows need their sizes, for at most {MAX_GROUPS} groups")
+    if len(sizes) > MAX_GROUPS:
+        raise ValueError(f"groups of {biggest} rows among more than {MAX_GROUPS} groups")
     sizes = {tuple(r[k] for k in keys): r["n"] for r in sizes}
     if not keys:  # one group under a constant key
         keys, sizes = ["_all"], {(0,): sizes[()]}

@@ -142,15 +142,21 @@ def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str =
 
     One job over all combinations: features and classes become rows of a long table whose
     groups are summarised by exact quantiles. Output: proto, port, feature, place, bound.
-    ``totals``: known class sizes, which bound the rows of any group.
+    Counts that come with the combinations, or ``totals`` of the classes, bound the rows of any
+    group and save a counting job.
     """
     spark = df.sparkSession
     columns = behavioral_columns(df, features)
-    if totals and max(totals.values()) <= DIRECT_ROWS:
-        kw.setdefault("biggest", max(totals.values()))
-    wanted = [(r["proto"], r["port"]) for r in combos.select("proto", "port").distinct().limit(MAX_RULES + 1).collect()]
-    if len(wanted) > MAX_RULES:
+    known = {"normal_count", "attack_count"} <= set(combos.columns)
+    size = F.greatest("normal_count", "attack_count") if known else F.lit(max(totals.values()) if totals else None)
+    chosen = (combos.groupBy("proto", "port").agg(F.max(size.cast("long")).alias("size"))
+              .limit(MAX_RULES + 1).collect())
+    if len(chosen) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} combinations; raise the thresholds")
+    wanted = [(r["proto"], r["port"]) for r in chosen]
+    sizes = [r["size"] for r in chosen]
+    if None not in sizes and max(sizes, default=0) <= DIRECT_ROWS:
+        kw.setdefault("biggest", max(sizes, default=0))
     combos = F.broadcast(spark.createDataFrame(wanted, "proto string, port double"))
     proto, port = combo_keys()
     attack, flagged = F.col(y) == 1, F.col(p) == 1
@@ -372,8 +378,9 @@ def mine_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred", method
         plain, risky = service_candidates(counts, fp_threshold, normal_threshold, attack_threshold, totals)
     finally:
         counts.unpersist()
-    combos = chosen.select("proto", "port").unionByName(risky.select(F.col("modal_proto").alias("proto"), "port"))
-    bounds = behavioral_bounds(df, combos, features, y, p, totals=totals)
+    sized = ["proto", "port", "normal_count", "attack_count"]
+    combos = chosen.select(*sized).unionByName(risky.withColumn("proto", F.col("modal_proto")).select(*sized))
+    bounds = behavioral_bounds(df, combos, features, y, p)
     bounds = spark.createDataFrame(bounds.collect(), bounds.schema)  # five per combination at most
     made = combo_rules(chosen, bounds).unionByName(service_rules(plain, risky, bounds, attack_threshold))
     rows = made.limit(MAX_RULES + 1).collect()
