@@ -35,3 +35,17 @@ def op9_binary_output(spark, sf_dir):
     path = scratch_path(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER), path)
     return read_ids(spark, path)
+
+
+@query
+def op8_packing(spark, sf_dir):
+    from flowlens.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER)).drop("ids")
+
+
+@query
+def op4_quality_rules(spark, sf_dir):
+    from flowlens.llm.quality_rules import quality
+
+    return quality(table(spark, sf_dir, "documents")).drop("rejected_by")
