@@ -49,3 +49,17 @@ def op4_quality_rules(spark, sf_dir):
     from flowlens.llm.quality_rules import quality
 
     return quality(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+@query
+def op2_simhash_dedup(spark, sf_dir):
+    from flowlens.llm.simhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    from flowlens.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
