@@ -63,3 +63,24 @@ def op3_toxicity(spark, sf_dir):
     from flowlens.llm.toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    from flowlens.llm.secret_scan import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontamination(spark, sf_dir):
+    from flowlens.llm.decontaminate import report
+
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    from flowlens.llm.chat_format import report
+
+    return report(table(spark, sf_dir, "conversations"))
