@@ -84,3 +84,10 @@ def op6_chat_format(spark, sf_dir):
     from flowlens.llm.chat_format import report
 
     return report(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    from flowlens.llm.quality_classifier import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -55,14 +55,15 @@ def fingerprint(data: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit integer, of every row."""
+    """doc_id, h (hash of the text) and fp, the fingerprint as a signed 64-bit integer, of every row."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(x) for x in b.column(1).to_pylist()], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            fp = np.array([fingerprint(x) for x in b.column(2).to_pylist()], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["doc_id", "h", "fp"])
 
-    return (docs.select(F.col("doc_id").cast("long"), text_of().cast("binary").alias("data"))
-            .mapInArrow(hashed, "doc_id long, fp long"))
+    return (docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("h"),
+                        text_of().cast("binary").alias("data"))
+            .mapInArrow(hashed, "doc_id long, h long, fp long"))
 
 
 class BKForest:
@@ -186,22 +187,50 @@ def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Da
     return plain.unionByName(dealt)
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id of every row.
-
-    Rows whose fingerprints differ in at most ``radius`` bits are linked; component_id is the smallest doc_id
-    reachable, and NULL where a component has no ids. A NULL or empty text has the fingerprint zero and is
-    linked like any other; repeated rows each give a row; other columns are left out.
-    """
+def classes(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
+    """doc_id, h, fp and least of every row: least is the smallest (no id, doc_id, h) of the row's component."""
     rows = materialize(fingerprints(docs), "fingerprints")
-    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    own = F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "h")
+    fps = materialize(rows.groupBy("fp").agg(F.min(own).alias("least")), "distinct")
     found = shards(fps.select("fp"), radius, limit)
     links = (found.repartition("shard").sortWithinPartitions("shard", "fp")
              .mapInArrow(lambda it: _search(it, radius), "a long, b long"))
     roots = components(links)
     joined = (fps.join(roots, fps["fp"] == roots["a"], "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = joined.join(least, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    least = joined.groupBy("root").agg(F.min("least").alias("least"))
+    return rows.join(joined.select("fp", "root").join(least, "root").select("fp", "least"), "fp")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id of every row.
+
+    Rows whose fingerprints differ in at most ``radius`` bits are linked; component_id is the smallest doc_id
+    reachable, and NULL where a component has no ids. A NULL or empty text has the fingerprint zero and is
+    linked like any other; repeated rows each give a row; other columns are left out.
+    """
+    return classes(docs, radius, limit).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"))
+
+
+def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, then of the smallest text hash.
+
+    Rows without an id come last. Of rows that repeat the chosen id and text one stays. Texts are not moved
+    while the rows to drop are few enough to broadcast.
+    """
+    rows = materialize(classes(docs, radius).select("doc_id", "h", "least"), "classes")
+    chosen = (F.col("h") == F.col("least.h")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+    dropped = rows.where(~chosen).select("doc_id", "h").distinct()
+    repeated = rows.where(chosen).groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h")
+
+    def key(side: DataFrame) -> DataFrame:
+        return small_enough(side).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
+
+    same = (F.xxhash64(text_of()) == F.col("_h")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
+    kept = docs.join(key(dropped), same, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    once = (docs.join(key(repeated), same, "left_semi").withColumn("_h", F.xxhash64(text_of()))
+            .dropDuplicates(["doc_id", "_h"]).drop("_h"))
+    return kept.join(key(repeated), same, "left_anti").unionByName(once)

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import crc_fold, materialize, sampled, text_of
@@ -149,7 +150,9 @@ class Grammar:
                 len(matched) / clauses]
 
     def score(self, rows: list[list[float]]) -> np.ndarray:
-        x = (np.array(rows).reshape(len(rows), -1) - self.mean) / self.scale
+        if not rows:
+            return np.zeros(0)
+        x = (np.array(rows) - self.mean) / self.scale
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[1:] + self.weights[0], -30, 30)))
 
 
@@ -240,25 +243,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Grammar:
     return grammar
 
 
-def score(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs`` and score and predicted of each whole text; a NULL text counts as empty."""
-    from pyspark.sql.functions import pandas_udf
+def scorer(spark: SparkSession, grammar: Grammar):
+    """The score of a text column; the bounded grammar is broadcast, and each worker keeps one copy of it."""
+    shared = spark.sparkContext.broadcast(grammar)
 
-    shared = docs.sparkSession.sparkContext.broadcast(grammar)
+    @F.pandas_udf("double")
+    def scored(text: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.score([shared.value.features(t) for t in text]), dtype="float64")
 
-    @pandas_udf("double")
-    def scored(text):
-        g = shared.value
-        return _series(g.score([g.features(t) for t in text]) if len(text) else np.zeros(0))
+    return lambda column="text": scored(text_of(column))
 
-    value = scored(text_of())
-    return docs.withColumn("score", value).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
-
-def _series(values: np.ndarray):
-    import pandas as pd
-
-    return pd.Series(values, dtype="float64")
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows whose score reaches the threshold."""
+    return docs.where(scorer(docs.sparkSession, fit(docs, labels))() < threshold)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -267,5 +265,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     NULL and empty texts get the score of a text without matches; repeated rows each give a row; other
     columns, lang and source among them, are never read.
     """
-    own = docs.select(F.col("doc_id").cast("long"), "text")
-    return score(own, fit(docs, labels)).select("doc_id", (crc_fold() == 1).alias("held_out"), "score", "predicted")
+    value = scorer(docs.sparkSession, fit(docs, labels))()
+    return (docs.select(F.col("doc_id").cast("long"), value.alias("score"))
+            .select("doc_id", (crc_fold() == 1).alias("held_out"), "score",
+                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
