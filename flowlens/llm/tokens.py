@@ -11,8 +11,8 @@ import array
 import os
 import re
 
-#: Parts a worker keeps in each of two generations, and the longest part it keeps.
-CACHE_PARTS = 400_000
+#: Parts a worker keeps, and the longest part it keeps.
+CACHE_PARTS = 300_000
 CACHE_LENGTH = 64
 
 _SPACE_RUN = re.compile(r" \s")
@@ -28,43 +28,33 @@ def load(path: str):
 
 
 class PartCache:
-    """Values of text parts: a fixed table first, then what this worker has encoded itself."""
+    """Values of text parts: a fixed table first, then what this worker has encoded itself.
+
+    A full cache takes no more parts, as those met first are mostly the frequent ones; it starts anew once it
+    has been passed by many times its size, so a change of language is followed.
+    """
 
     def __init__(self, encode, table: dict | None = None, parts: int = CACHE_PARTS):
-        self.encode, self.table, self.parts = encode, table or {}, parts
-        self.young: dict = {}
-        self.old: dict = {}
+        self.encode, self.table, self.parts, self.passed = encode, table or {}, parts, 0
+        self.kept: dict = dict(self.table)
 
     def values(self, parts: list[str]) -> list:
         """The value of each part, in order."""
-        out = list(map(self.young.get, parts))
-        if None not in out:
-            return out
-        missing: dict[str, list[int]] = {}
-        for i in [i for i, v in enumerate(out) if v is None]:
-            part = parts[i]
-            v = self.table.get(part)
-            if v is None:
-                v = self.old.get(part)
-            if v is None:
-                missing.setdefault(part, []).append(i)
+        out = list(map(self.kept.get, parts))
+        if None in out:
+            missing = [i for i, v in enumerate(out) if v is None]
+            new = list({parts[i]: None for i in missing})
+            found = dict(zip(new, self.encode(new), strict=True))
+            for i in missing:
+                out[i] = found[parts[i]]
+            if len(self.kept) < self.parts + len(self.table):
+                self.kept.update((p, v) for p, v in found.items() if len(p) <= CACHE_LENGTH)
             else:
-                self._keep(part, v)
-                out[i] = v
-        if missing:
-            new = list(missing)
-            for part, v in zip(new, self.encode(new), strict=True):
-                for i in missing[part]:
-                    out[i] = v
-                if len(part) <= CACHE_LENGTH:
-                    self._keep(part, v)
+                self.passed += len(found)
+                if self.passed > 10 * self.parts:
+                    self.kept, self.passed = dict(self.table), 0
         return out
 
-    def _keep(self, part: str, value) -> None:
-        if len(self.young) >= self.parts:
-            self.old, self.young = self.young, {}
-        self.young[part] = value
-
 
 def word_parts(text: str) -> list[str]:
     """Parts for a tokenizer that drops white space and lets nothing reach across it."""
@@ -79,22 +69,52 @@ def byte_parts(text: str) -> list[str]:
     return _CUT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
 
 
+#: Parts of these characters are split here; the classes of letters and digits among them are settled.
+_SETTLED = re.compile(r"[\n\t\r -~\u00a1-\u024f]*")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte, by the byte's Latin-1 code."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 class ByteIds:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary is checked to fit)."""
 
     def __init__(self, path: str):
+        import public_tokenizers
+        import regex
+
         self.tok = load(path)
         if self.tok.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.alphabet = byte_alphabet()
         self.cache = PartCache(self._encode)
+        self.words = PartCache(self._tokenize)
 
     def _plain(self, text: str) -> bytes:
         return array.array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _tokenize(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pre-tokens, straight from the tokenizer's model."""
+        model, alphabet = self.tok.model.tokenize, self.alphabet
+        return [array.array("H", [t.id for t in model(p.encode().decode("latin-1").translate(alphabet))]).tobytes()
+                for p in pieces]
+
     def _encode(self, parts: list[str]) -> list[bytes]:
-        batch = self.tok.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        return [array.array("H", e.ids).tobytes() for e in batch]
+        out = []
+        for p in parts:
+            if not _SETTLED.fullmatch(p):
+                out.append(self._plain(" " + p))
+            elif p.isalpha():
+                out.append(self._tokenize([" " + p])[0])
+            else:
+                out.append(b"".join(self.words.values(self.pieces(" " + p))))
+        return out
 
     def __call__(self, text: str) -> bytes:
         # A special string ends a stretch of white space earlier than its part would: such texts go whole.
