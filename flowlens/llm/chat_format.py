@@ -63,7 +63,7 @@ def format_chats(messages: DataFrame, keys: list[str]) -> DataFrame:
     points (start, length) of assistant contents. A conversation is one output string, so its turns meet in
     one row, however many conversations there are. Other columns are left out.
     """
-    content, attachments = visit(F.col("parts"))
+    content, attachments = visit(F.coalesce("parts", F.array().cast(PART)))
     turns = messages.select(*keys, "turn", F.coalesce("role", F.lit("")).alias("role"), content.alias("content"),
                             attachments.alias("attachments"))
     chats = turns.groupBy(*keys).agg(F.array_sort(F.collect_list(
