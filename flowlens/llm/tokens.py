@@ -12,7 +12,7 @@ import os
 import re
 
 #: Parts a worker keeps, and the longest part it keeps.
-CACHE_PARTS = 300_000
+CACHE_PARTS = 600_000
 CACHE_LENGTH = 64
 
 _SPACE_RUN = re.compile(r" \s")
@@ -93,8 +93,9 @@ class ByteIds:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.alphabet = byte_alphabet()
+        self.marks = {m: self._tokenize((m,))[0] for m in ".,;:!?"}
         self.cache = PartCache(self._encode)
-        self.words = PartCache(self._tokenize)
+        self.words = PartCache(self._tokenize, parts=CACHE_PARTS // 4)
 
     def _plain(self, text: str) -> bytes:
         return array.array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
@@ -106,12 +107,14 @@ class ByteIds:
                 for p in pieces]
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        out = []
+        out, kept, settled, marks = [], self.cache.kept, _SETTLED.fullmatch, self.marks
         for p in parts:
-            if not _SETTLED.fullmatch(p):
+            if not settled(p):
                 out.append(self._plain(" " + p))
             elif p.isalpha():
-                out.append(self._tokenize([" " + p])[0])
+                out.append(self._tokenize((" " + p,))[0])
+            elif p[-1:] in marks and p[:-1].isalpha():  # two pre-tokens, the first often known
+                out.append((kept.get(p[:-1]) or self._tokenize((" " + p[:-1],))[0]) + marks[p[-1]])
             else:
                 out.append(b"".join(self.words.values(self.pieces(" " + p))))
         return out
