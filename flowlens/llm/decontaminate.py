@@ -17,7 +17,7 @@ SHINGLE = 5
 #: Least containment, in percent.
 CONTAINMENT = 80
 #: Rows of the item index up to which it is broadcast (24 bytes each); a larger one is joined by a shuffle.
-INDEX_ROWS = 2_000_000
+INDEX_ROWS = 500_000
 
 
 def word_list(text: Column) -> Column:
@@ -73,7 +73,7 @@ def contamination(docs: DataFrame, items: DataFrame, containment: int = CONTAINM
              .join(small_enough(pairs.select("doc_id", "h").distinct()).alias("c"),
                    F.expr("d.doc_id <=> c.doc_id AND d.h = c.h"), "left_semi").distinct())
     held = (_with_words(texts).select("doc_id", "h", F.explode(shingles(F.col("words"))).alias("shingle"))
-            .join(small_enough(index.select("shingle", "item_id", "item", "n"), INDEX_ROWS), "shingle")
+            .join(small_enough(index.select("shingle", "item_id", "item", "n")), "shingle")
             .groupBy("doc_id", "h", "item_id", "item", "n").agg(F.count("*").alias("n_found")))
     best = F.max(F.struct((F.col("n_found") / F.col("n")).alias("share"), "n", "n_found")).alias("b")
     return (held.alias("f").join(pairs.alias("p"), F.expr(

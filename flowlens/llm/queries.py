@@ -91,3 +91,48 @@ def op7_quality_classifier(spark, sf_dir):
     from flowlens.llm.quality_classifier import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# SQL twins of the queries that SQL can express.
+SPLIT = r"list_filter(regexp_split_to_array({text}, '{by}'), lambda x: x <> '')"
+SHINGLES = """(SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM (SELECT {key}, """ + SPLIT.format(text="lower(coalesce(text, ''))", by=r"[^\p{{L}}\p{{N}}]+") + """ AS w FROM {table}) AS t)"""
+
+SQL["op10_decontamination"] = f"""
+WITH d AS {SHINGLES.format(key="doc_id", table="documents")}, i AS {SHINGLES.format(key="item_id", table="benchmark")},
+n AS (SELECT item_id, COUNT(*) AS n FROM i GROUP BY 1)
+SELECT doc_id, item_id, n AS n_item, COUNT(*) AS n_found, COUNT(*) / CAST(n AS DOUBLE) AS containment
+FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING COUNT(*) * 100 >= n * 80"""
+
+ESCAPED = r"regexp_replace({x}, '([<\[])(\\*)(\|[a-z_]+\|>|/?s>|/?INST\])', '\1\\\2\3', 'g')"
+
+SQL["op6_chat_format"] = f"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+a AS (SELECT conv_id, COUNT(*) AS n_turns, string_agg(concat(r, chr(10), t, chr(10)), '' ORDER BY turn, r, t) AS turns,
+  string_agg(CASE WHEN r = 'assistant' THEN t ELSE '' END, '' ORDER BY turn, r, t) AS loss,
+  SUM(8 + length({ESCAPED.format(x="r")}) + 1 + length({ESCAPED.format(x="t")}) + 8) + 7 AS formatted_chars FROM m GROUP BY 1)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars FROM a"""
+
+SQL["op4_quality_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, {SPLIT.format(text="t", by="[" + r"\x20\x09-\x0D" + "]+")} AS w FROM d),
+c AS (SELECT doc_id, t, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols FROM w),
+l AS (SELECT doc_id, COUNT(*) - COUNT(DISTINCT x) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) AS s
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY 1),
+g AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, x) AS times FROM (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS x
+  FROM w WHERE len(w) >= 3) AS s),
+r AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n_repeat_words FROM g, (VALUES (0), (1), (2)) AS o(k) WHERE times > 1 GROUP BY 1),
+b AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  t, w FROM c LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols > 0.1 * n_words OR n_dup_lines > 0.5 * len(string_split(t, chr(10)))
+    OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
+    OR len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]') AND strlen(x) > 1)) > 0.4 * n_words
+    OR len(list_filter(w, lambda x: regexp_full_match(x, '[\x00-\x40\x5B-\x60\x7B-\x7F]*'))) > 0.6 * n_words
+    OR len(list_distinct(w)) < 0.5 * sqrt(n_words)) AS kept FROM f"""
