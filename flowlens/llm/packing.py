@@ -100,8 +100,9 @@ class Index:
         terms, tf = np.unique(ids, return_counts=True)
         if len(terms) > QUERY_TERMS:
             terms = terms[np.argsort(-self.idf[terms] * np.sqrt(tf), kind="stable")[:QUERY_TERMS]]
-        at = np.concatenate([np.arange(self.start[t], self.start[t + 1]) for t in terms])
-        return np.bincount(self.doc[at], weights=self.impact[at], minlength=self.n)
+        spans = [slice(self.start[t], self.start[t + 1]) for t in terms.tolist()]
+        return np.bincount(np.concatenate([self.doc[s] for s in spans]),
+                           weights=np.concatenate([self.impact[s] for s in spans]), minlength=self.n)
 
 
 def fill(rests: list[np.ndarray], index: Index, window: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -122,15 +123,13 @@ def fill(rests: list[np.ndarray], index: Index, window: int) -> Iterator[tuple[i
         yield doc, begin, offset, sequence, 0
         if offset < window:
             scores = np.where(unused, index.scores(rests[doc][begin:]), -1.0)
-            for other in np.argsort(-scores, kind="stable"):
-                if scores[other] < 0:
-                    break
-                unused[other] = False
+            while scores[other := int(scores.argmax())] >= 0:
+                unused[other], scores[other] = False, -1.0
                 length = min(len(rests[other]), window - offset)
-                yield int(other), 0, length, sequence, offset
+                yield other, 0, length, sequence, offset
                 offset += length
                 if length < len(rests[other]):
-                    seed = (int(other), length)
+                    seed = (other, length)
                 if offset == window:
                     break
         sequence += 1
