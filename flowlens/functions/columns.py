@@ -29,6 +29,15 @@ def require(df: DataFrame, columns, numeric=(), datetime=()) -> None:
         raise ValueError(f"columns of the wrong type: {wrong}")
 
 
+def schema_contract(df: DataFrame, columns=(), numeric=(), datetime=()) -> DataFrame:
+    """One row per wanted column: name, present, type_right (always true for columns of any type)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kinds = [*((c, None) for c in columns), *((c, T.NumericType) for c in numeric),
+             *((c, (T.TimestampType, T.TimestampNTZType)) for c in datetime)]
+    rows = [(c, c in types, c in types and (kind is None or isinstance(types[c], kind))) for c, kind in kinds]
+    return df.sparkSession.createDataFrame(rows, "name string, present boolean, type_right boolean")
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

@@ -1,25 +1,19 @@
-"""Exact quantiles with bounded memory.
-
-``percentile`` keeps a value -> count map per group, which is exact but grows with
-the data. It is used directly while the group is small. Beyond that, an approximate
-summary of a sample brackets each wanted order statistic, a narrow aggregate counts what
-lies below and inside the bracket, and brackets shrink until their rows are few. The counts
-are exact, so a bracket that missed is noticed and moved. Rows are not sorted or shuffled
-as a whole: every round is a partial aggregate over the scan with a small state.
+"""Exact quantiles in two passes, whatever the number of rows or groups.
+
+An approximate summary per group brackets each wanted order statistic; its error is bounded, so the bracket
+surely holds the rank. A counting pass then keeps one row for each value inside a bracket and mere counts
+outside, and running counts find the ranks. Brackets stay in a table that is joined by group; nothing reaches
+the driver, and no group is gathered whole.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DIRECT_ROWS = 1_000_000
-SAMPLE = 100_000
+#: An approximate rank is off by at most the group's rows divided by this.
 ACCURACY = 10_000
-STEPS = 256
-MARGIN = 2
-MAX_GROUPS = 100_000
+#: Groups of so few rows are one bracket: their ranks lie too close for approximate ones.
+WHOLE_ROWS = 100_000
 
 
 def melt(df: DataFrame, columns, keep=()) -> DataFrame:
@@ -29,176 +23,66 @@ def melt(df: DataFrame, columns, keep=()) -> DataFrame:
     return typed.unpivot(typed.columns[:len(keep)], names, "feature", "value")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    direct_rows: int = DIRECT_ROWS, biggest: int | None = None, extra=()) -> DataFrame:
-    """Linear-interpolation quantiles per group: keys..., n, q (array, one per prob).
+def _same(keys: list[str], left: str, right: str) -> Column:
+    test = F.lit(True)
+    for k in keys:
+        test = test & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return test
 
-    ``biggest``: a known bound on the rows of any group; up to ``direct_rows`` it saves the
-    counting job. Groups are report rows (features, protocols, candidate combinations); their number
-    is checked against MAX_GROUPS before anything about them reaches the driver.
-    ``extra``: further aggregates over the same groups, in the same pass where possible.
-    """
-    data = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    sizes = None
-    if biggest is None or biggest > direct_rows:
-        counts = data.groupBy(*keys).agg(F.count("_v").alias("n"))
-        sizes = counts.limit(MAX_GROUPS + 1).collect()
-        biggest = max((r["n"] for r in sizes), default=0)
-        if len(sizes) > MAX_GROUPS:  # too many to hold: only the largest size matters then
-            biggest = counts.agg(F.max("n")).first()[0]
-    if biggest <= direct_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return df.withColumn("_v", F.col(value).cast("double")).groupBy(*keys).agg(
-            F.count("_v").alias("n"), F.percentile("_v", wanted).alias("q"), *extra)
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"groups of {biggest} rows among more than {MAX_GROUPS} groups")
-    sizes = {tuple(r[k] for k in keys): r["n"] for r in sizes}
-    if not keys:  # one group under a constant key
-        keys, sizes = ["_all"], {(0,): sizes[()]}
-        data, df = data.withColumn("_all", F.lit(0)), df.withColumn("_all", F.lit(0))
-    found = refined_quantiles(data, keys, probs, direct_rows, sizes)
-    if extra:
-        other = df.groupBy(*keys).agg(*extra).withColumnsRenamed({k: f"_{k}" for k in keys})
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        # One row per group, at most MAX_GROUPS.
-        found = other.join(F.broadcast(found), same).drop(*[f"_{k}" for k in keys])
-    return found.drop("_all")
-
-
-def merged(brackets) -> list[tuple]:
-    """Disjoint, sorted brackets that cover the given ones."""
-    out = []
-    for low, high in sorted(brackets):
-        if out and low <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], high))
-        else:
-            out.append((low, high))
-    return out
-
-
-def slotted(data: DataFrame, keys: list[str], brackets: dict, sizes: dict) -> DataFrame:
-    """Each value with its place among its group's brackets: keys..., _v, _slot, _inside, _share.
-
-    ``_slot`` counts the brackets below the value; inside or not, a value stays one row.
-    ``_share`` is the sampling rate of the bracket it lies in.
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], extra=(),
+                    accuracy: int = ACCURACY, whole_rows: int = WHOLE_ROWS) -> DataFrame:
+    """Linear-interpolation quantiles per group: keys..., n, q (array, one per prob), and ``extra`` aggregates.
+
+    NULL and NaN do not count; q is NULL where nothing counts. Equal neighbours give their value, also infinite
+    ones.
     """
-    arrays = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("_los", "_his", "_shares")]
-    schema = T.StructType([*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys], *arrays])
-    rows = [(*key, [b[0] for b in bs], [b[1] for b in bs],
-             [min(1.0, SAMPLE / max(sizes.get((key, b), 1), 1)) for b in bs]) for key, bs in brackets.items()]
-    # A few numbers per group, and at most MAX_GROUPS groups.
-    table = data.sparkSession.createDataFrame(rows, schema)
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    joined = data.where("_v is not null").join(F.broadcast(table), same)
-    joined = joined.withColumn("_slot", F.expr("size(filter(_his, h -> h < _v))"))
+    probs = [float(p) for p in probs]
+    names = keys or ["_all"]
+    v = F.col(value).cast("double")
+    data = df.withColumn("_v", F.when(~F.isnan(v), v))
+    if not keys:
+        data = data.withColumn("_all", F.lit(0))
+
+    # First pass. Twice the error on either side, in rising order, so that the brackets' ends rise as well.
+    rising, margin = sorted(set(probs)), 2.0 / accuracy
+    lows, highs = [max(p - margin, 0.0) for p in rising], [min(p + margin, 1.0) for p in rising]
+    summary = F.percentile_approx("_v", F.array(*map(F.lit, [*lows, *highs])), accuracy)
+    groups = data.groupBy(*names).agg(F.count("_v").alias("n"), summary.alias("_c"), *extra)
+    few, inf = F.col("n") <= whole_rows, F.lit(float("inf"))
+    low = F.array(*[-inf if p == 0 else F.col("_c")[i] for i, p in enumerate(lows)])
+    high = F.array(*[inf if p == 1 else F.col("_c")[len(rising) + i] for i, p in enumerate(highs)])
+    at = F.array(*[F.lit(p) * (F.col("n") - 1) for p in probs])
+    ranks = F.array_distinct(F.flatten(F.transform("_at", lambda a: F.array(F.floor(a), F.ceil(a)))))
+    groups = (groups.withColumn("_los", F.when(few, F.array(-inf)).otherwise(low))
+              .withColumn("_his", F.when(few, F.array(inf)).otherwise(high))
+              .withColumn("_at", at).withColumn("_ranks", ranks))
+
+    # Second pass: one row for each value inside a bracket, one for each stretch between them.
+    brackets = groups.select(*names, "_los", "_his", "_ranks")
+    rows = (data.select(*names, "_v").where("_v IS NOT NULL").alias("d")
+            .join(brackets.alias("b"), _same(names, "d", "b"))
+            .select(*[F.col(f"d.{k}") for k in names], "_v", "_los", F.expr("size(filter(_his, h -> h < _v))").alias("_slot")))
     inside = F.coalesce(F.col("_v") >= F.try_element_at("_los", F.col("_slot") + 1), F.lit(False))
-    return joined.select(*keys, "_v", "_slot", inside.alias("_inside"),
-                         F.try_element_at("_shares", F.col("_slot") + 1).alias("_share"))
-
-
-def refined_quantiles(data: DataFrame, keys: list[str], probs, direct_rows: int, sizes: dict) -> DataFrame:
-    """Quantiles of groups of known sizes by shrinking brackets."""
-    places = {key: [p * (n - 1) for p in probs] for key, n in sizes.items() if n}
-
-    # Every order statistic a quantile interpolates between starts with the widest bracket.
-    widest = (-math.inf, math.inf)
-    pending = {(key, rank): widest for key, at in places.items()
-               for a in at for rank in {math.floor(a), math.ceil(a)}}
-    rows_in = {(key, widest): sizes[key] for key in places}
-    stuck, found, turn = set(), {}, 0
-    while pending:
-        turn += 1  # a new sample each time
-        brackets: dict[tuple, list] = {}
-        for key, bs in group_by_key(pending).items():
-            brackets[key] = merged(bs)
-            for m in brackets[key]:
-                parts = {b for b in bs if m[0] <= b[0] and b[1] <= m[1]}
-                rows_in.setdefault((key, m), sum(rows_in[(key, b)] for b in parts))
-        big = [(key, b) for key, bs in brackets.items() for b in bs
-               if rows_in[(key, b)] > direct_rows and (key, b) not in stuck]
-        if big:
-            narrow_brackets(data, keys, brackets, rows_in, pending, stuck, direct_rows, turn)
-        else:
-            gather_ranks(data, keys, brackets, rows_in, pending, found)
-
-    def between(key, at):
-        low, high = found[(key, math.floor(at))], found[(key, math.ceil(at))]
-        return low + (high - low) * (at - math.floor(at))
-
-    rows = [(*key, n, [between(key, at) for at in places[key]] if n else None)
-            for key, n in sizes.items()]
-    schema = T.StructType([*[data.schema[k] for k in keys], T.StructField("n", T.LongType()),
-                           T.StructField("q", T.ArrayType(T.DoubleType()))])
-    return data.sparkSession.createDataFrame(rows, schema)
-
-
-def group_by_key(pending: dict) -> dict:
-    out: dict[tuple, set] = {}
-    for (key, _), b in pending.items():
-        out.setdefault(key, set()).add(b)
-    return out
-
-
-def gap(bs: list[tuple], slot: int) -> tuple:
-    """The stretch between two neighbouring brackets."""
-    return (bs[slot - 1][1] if slot else -math.inf, bs[slot][0] if slot < len(bs) else math.inf)
-
-
-def narrow_brackets(data, keys, brackets, rows_in, pending, stuck, direct_rows, turn) -> None:
-    """Count exactly what lies in and between the brackets, and shrink the big ones.
-
-    A rank that turns out to lie between brackets gets that stretch as its next bracket.
-    """
-    steps = ", ".join(f"{i / STEPS!r}D" for i in range(STEPS + 1))
-    rows = slotted(data, keys, brackets, rows_in).withColumn(
-        "_picked", F.when(F.col("_inside") & (F.rand(turn) < F.col("_share")), F.col("_v")))
-    seen = rows.groupBy(*keys, "_slot", "_inside").agg(
-        F.count(F.lit(1)).alias("c"),
-        F.expr(f"percentile_approx(_picked, array({steps}), {ACCURACY})").alias("cuts")).collect()
-    table: dict[tuple, list] = {}
-    for r in seen:
-        table.setdefault(tuple(r[k] for k in keys), []).append(r)
-    spans = {}  # per group: (first rank, rows, slot, inside, cuts) in value order
-    for key, parts in table.items():
-        start, spans[key] = 0, []
-        for r in sorted(parts, key=lambda r: (r["_slot"], r["_inside"])):
-            spans[key].append((start, r["c"], r["_slot"], r["_inside"], r["cuts"]))
-            start += r["c"]
-    for (key, rank) in list(pending):
-        start, n, slot, inside, cuts = next(s for s in spans[key] if s[0] <= rank < s[0] + s[1])
-        bracket = brackets[key][slot] if inside else gap(brackets[key], slot)
-        rows_in[(key, bracket)] = n
-        if inside and n > direct_rows:
-            at = (rank - start) / max(n - 1, 1) * STEPS
-            low, high = max(math.floor(at) - MARGIN, 0), min(math.ceil(at) + MARGIN, STEPS)
-            tight = (cuts[low] if low else bracket[0], cuts[high] if high < STEPS else bracket[1]) if cuts else bracket
-            if tight == bracket:  # a few heavy values: as a value map it is small
-                stuck.add((key, bracket))
-            rows_in.setdefault((key, tight), max(1, n * (high - low) // STEPS))
-            bracket = tight
-        pending[(key, rank)] = bracket
-
-
-def gather_ranks(data, keys, brackets, rows_in, pending, found) -> None:
-    """Read the wanted ranks: values inside the brackets one by one, the rest as mere counts."""
-    rows = slotted(data, keys, brackets, rows_in)
-    value = F.when(F.col("_inside"), F.col("_v"))
-    order = (Window.partitionBy(*keys).orderBy("_slot", F.asc_nulls_first("value"))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ends = (rows.groupBy(*keys, "_slot", value.alias("value")).agg(F.count(F.lit(1)).alias("c"))
-            .withColumn("upto", F.sum("c").over(order)))
-    wants = data.sparkSession.createDataFrame([(*key, rank) for key, rank in pending], T.StructType(
-        [*[T.StructField(f"_{k}", data.schema[k].dataType) for k in keys], T.StructField("rank", T.LongType())]))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    hit = [F.col("rank") < F.col("upto"), F.col("rank") >= F.col("upto") - F.col("c")]
-    for r in ends.join(F.broadcast(wants), same + hit).select(*keys, "rank", "_slot", "value", "c").collect():
-        key = tuple(r[k] for k in keys)
-        if r["value"] is not None:
-            found[(key, r["rank"])] = r["value"]
-            del pending[(key, r["rank"])]
-        else:  # the bracket missed; the rank lies in this stretch
-            pending[(key, r["rank"])] = stretch = gap(brackets[key], r["_slot"])
-            rows_in[(key, stretch)] = r["c"]
+    counts = (rows.groupBy(*names, "_slot", F.when(inside, F.col("_v")).alias("_value"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    order = Window.partitionBy(*names).orderBy("_slot", F.asc_nulls_first("_value")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ends = counts.withColumn("_upto", F.sum("_n").over(order))
+    hit = F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_n")))
+    found = (ends.alias("e").join(groups.select(*names, "_ranks").alias("g"), _same(names, "e", "g"))
+             .select(*[F.col(f"e.{k}") for k in names], "_value", F.explode(hit).alias("_rank")))
+    value_of = F.when(F.col("_value").isNull(), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(F.col("_value"))
+    ranked = found.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_rank", value_of.alias("x")))).alias("_m"))
+
+    def between(a: Column) -> Column:
+        x, y = F.element_at("_m", F.floor(a)), F.element_at("_m", F.ceil(a))
+        return F.when(x == y, x).otherwise(x + (y - x) * (a - F.floor(a)))
+
+    added = [c for c in groups.columns if c not in (*names, "n", "_c", "_los", "_his", "_at", "_ranks")]
+    return (groups.alias("g").join(ranked.alias("r"), _same(names, "g", "r"), "left")
+            .select(*[F.col(f"g.{k}") for k in keys], "n", F.when(F.col("n") > 0, F.transform("_at", between)).alias("q"),
+                    *added))
 
 
 def exact_quantile(df: DataFrame, value: str, prob: float, **kw) -> float | None:

@@ -44,7 +44,14 @@ class BoostedModel:
             [(c, float(v)) for c, v in zip(self.columns, values)], "feature string, importance double")
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        self.model.write().overwrite().save(f"{path}/trees")
+        SparkSession.active().createDataFrame([(self.columns,)], "columns array<string>").coalesce(1).write.mode(
+            "overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "BoostedModel":
+        columns = spark.read.schema("columns array<string>").json(f"{path}/meta").first()["columns"]
+        return cls(columns, GBTClassificationModel.load(f"{path}/trees"))
 
 
 def class_weight(df: DataFrame, label: str) -> float:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from flowlens.functions.quantiles import exact_quantiles
-from flowlens.operators.sampling import strata_counts
+from flowlens.operators.sampling import strata
 
 NODE_SCHEMA = "grp string, tree int, node int, feature int, split double, child int, depth double"
 EULER = 0.5772156649015329
@@ -165,8 +165,8 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
                min_rows: int = 1, seed: int = 42) -> ForestModel:
     """Fit a forest, or one forest per value of ``group`` with at least ``min_rows`` rows."""
     spark, cols = df.sparkSession, list(cols)
-    counts = {g: n for g, n in strata_counts(df, group).items()
-              if n >= max(min_rows, 1) and (g is not None or group is None)}
+    counts = {r["_l"]: r["n"] for r in strata(df, group).where(F.col("n") >= max(min_rows, 1)).where(
+        "_l IS NOT NULL").collect()}  # one row for each group that gets a forest
     if not counts:
         return ForestModel(cols, group, {}, pd.DataFrame(columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")]))
     draws = {g: min(max_samples, n) for g, n in counts.items()}
@@ -175,12 +175,10 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
     draw_hash = F.xxhash64(F.col(key), F.lit(seed))
     spot = F.pmod(draw_hash, F.lit(1 << 52)) / F.lit(float(1 << 52))
     wide = {g: min(1.0, (pool[g] + 8 * math.sqrt(pool[g]) + 64) / counts[g]) for g in counts}
-    inside = F.lit(False)
-    for g, share in wide.items():
-        here = F.col(group).eqNullSafe(F.lit(g)) if group else F.lit(True)
-        inside = F.when(here, spot <= share).otherwise(inside)
-    chosen = df.where(inside)
     name = F.col(group).cast("string") if group else F.lit(ONE_GROUP)
+    widths = spark.createDataFrame([(str(g) if group else ONE_GROUP, share) for g, share in wide.items()],
+                                   "_wide_group string, _wide double")
+    chosen = df.join(widths, (name == F.col("_wide_group")) & (spot <= F.col("_wide")))
     # At most trees x max_samples rows per group are ranked and joined.
     order = Window.partitionBy("grp").orderBy("_h", "_key")
     chosen = (chosen.select(name.alias("grp"), draw_hash.alias("_h"), F.col(key).alias("_key"),
@@ -245,28 +243,26 @@ def fit_grouped(df: DataFrame, cols, group: str = "protocol_group", label: str |
     return model, report
 
 
-def group_score_stats(scored: DataFrame, group: str = "protocol_group", raw: str = "raw_score") -> dict:
-    """Mean and population deviation of the negated raw score per group."""
-    rows = (scored.where(F.col(raw).isNotNull()).groupBy(group)
-            .agg(F.avg(-F.col(raw)).alias("m"), F.stddev_pop(-F.col(raw)).alias("s")).limit(1001).collect())
-    if len(rows) > 1000:
-        raise ValueError(f"more than 1000 groups in {group}")
-    return {r[group]: (r["m"], r["s"]) for r in rows}
+def group_score_stats(scored: DataFrame, group: str = "protocol_group", raw: str = "raw_score") -> DataFrame:
+    """(group, mean, std): mean and population deviation of the negated raw score per group."""
+    return (scored.where(F.col(raw).isNotNull()).groupBy(group)
+            .agg(F.avg(-F.col(raw)).alias("mean"), F.stddev_pop(-F.col(raw)).alias("std")))
 
 
-def score_grouped(scored: DataFrame, stats: dict, group: str = "protocol_group", raw: str = "raw_score",
+def score_grouped(scored: DataFrame, stats: DataFrame, group: str = "protocol_group", raw: str = "raw_score",
                   out: str = "anomaly_score", invert_score: bool = False) -> DataFrame:
     """Standardise the negated raw score per group and squash it to (0, 1); higher = more anomalous.
 
     A constant group scores 0; rows of a group without a model have no score. ``stats`` come
     from the training rows. ``invert_score`` flips the result, as older runs stored it.
     """
-    result = F.lit(None).cast("double")
-    for name, (mean, std) in stats.items():
-        z = (-F.col(raw) - F.lit(mean)) / F.lit(std if std and std > 1e-6 else 1.0)
-        value = 1 / (1 + F.exp(-z)) if std and std > 1e-6 else F.lit(0.0)
-        result = F.when(F.col(group).eqNullSafe(F.lit(name)) & F.col(raw).isNotNull(), value).otherwise(result)
-    return scored.withColumn(out, -result if invert_score else result)
+    table = stats.select(F.col(group).alias("_g"), F.col("mean").alias("_mean"), F.col("std").alias("_std"))
+    z = (-F.col(raw) - F.col("_mean")) / F.col("_std")
+    value = F.when(F.col("_std") > 1e-6, 1 / (1 + F.exp(-z))).when(F.col("_g_known"), 0.0)
+    result = F.when(F.col(raw).isNotNull(), value)
+    joined = scored.join(table.withColumn("_g_known", F.lit(True)), F.col(group).eqNullSafe(F.col("_g")), "left")
+    return joined.withColumn("_score", -result if invert_score else result).select(
+        *[c for c in scored.columns if c != out], F.col("_score").alias(out))
 
 
 def ensemble(df: DataFrame, scores: dict[str, float], group: str | None = None, out: str = "ensemble_score") -> DataFrame:
@@ -274,18 +270,15 @@ def ensemble(df: DataFrame, scores: dict[str, float], group: str | None = None,
 
     Weights are renormalised over the detectors that scored the row.
     """
-    keys = [group] if group else []
-    ranges = df.groupBy(*keys).agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in scores]).limit(1001).collect()
-    if len(ranges) > 1000:
-        raise ValueError(f"more than 1000 groups in {group}")
+    key = F.col(group) if group else F.lit(0)
+    ranges = df.groupBy(key.alias("_g")).agg(*[
+        F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(f"_r_{c}") for c in scores])
+    joined = df.join(ranges, key.eqNullSafe(F.col("_g")))
     total, weight = F.lit(0.0), F.lit(0.0)
     for name, share in scores.items():
-        scaled = F.lit(None).cast("double")
-        for r in ranges:
-            lo, hi = r[name]
-            value = (F.col(name) - F.lit(lo)) / F.lit(hi - lo) if lo is not None and hi > lo else F.col(name)
-            here = F.col(group).eqNullSafe(F.lit(r[group])) if group else F.lit(True)
-            scaled = F.when(here, value).otherwise(scaled)
+        low, high = F.col(f"_r_{name}.low"), F.col(f"_r_{name}.high")
+        scaled = F.when(high > low, (F.col(name) - low) / (high - low)).otherwise(F.col(name))
         total = total + F.coalesce(scaled * share, F.lit(0.0))
         weight = weight + F.when(F.col(name).isNotNull(), F.lit(share)).otherwise(0.0)
-    return df.withColumn(out, F.try_divide(total, weight))
+    return joined.withColumn("_score", F.try_divide(total, weight)).select(
+        *[c for c in df.columns if c != out], F.col("_score").alias(out))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowlens.functions.quantiles import exact_quantile
 from flowlens.operators.forest import feature_value
 
 MAX_TRAIN = 100_000
@@ -44,6 +46,7 @@ class LofModel:
     train: np.ndarray
     reach: np.ndarray  # distance to the k-th neighbour of each training row
     density: np.ndarray  # local reachability density of each training row
+    offset: float = -1.5  # scores below it are outliers
 
     def transform(self, df: DataFrame, out: str = "raw_score") -> DataFrame:
         """Add the negated factor; lower is more anomalous.
@@ -65,6 +68,29 @@ class LofModel:
 
         return df.withColumn(out, score(vector(self.columns)))
 
+    def fit_offset(self, train: DataFrame, contamination: float) -> "LofModel":
+        """Learn the score below which the contamination share of rows lies."""
+        self.offset = exact_quantile(self.transform(train), "raw_score", contamination)
+        return self
+
+    def predict_labels(self, df: DataFrame, raw: str = "raw_score", out: str = "label") -> DataFrame:
+        """-1 below the offset, else 1."""
+        scored = df if raw in df.columns else self.transform(df, raw)
+        return scored.withColumn(out, F.when(F.col(raw) < self.offset, -1).otherwise(1))
+
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        spark = spark or SparkSession.active()
+        rows = pd.DataFrame({"id": np.arange(len(self.train)), "x": self.train.tolist(), "reach": self.reach, "density": self.density})
+        spark.createDataFrame(rows, "id long, x array<double>, reach double, density double").write.mode("overwrite").parquet(f"{path}/rows")
+        spark.createDataFrame([(json.dumps([self.columns, self.k, self.offset]),)], "meta string").coalesce(1).write.mode(
+            "overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "LofModel":
+        columns, k, offset = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
+        rows = spark.read.parquet(f"{path}/rows").toPandas().sort_values("id")  # MAX_TRAIN rows at most
+        return cls(columns, k, np.stack(rows["x"].to_numpy()), rows["reach"].to_numpy(), rows["density"].to_numpy(), offset)
+
 
 def vector(columns):
     """Features as one array: named columns, or one array column."""

@@ -9,12 +9,13 @@ is two aggregates over the table; nothing but a few hundred numbers reaches the
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlens.functions.quantiles import exact_quantile
 from flowlens.operators.neighbors import vector
@@ -33,6 +34,26 @@ class OneClassModel:
         return df.withColumn(out, linear_score(df, self.columns, self.directions, self.phases, self.weights)
                              - F.lit(self.rho))
 
+    def predict_labels(self, df: DataFrame, raw: str = "raw_score", out: str = "label") -> DataFrame:
+        """-1 where the decision value is negative, else 1."""
+        scored = df if raw in df.columns else self.transform(df, raw)
+        return scored.withColumn(out, F.when(F.col(raw) < 0, -1).otherwise(1))
+
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
+        """One row for each Fourier feature."""
+        spark = spark or SparkSession.active()
+        rows = pd.DataFrame({"id": np.arange(len(self.phases)), "direction": self.directions.T.tolist(), "phase": self.phases,
+                             "weight": self.weights})
+        spark.createDataFrame(rows, "id long, direction array<double>, phase double, weight double").write.mode("overwrite").parquet(f"{path}/rows")
+        spark.createDataFrame([(json.dumps([self.columns, self.rho]),)], "meta string").coalesce(1).write.mode(
+            "overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "OneClassModel":
+        columns, rho = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
+        rows = spark.read.parquet(f"{path}/rows").toPandas().sort_values("id")
+        return cls(columns, np.stack(rows["direction"].to_numpy()).T, rows["phase"].to_numpy(), rows["weight"].to_numpy(), rho)
+
 
 def fourier(x: pd.Series, directions, phases) -> np.ndarray:
     z = np.stack(x.to_numpy()).astype(float) @ directions + phases

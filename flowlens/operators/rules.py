@@ -1,19 +1,16 @@
 """Mining false positives into allow-list rules, and applying the rules.
 
-A rule set is a small table: a mined rule needs a normal-traffic share above a threshold,
-so their number is bounded by its inverse. Rules therefore become literal predicates of a
-projection, and flows stream past them once without a join.
+A rule set is a table of any size. Flows meet the rules of their protocol, port and address by joins on
+these keys, one row for each key, and check their conditions there.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlens.functions.catalog import BEHAVIORAL_FEATURES, SERVICE_PORTS
-from flowlens.functions.columns import any_of, ratio_or_zero, require
-from flowlens.functions.quantiles import DIRECT_ROWS, exact_quantile, exact_quantiles, melt
+from flowlens.functions.columns import ratio_or_zero, require
+from flowlens.functions.quantiles import exact_quantile, exact_quantiles, melt
 from flowlens.sources.stores import RULE_SCHEMA, rule_fields
 
 MAX_RULES = 2_000
@@ -137,27 +134,14 @@ def behavioral_columns(df: DataFrame, features=None) -> list[str]:
 
 
 def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str = "label_binary",
-                      p: str = "y_pred", limit: int = MAX_CONDITIONS, totals: dict | None = None, **kw) -> DataFrame:
+                      p: str = "y_pred", limit: int = MAX_CONDITIONS, **kw) -> DataFrame:
     """Upper bounds that separate normal from attack flows, per combination and feature.
 
     One job over all combinations: features and classes become rows of a long table whose
     groups are summarised by exact quantiles. Output: proto, port, feature, place, bound.
-    Counts that come with the combinations, or ``totals`` of the classes, bound the rows of any
-    group and save a counting job.
     """
-    spark = df.sparkSession
     columns = behavioral_columns(df, features)
-    known = {"normal_count", "attack_count"} <= set(combos.columns)
-    size = F.greatest("normal_count", "attack_count") if known else F.lit(max(totals.values()) if totals else None)
-    chosen = (combos.groupBy("proto", "port").agg(F.max(size.cast("long")).alias("size"))
-              .limit(MAX_RULES + 1).collect())
-    if len(chosen) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} combinations; raise the thresholds")
-    wanted = [(r["proto"], r["port"]) for r in chosen]
-    sizes = [r["size"] for r in chosen]
-    if None not in sizes and max(sizes, default=0) <= DIRECT_ROWS:
-        kw.setdefault("biggest", max(sizes, default=0))
-    combos = F.broadcast(spark.createDataFrame(wanted, "proto string, port double"))
+    combos = combos.select(F.col("proto").cast("string").alias("proto"), F.col("port").cast("double").alias("port")).distinct()
     proto, port = combo_keys()
     attack, flagged = F.col(y) == 1, F.col(p) == 1
     groups = F.array_compact(F.array(F.when(~attack, "normal").otherwise("attack"),
@@ -166,13 +150,9 @@ def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str =
     rows = rows.withColumn("grp", F.explode("groups")).drop("groups")
     long = melt(rows, columns, ["proto", "port", "grp"]).where("value is not null")
     keys = ["proto", "port", "feature"]
-    small = kw.get("biggest") is not None
-    # The smallest of the most frequent values: from the same value maps while they are small.
-    extra = [F.mode("value", True).alias("mode")] if small else []
-    found = exact_quantiles(long, [*keys, "grp"], "value", PROBS, extra=extra, **kw)
-    parts = ["n", "q", *(["mode"] if small else [])]
+    found = exact_quantiles(long, [*keys, "grp"], "value", PROBS, **kw)
     wide = found.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("grp") == g, F.struct(*parts))).alias(g) for g in ("normal", "attack", "fn")])
+        F.max(F.when(F.col("grp") == g, F.struct("n", "q"))).alias(g) for g in ("normal", "attack", "fn")])
     at = {prob: i for i, prob in enumerate(PROBS)}
 
     def q(group, prob):
@@ -183,15 +163,11 @@ def behavioral_bounds(df: DataFrame, combos: DataFrame, features=None, y: str =
              | (q("attack", 0.10) > q("normal", 0.95)))
     bound = F.when(q("attack", 0.05) > 0, F.least(q("normal", 0.95), q("attack", 0.05))).otherwise(q("normal", 0.95))
     wide = wide.where(enough & apart).withColumn("b", bound)
-    if small:
-        wide = wide.withColumn("mode", F.col("normal.mode"))
-    else:
-        # By counting, and only where the classes are apart: a few rows per combination.
-        parts = F.broadcast(spark.createDataFrame(wide.select(*keys).collect(), long.select(*keys).schema))
-        modes = (long.where("grp = 'normal'").join(parts, keys).groupBy(*keys, "value").count()
-                 .groupBy(*keys).agg(F.max(F.struct("count", (-F.col("value")).alias("v"))).alias("m"))
-                 .select(*keys, (-F.col("m.v")).alias("mode")))
-        wide = wide.join(F.broadcast(modes), keys)
+    # The smallest of the most frequent values, by counting.
+    modes = (long.where("grp = 'normal'").groupBy(*keys, "value").count()
+             .groupBy(*keys).agg(F.max(F.struct("count", (-F.col("value")).alias("v"))).alias("m"))
+             .select(*keys, (-F.col("m.v")).alias("mode")))
+    wide = wide.join(modes, keys)
     has_fn = F.coalesce(F.col("fn.n") > MIN_FN_VALUES, F.lit(False))
     b = F.col("b")
     tight = (F.when(has_fn & (q("fn", 0.05) < b), F.least(b, q("fn", 0.05) * 0.9))
@@ -282,70 +258,85 @@ def service_port_rules(df: DataFrame, y: str = "label_binary", p: str = "y_pred"
     totals = class_totals(counts)
     plain, risky = service_candidates(counts, fp_threshold, normal_threshold, attack_threshold, totals)
     combos = risky.select(F.col("modal_proto").alias("proto"), "port")
-    bounds = behavioral_bounds(df, combos, features, y, p, totals=totals)
+    bounds = behavioral_bounds(df, combos, features, y, p)
     return service_rules(plain, risky, bounds, attack_threshold)
 
 
-def rule_rows(rules: DataFrame) -> list[Row]:
-    """The rule set as parameters; refuses sets that no plan should carry."""
-    rows = rules.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    return sorted(rows, key=lambda r: r["rule_id"] if "rule_id" in r else 0)
-
-
-def value_of(row: Row, name: str):
-    return row[name] if name in row else None
-
-
-def rule_predicate(rule: Row, columns) -> Column:
-    """One rule as a condition on a flow. Unknown rule types match nothing."""
-    kind = rule["type"]
-    need = {"proto_port": "pq", "proto_port_behavioral": "pq", "port": "q", "port_behavioral": "q",
-            "proto_ip": "pi", "proto_port_ip": "pqi", "proto_port_range": "pr"}.get(kind)
-    if need is None:
-        return F.lit(False)
-    uses = {"p": "Proto", "q": "Dport", "r": "Dport", "i": "DstAddr"}
-    if any(uses[n] not in columns for n in need):
-        return F.lit(False)
-    port = F.col("Dport").cast("double") if "Dport" in columns else None
-    tests = {
-        "p": lambda: F.lower("Proto") == value_of(rule, "proto"),
-        "q": lambda: port == value_of(rule, "port"),
-        "r": lambda: port.between(value_of(rule, "port_min"), value_of(rule, "port_max")),
-        "i": lambda: F.col("DstAddr") == value_of(rule, "ip"),
-    }
-    parts = [tests[n]() for n in need] + [condition_test(c, columns) for c in value_of(rule, "conditions") or []]
-    return F.coalesce(reduce(lambda a, b: a & b, parts), F.lit(False))
-
-
-def condition_test(condition, columns) -> Column:
-    """A bound on a feature; a missing value passes, an unknown feature is ignored."""
-    feature = next((c for c in (condition["feature"], f"log_{condition['feature']}") if c in columns), None)
-    if feature is None:
+# Per kind of rule: the columns that must equal those of the flow. Fixed values; other kinds match nothing.
+RULE_KEYS = {
+    "proto_port": ("proto", "port"), "proto_port_behavioral": ("proto", "port"), "port": ("port",),
+    "port_behavioral": ("port",), "proto_ip": ("proto", "ip"), "proto_port_ip": ("proto", "port", "ip"),
+    "proto_port_range": ("proto",),
+}
+FLOW_COLUMNS = {"proto": "Proto", "port": "Dport", "ip": "DstAddr"}
+
+
+def with_hits(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``_hits``: the rules (id, type, own score threshold) that cover a flow.
+
+    Rules of one key are gathered into one row, so a flow stays one row in every join, and the number of rules
+    is open. Conditions are checked against a map of the flow's features.
+    """
+    have = set(rules.columns)
+    field = lambda n, t: (F.col(n) if n in have else F.lit(None)).cast(t).alias(n)
+    table = rules.select(*[field(n, t) for n, t in rule_fields()])
+    # Seven kinds and the features of the flow at most.
+    used = table.agg(F.collect_set("type").alias("kinds"), F.array_distinct(F.flatten(F.collect_set(
+        F.transform("conditions", lambda c: c["feature"])))).alias("features")).first()
+    kinds, features = set(used["kinds"]) & set(RULE_KEYS), sorted(used["features"] or [])
+    lists, out = [], df
+    for keys in sorted({RULE_KEYS[k] for k in kinds}):
+        mine = sorted(k for k in kinds if RULE_KEYS[k] == keys)
+        if any(FLOW_COLUMNS[k] not in df.columns for k in keys) or ("proto_port_range" in mine and "Dport" not in df.columns):
+            continue
+        name = "_r_" + "_".join(keys)
+        grouped = table.where(F.col("type").isin(mine)).groupBy(*[F.col(k).alias(f"{name}_{k}") for k in keys]).agg(
+            F.collect_list(F.struct("rule_id", "type", "port_min", "port_max", "conditions", "anomaly_score_threshold")).alias(name))
+        same = F.lit(True)
+        for k in keys:
+            flow = F.lower("Proto") if k == "proto" else F.col("Dport").cast("double") if k == "port" else F.col("DstAddr")
+            same = same & (flow == F.col(f"{name}_{k}"))
+        out = out.join(grouped, same, "left")
+        lists.append(F.coalesce(name, F.array().cast(grouped.schema[name].dataType)))
+    if not lists:
+        none = F.array().cast("array<struct<rule_id:bigint,type:string,anomaly_score_threshold:double>>")
+        return df.withColumn("_hits", none)
+    port = F.col("Dport").cast("double") if "Dport" in df.columns else F.lit(None).cast("double")
+    hits = F.filter(F.concat(*lists), lambda r: (
+        (r["type"] != "proto_port_range") | F.coalesce(port.between(r["port_min"], r["port_max"]), F.lit(False)))
+        & F.forall(F.coalesce(r["conditions"], F.array().cast(table.schema["conditions"].dataType)),
+                   lambda c: condition_test(c, features, df.columns)))
+    found = F.transform(
+        hits, lambda r: F.struct(r["rule_id"].alias("rule_id"), r["type"].alias("type"),
+                                 r["anomaly_score_threshold"].alias("anomaly_score_threshold")))
+    return out.withColumn("_hits", F.array_sort(found)).select(*df.columns, "_hits")
+
+
+def condition_test(condition: Column, features, columns) -> Column:
+    """A bound on one of ``features``; a missing value passes, a feature without a column is ignored."""
+    numbers = [c for c in features if c in columns or f"log_{c}" in columns]
+    pairs = [x for c in numbers for x in (F.lit(c), F.nanvl(
+        F.col(c if c in columns else f"log_{c}").cast("double"), F.lit(None).cast("double")))]
+    if not pairs:
         return F.lit(True)
-    value = F.nanvl(F.col(feature).cast("double"), F.lit(None).cast("double"))
-    test = value < condition["bound"] if condition["op"] == "max" else value > condition["bound"]
-    return F.coalesce(test, F.lit(True))
+    value = F.try_element_at(F.create_map(*pairs), condition["feature"])
+    return F.coalesce(F.when(condition["op"] == "max", value < condition["bound"]).otherwise(value > condition["bound"]), F.lit(True))
 
 
 def rule_match(rules: DataFrame, df: DataFrame) -> DataFrame:
     """Add ``rule_ids``: the rules that cover a flow."""
-    found = [F.when(rule_predicate(r, df.columns), F.lit(r["rule_id"]).cast("long")) for r in rule_rows(rules)]
-    none = F.lit(None).cast("array<long>")
-    return df.withColumn("rule_ids", F.array_compact(F.array(*found)) if found else F.coalesce(none, F.array().cast("array<long>")))
+    return with_hits(df, rules).withColumn("rule_ids", F.transform("_hits", lambda r: r["rule_id"].cast("long"))).drop("_hits")
 
 
 def fn_coverage(df: DataFrame, rules: DataFrame, y: str = "label_binary", p: str = "y_pred") -> DataFrame:
     """Missed attacks each rule covers, and their share of all missed attacks."""
     missed = df.where((F.col(y) == 1) & (F.col(p) == 0))
-    rows = rule_rows(rules)
-    counted = missed.agg(F.count(F.lit(1)).alias("total_fn"), *[
-        F.count_if(rule_predicate(r, df.columns)).alias(f"r{r['rule_id']}") for r in rows]).first()
-    total = counted["total_fn"]
-    table = [(r["rule_id"], counted[f"r{r['rule_id']}"],
-              counted[f"r{r['rule_id']}"] / total if total else 0.0) for r in rows]
-    return df.sparkSession.createDataFrame(table, "rule_id long, matched_fn long, fn_share double")
+    total = missed.count()
+    counts = (with_hits(missed, rules).select(F.explode("_hits.rule_id").alias("_id")).groupBy("_id")
+              .agg(F.count(F.lit(1)).alias("_n")))
+    matched = F.coalesce("_n", F.lit(0)).cast("long")
+    return (rules.select(F.col("rule_id").cast("long")).join(counts, F.col("rule_id") == F.col("_id"), "left")
+            .select("rule_id", matched.alias("matched_fn"), (matched / total if total else F.lit(0.0)).alias("fn_share")))
 
 
 def validate_rules(df: DataFrame, rules: DataFrame, y: str = "label_binary", p: str = "y_pred",
@@ -414,17 +405,15 @@ def apply_rules(df: DataFrame, rules: DataFrame, p: str = "y_pred", score: str |
     """
     gate = global_gate(df, score, p, percentile) if score else None
 
-    def covered(rule):
-        hit = rule_predicate(rule, df.columns)
-        own = value_of(rule, "anomaly_score_threshold")
-        limit = own if own is not None else gate
-        if score is None or limit is None:
-            return hit
-        return hit & ((F.col(p) != 1) | F.coalesce(F.col(score) < limit, F.lit(False)))
+    def acts(rule: Column) -> Column:
+        if score is None:
+            return F.lit(True)
+        limit = F.coalesce(rule["anomaly_score_threshold"], F.lit(gate).cast("double"))
+        return limit.isNull() | (F.col(p) != 1) | F.coalesce(F.col(score) < limit, F.lit(False))
 
-    allowed = F.coalesce(any_of(covered(r) for r in rule_rows(rules)), F.lit(False))
-    return df.withColumn("allowed", allowed).withColumn(
-        out, F.when(F.col("allowed") & (F.col(p) == 1), 0).otherwise(F.col(p)).cast("int"))
+    allowed = F.coalesce(F.exists("_hits", acts), F.lit(False))
+    return with_hits(df, rules).withColumn("allowed", allowed).withColumn(
+        out, F.when(F.col("allowed") & (F.col(p) == 1), 0).otherwise(F.col(p)).cast("int")).drop("_hits")
 
 
 def effect_stats(df: DataFrame, y: str = "label_binary", p: str = "y_pred", out: str = "y_final") -> DataFrame:
@@ -442,17 +431,15 @@ def rule_stats(rules: DataFrame, df: DataFrame, y: str = "label_binary", p: str
 
     The estimate adds up overlapping rules; the exact columns count each row once.
     """
-    rows = rule_rows(rules)
-    kinds = sorted({r["type"] for r in rows})
-    tests = {k: any_of(rule_predicate(r, df.columns) for r in rows if r["type"] == k) for k in kinds}
+    per_kind = {r["type"]: r for r in rules.groupBy("type").agg(
+        F.count(F.lit(1)).alias("rules"), F.sum("fp_ratio").alias("share")).collect()}
+    kinds = sorted(per_kind)
     fp = (F.col(y) == 0) & (F.col(p) == 1)
-    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(fp).alias("fp"), *[
-        F.struct(F.count_if(t), F.count_if(t & fp)).alias(k) for k, t in tests.items()]).first()
+    covered = {k: F.array_contains(F.col("_hits.type"), k) for k in kinds}
+    measured = with_hits(df, rules).agg(F.count(F.lit(1)).alias("rows"), F.count_if(fp).alias("fp"), *[
+        F.struct(F.count_if(t), F.count_if(t & fp)).alias(k) for k, t in covered.items()]).first()
     total = measured["rows"]
-    table = []
-    for k in kinds:
-        share = sum(r["fp_ratio"] or 0.0 for r in rows if r["type"] == k)
-        table.append((k, sum(r["type"] == k for r in rows), int(share * measured["fp"] + 1e-9), measured[k][1],
-                      measured[k][0] / total if total else 0.0))
+    table = [(k, per_kind[k]["rules"], int((per_kind[k]["share"] or 0.0) * measured["fp"] + 1e-9), measured[k][1],
+              measured[k][0] / total if total else 0.0) for k in kinds]
     return df.sparkSession.createDataFrame(
         table, "type string, rules long, estimated_fp_reduction long, exact_fp_reduction long, coverage double")

@@ -1,111 +1,66 @@
 """Reproducible samples and splits.
 
-Rows are ordered by a hash of their key. A sample or split of an exact size is the rows
-up to a hash value, so only that value is searched for; choosing the rows is then a filter
-with literals that shuffles nothing.
+Rows are ordered by a hash of their key. A sample or split of an exact size takes the rows up to a rank in
+that order, per stratum. Counts of hash prefixes tell in which prefix a wanted rank lies; rows of other
+prefixes are told by a filter, and only the few rows of that prefix are ranked one by one. Strata and their
+cuts stay in tables that are joined, so their number does not matter.
 """
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-
-GROUP_ROWS = 200_000
-MAX_STRATA = 1_000
-DIGITS = 3
-ALL = "g"  # sorts after every hex digest
+#: Hex digits of a prefix: 65,536 prefixes for each stratum.
+DIGITS = 4
+NONE, ALL = "", "g"  # sort before and after every hex digest
 
 
 def key_hash(key: str = "flow_id", seed: int = 42) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
 
 
-def strata_counts(df: DataFrame, label: str | None) -> dict:
-    """Rows per stratum (one stratum without a label)."""
-    if label is None:
-        return {None: df.count()}
-    rows = df.groupBy(label).count().limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} values in {label}")
-    return {r[label]: r["count"] for r in rows}
+def strata(df: DataFrame, label: str | None) -> DataFrame:
+    """(_l, n): rows per stratum; one stratum without a label."""
+    return df.groupBy(_stratum(df, label).alias("_l")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stratum(df: DataFrame, label: str | None) -> Column:
+    return F.col(label) if label else F.lit(0)
 
 
-def hash_cuts(df: DataFrame, key: str, label: str | None, counts: dict, wanted: dict, seed: int = 42) -> dict:
-    """For each stratum and wanted size k, the hash value up to which exactly k rows lie.
+def place_by_rank(df: DataFrame, key: str, label: str | None, sizes: DataFrame, seed: int, out: str) -> DataFrame:
+    """Add ``out``: how many of the stratum's sizes lie below the row's rank.
 
-    Hash prefixes are counted until the prefix holding the k-th row has few rows, and only
-    those rows are ranked.
+    ``sizes`` has _l, n and _sizes, a rising array. Equal hashes are told apart by the other columns, and
+    equal rows by chance, so the places are exact also where keys repeat. Rows of strata without sizes go.
     """
-    spark = df.sparkSession
-    kind = df.schema[label].dataType if label else T.IntegerType()
-    rows = df.select((F.col(label) if label else F.lit(None).cast("int")).alias("_l"),
-                     key_hash(key, seed).alias("_h"))
-    cuts = {l: {} for l in wanted}
-    pending = []  # (stratum, wanted size, prefix, rank inside the prefix, rows in it)
-    for l, sizes in wanted.items():
-        for k in sizes:
-            if k <= 0:
-                cuts[l][k] = ""
-            elif k >= counts[l]:
-                cuts[l][k] = ALL
-            else:
-                pending.append((l, k, "", k, counts[l]))
-    final, depth = [], 0
-    schema = T.StructType([T.StructField("_s", kind), T.StructField("_p", T.StringType())])
-
-    def inside(items, depth):
-        table = spark.createDataFrame([list(x) for x in sorted({(i[0], i[2]) for i in items}, key=repr)], schema)
-        same = [F.col("_l").eqNullSafe(F.col("_s")), F.substring("_h", 1, depth) == F.col("_p")]
-        return rows.join(F.broadcast(table), same)
-
-    while pending:
-        final += [p for p in pending if p[4] <= GROUP_ROWS]
-        pending = [p for p in pending if p[4] > GROUP_ROWS]
-        if not pending:
-            break
-        found = (inside(pending, depth).groupBy("_l", F.substring("_h", 1, depth + DIGITS).alias("p"))
-                 .count().collect())  # at most 16 ** DIGITS rows per pending cut
-        deeper = []
-        for l, k, prefix, rank, _ in pending:
-            here = sorted((r["p"], r["count"]) for r in found if r["_l"] == l and r["p"].startswith(prefix))
-            for p, n in here:
-                if rank <= n:
-                    deeper.append((l, k, p, rank, n))
-                    break
-                rank -= n
-        pending, depth = deeper, depth + DIGITS
-    for size in sorted({len(f[2]) for f in final}):
-        group = [f for f in final if len(f[2]) == size]
-        order = Window.partitionBy("_s", "_p").orderBy("_h")
-        ranked = inside(group, size).withColumn("rank", F.row_number().over(order))
-        table = spark.createDataFrame([[l, p, rank, k] for l, k, p, rank, _ in group], T.StructType(
-            [T.StructField("_wl", kind), T.StructField("_wp", T.StringType()),
-             T.StructField("_wr", T.IntegerType()), T.StructField("k", T.LongType())]))
-        same = [F.col("_s").eqNullSafe(F.col("_wl")), F.col("_p") == F.col("_wp"), F.col("rank") == F.col("_wr")]
-        for r in ranked.join(F.broadcast(table), same).select("_s", "k", "_h").collect():
-            cuts[r["_s"]][r["k"]] = r["_h"]
-    return cuts
-
-
-def below_cut(key: str, label: str | None, cuts: dict, seed: int = 42) -> Column:
-    """True for the rows a cut per stratum selects."""
-    h = key_hash(key, seed)
-    if label is None:
-        return h <= cuts[None]
-    test = F.lit(False)
-    for l, cut in cuts.items():
-        test = F.when(F.col(label).eqNullSafe(F.lit(l)), h <= cut).otherwise(test)
-    return test
-
-
-def take_per_stratum(df: DataFrame, key: str, label: str | None, sizes: dict, counts: dict, seed: int) -> DataFrame:
-    cuts = hash_cuts(df, key, label, counts, {l: [k] for l, k in sizes.items()}, seed)
-    return df.where(below_cut(key, label, {l: c[sizes[l]] for l, c in cuts.items()}, seed))
-
-
-def part(n: int, fraction: float) -> int:
-    return math.floor(n * fraction + 0.5)
+    stratum, h = _stratum(df, label), key_hash(key, seed)
+    prefix = F.coalesce(F.substring(h, 1, DIGITS), F.lit(NONE))
+    upto = Window.partitionBy("_l").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = (df.groupBy(stratum.alias("_l"), prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_upto", F.sum("_c").over(upto)))
+    wanted = sizes.select("_l", "n", F.explode("_sizes").alias("_k"))
+    within = wanted.where("_k > 0 AND _k < n").alias("w").join(
+        counts.alias("c"), F.expr("w._l <=> c._l AND w._k <= c._upto AND w._k > c._upto - c._c"))
+    cuts = within.select(F.col("w._l").alias("_l"), "_k", "_p", (F.col("_upto") - F.col("_c")).alias("_before")).unionByName(
+        wanted.where("_k <= 0 OR _k >= n").select(
+            "_l", "_k", F.when(F.col("_k") <= 0, NONE).otherwise(ALL).alias("_p"), F.lit(0).cast("long").alias("_before")))
+    cuts = cuts.groupBy(F.col("_l").alias("_cl")).agg(F.array_sort(F.collect_list(F.struct("_k", "_p", "_before"))).alias("_cuts"))
+    rows = (df.withColumns({"_sl": stratum, "_h": h, "_hp": prefix})
+            .join(cuts, F.col("_sl").eqNullSafe(F.col("_cl"))))
+    at_cut = F.exists("_cuts", lambda c: (c["_p"] == F.col("_hp")) & (c["_k"] > 0))
+    apart = rows.where(~at_cut).withColumn(out, F.size(F.filter("_cuts", lambda c: (c["_p"] < F.col("_hp")) | (c["_k"] <= 0))))
+    order = Window.partitionBy("_sl", "_hp").orderBy("_h", F.xxhash64(*df.columns))
+    rank = F.filter("_cuts", lambda c: c["_p"] == F.col("_hp"))[0]["_before"] + F.row_number().over(order)
+    ranked = rows.where(at_cut).withColumn("_rank", rank).withColumn(
+        out, F.size(F.filter("_cuts", lambda c: c["_k"] < F.col("_rank"))))
+    return apart.select(*df.columns, out).unionByName(ranked.select(*df.columns, out))
+
+
+def take_per_stratum(df: DataFrame, key: str, label: str | None, sizes: DataFrame, seed: int) -> DataFrame:
+    """The first rows of every stratum in hash order; ``sizes`` has _l, n and k."""
+    wanted = sizes.select("_l", "n", F.array(F.col("k").cast("long")).alias("_sizes"))
+    return place_by_rank(df, key, label, wanted, seed, "_place").where("_place = 0").drop("_place")
 
 
 def split(df: DataFrame, key: str = "flow_id", label: str | None = None, test: float = 0.2, val: float = 0.0,
@@ -118,51 +73,46 @@ def split(df: DataFrame, key: str = "flow_id", label: str | None = None, test: f
         place = F.conv(F.substring(key_hash(key, seed), 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
         return df.withColumn("split", F.when(place < test, "test")
                              .when(place < test + (1 - test) * val, "val").otherwise("train"))
-    counts = strata_counts(df, label)
-    first = {l: part(n, test) for l, n in counts.items()}
-    second = {l: first[l] + part(n - first[l], val) for l, n in counts.items()}
-    cuts = hash_cuts(df, key, label, counts, {l: sorted({first[l], second[l]}) for l in counts}, seed)
-    is_test = below_cut(key, label, {l: c[first[l]] for l, c in cuts.items()}, seed)
-    is_val = below_cut(key, label, {l: c[second[l]] for l, c in cuts.items()}, seed)
-    return df.withColumn("split", F.when(is_test, "test").when(is_val, "val").otherwise("train"))
+    share = lambda n, f: F.floor(n * F.lit(f) + 0.5).cast("long")
+    sizes = strata(df, label).withColumn("_first", share(F.col("n"), test))
+    second = F.col("_first") + share(F.col("n") - F.col("_first"), val)
+    sizes = sizes.select("_l", "n", F.array("_first", second).alias("_sizes"))
+    placed = place_by_rank(df, key, label, sizes, seed, "_place")
+    name = F.when(F.col("_place") == 0, "test").when(F.col("_place") == 1, "val").otherwise("train")
+    return placed.withColumn("split", name).drop("_place")
 
 
 def sample_n(df: DataFrame, key: str = "flow_id", n: int = 100_000, seed: int = 42) -> DataFrame:
     """A uniform sample of n rows (all rows if there are fewer)."""
-    counts = strata_counts(df, None)
-    return take_per_stratum(df, key, None, {None: min(n, counts[None])}, counts, seed)
+    return take_per_stratum(df, key, None, strata(df, None).withColumn("k", F.lit(n)), seed)
 
 
-def quotas(counts: dict, n: int) -> dict:
-    """Shares of n proportional to the counts; leftovers go to the largest remainders."""
-    total = sum(counts.values())
-    if n >= total:
-        return dict(counts)
-    exact = {l: n * c / total for l, c in counts.items()}
-    out = {l: math.floor(e) for l, e in exact.items()}
-    order = sorted(counts, key=lambda l: (out[l] - exact[l], str(l)))
-    for l in order[:n - sum(out.values())]:
-        out[l] += 1
-    return out
+def quotas(counts: DataFrame, n: int) -> DataFrame:
+    """Adds k: shares of n proportional to the counts; leftovers go to the largest remainders."""
+    every = Window.partitionBy(F.lit(0))  # one row for each stratum
+    exact = F.lit(n) * F.col("n") / F.sum("n").over(every)
+    table = counts.withColumn("_exact", exact).withColumn("_down", F.floor("_exact"))
+    turn = F.row_number().over(every.orderBy(F.col("_down") - F.col("_exact"), F.col("_l").cast("string")))
+    extra = (turn <= F.lit(n) - F.sum("_down").over(every)).cast("long")
+    k = F.when(F.sum("n").over(every) <= n, F.col("n")).otherwise(F.col("_down") + extra)
+    return table.select("_l", "n", k.alias("k"))
 
 
 def stratified_sample(df: DataFrame, label: str = "label_binary", n: int = 50_000, key: str = "flow_id",
                       seed: int = 42) -> DataFrame:
     """Exactly n rows with the class shares of the table."""
-    counts = strata_counts(df, label)
-    return take_per_stratum(df, key, label, quotas(counts, n), counts, seed)
+    return take_per_stratum(df, key, label, quotas(strata(df, label), n), seed)
 
 
 def capped_sample(df: DataFrame, label: str = "label_binary", cap: int = 50_000, key: str = "flow_id",
                   seed: int = 42) -> DataFrame:
     """All rows up to the cap, else class-proportional with a top-up, normal rows first."""
-    counts = strata_counts(df, label)
-    total = sum(counts.values())
+    total, normal, anomaly = df.agg(F.count(F.lit(1)), F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).first()
     if total <= cap:
         return df
-    normal, anomaly = counts.get(0, 0), counts.get(1, 0)
     both = normal + anomaly
     sizes = {0: min(int(cap * (normal / both)), normal), 1: min(int(cap * (anomaly / both)), anomaly)}
     for l, n in ((0, normal), (1, anomaly)):
         sizes[l] += min(max(cap - sum(sizes.values()), 0), n - sizes[l])
-    return take_per_stratum(df, key, label, {l: k for l, k in sizes.items() if l in counts}, counts, seed)
+    k = F.when(F.col("_l") == 0, sizes[0]).when(F.col("_l") == 1, sizes[1])
+    return take_per_stratum(df, key, label, strata(df, label).withColumn("k", k).where("k IS NOT NULL"), seed)

@@ -74,15 +74,20 @@ def roc_auc(df: DataFrame, score: str = "anomaly_score", label: str = "label_bin
 
 def threshold_grid(df: DataFrame, score: str = "anomaly_score", label: str = "label_binary",
                    percentiles=(90, 91, 92, 93, 94, 95, 96, 97, 98, 99, 99.5)) -> DataFrame:
-    """Precision, recall and F1 at a grid of score percentiles, in one pass after the quantiles."""
+    """Precision, recall and F1 at a grid of score percentiles: one wide aggregate after the quantiles."""
     cuts = exact_quantiles(df, [], score, [p / 100 for p in percentiles]).first()["q"]
-    pairs = F.array(*[F.struct(F.lit(float(p)).alias("percentile"), F.lit(c).alias("threshold"))
-                      for p, c in zip(percentiles, cuts)])
-    rows = df.select(score, label, F.explode(pairs).alias("g"))
-    hit = F.col(score) >= F.col("threshold")
-    stats = rows.select(score, label, "g.*").groupBy("percentile", "threshold").agg(
-        F.count_if(hit & (F.col(label) == 1)).alias("tp"), F.count_if(hit & (F.col(label) == 0)).alias("fp"),
-        F.count_if(~hit & (F.col(label) == 1)).alias("fn"))
+    if cuts is None:
+        cuts = [None] * len(percentiles)
+    attack, normal = F.col(label) == 1, F.col(label) == 0
+
+    def counted(percentile, cut):
+        hit = F.col(score) >= F.lit(cut).cast("double")
+        return F.struct(
+            F.lit(float(percentile)).alias("percentile"), F.lit(cut).cast("double").alias("threshold"),
+            F.count_if(hit & attack).alias("tp"), F.count_if(hit & normal).alias("fp"), F.count_if(~hit & attack).alias("fn"))
+
+    grid = [counted(p, c) for p, c in zip(percentiles, cuts, strict=True)]
+    stats = df.agg(F.array(*grid).alias("g")).select(F.inline("g"))
     p = ratio_or_zero(F.col("tp"), F.col("tp") + F.col("fp"))
     r = ratio_or_zero(F.col("tp"), F.col("tp") + F.col("fn"))
     return stats.select("percentile", "threshold", "tp", "fp", "fn", p.alias("precision"), r.alias("recall"),

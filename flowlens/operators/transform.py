@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowlens.functions.catalog import SKEWED_FEATURES
 from flowlens.functions.columns import finite, numeric_columns, ratio_or_zero, require
-from flowlens.functions.quantiles import DIRECT_ROWS, exact_quantiles, melt
+from flowlens.functions.quantiles import exact_quantiles, melt
 from flowlens.sources.stores import PARAM_SCHEMA
 
 # The transforms compared for each feature, in order of preference.
@@ -203,12 +203,10 @@ def fit_for_unsupervised(df: DataFrame, skewed=None, features=None, prefix: str
     columns = model_columns(df, skewed, features, prefix, replace, key)
     if not columns:
         raise ValueError("no numeric feature to scale")
-    learned = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.min(F.col(c).cast("double")).alias(c) for c in skewed])
-    minima = learned.first().asDict()
-    rows = minima.pop("_rows")
+    minima = df.agg(*[F.min(F.col(c).cast("double")).alias(c) for c in skewed]).first().asDict() if skewed else {}
     moved = log_transform(df, skewed, "" if replace else prefix, minima) if skewed else df
     return {"skewed": skewed, "minima": minima, "prefix": "" if replace else prefix, "columns": columns,
-            "params": robust_fit(moved, columns, biggest=rows if rows <= DIRECT_ROWS else None)}
+            "params": robust_fit(moved, columns)}
 
 
 def apply_for_unsupervised(df: DataFrame, fitted: dict) -> DataFrame:
@@ -337,18 +335,13 @@ def transform_columns(features, minima, boxcox, yeoj) -> dict[tuple[str, str], C
     return out
 
 
-def compare_transforms(df: DataFrame, features, label: str = "label_binary", key: str = "flow_id",
-                       max_sample: int = 50_000) -> DataFrame:
+def compare_transforms(df: DataFrame, features, label: str = "label_binary") -> DataFrame:
     """Metrics and score of each transform of each feature; ``is_best`` marks the winner.
 
-    Lambdas are fitted on a capped class-proportional sample, everything else on all rows.
-    All features and transforms go through the same few jobs as rows of one long table.
+    Everything, the lambdas too, is fitted on all rows. All features and transforms go through the same few jobs as rows of one long table.
     """
-    from flowlens.operators.sampling import capped_sample
-
     features = [f for f in features if f in df.columns]
-    sample = capped_sample(df.select(key, label, *features), label, max_sample, key)
-    boxcox, yeoj = fit_lambdas(sample, features), fit_lambdas(sample, features, "yeo-johnson")
+    boxcox, yeoj = fit_lambdas(df, features), fit_lambdas(df, features, "yeo-johnson")
     columns = transform_columns(features, column_minima(df, features), boxcox, yeoj)
     wide = df.select(F.col(label).alias("label"), *[c.alias(f"{f}|{t}") for (f, t), c in columns.items()])
     long = wide.unpivot("label", wide.columns[1:], "pair", "value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlens.functions.catalog import PAIR_FEATURES
@@ -47,7 +47,7 @@ def build_features(spark: SparkSession, base: str, df: DataFrame | None = None,
     if incremental and stage == 4 and found == 3:
         try:
             return save_features(add_pair_stage(stored, size), base, 4)
-        except PySparkException:
+        except AnalysisException:  # the stored features lack what stage 4 needs; any other failure is raised
             return stored
     if df is None:
         raise FileNotFoundError(f"no stored features under {base} and no flows given")

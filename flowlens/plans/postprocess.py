@@ -51,10 +51,18 @@ def postprocess_summary(result: DataFrame, rules: DataFrame, method: str, y: str
     return counts.select(
         "total_samples", "original_anomalies", "final_anomalies",
         (F.col("original_anomalies") - F.col("final_anomalies")).alias("filtered_count"),
-        F.lit(len(ru.rule_rows(rules))).alias("rule_count"), F.lit(method).alias("method"),
+        F.lit(rules.count()).alias("rule_count"), F.lit(method).alias("method"),
         "original", "filtered", F.current_timestamp().alias("timestamp"))
 
 
+def remine(scored: DataFrame, confirmed: DataFrame, key: str = "flow_id", y: str = "label_binary", score: str | None = None,
+           **options) -> tuple[DataFrame, DataFrame]:
+    """Mine again after an analyst's verdicts: the new rules, and the flows with the rules applied."""
+    marked = feedback_labels(scored, confirmed, key, y)
+    rules = ru.mine_rules(marked, y, **options)
+    return rules, ru.apply_rules(marked, rules, score=score)
+
+
 def feedback_labels(scored: DataFrame, confirmed: DataFrame, key: str = "flow_id", y: str = "label_binary") -> DataFrame:
     """Flows an analyst confirmed as false alarms count as normal when rules are mined again."""
     marks = confirmed.select(F.col(key).alias("_k"), F.lit(True).alias("_normal")).distinct()

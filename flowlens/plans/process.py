@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from flowlens.functions.catalog import SKEWED_FEATURES
@@ -41,7 +41,7 @@ def staged_features(df: DataFrame, stage: int, size: str, key: str, base: str |
             try:
                 if smoke_stage4(stored, size=size, key=key).where("not present").count() == 0:
                     return add_pair_stage(stored, size), 4, True
-            except PySparkException:
+            except AnalysisException:  # as above; any other failure is raised
                 pass
             return stored, 3, False
     return extract_features(df, stage, size=size, key=key), stage, True

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowlens.functions.catalog import NUMERIC_COLUMNS, PORT_COLUMNS
@@ -60,12 +59,10 @@ def write_flows(df: DataFrame, path: str, partition_by=()) -> None:
 
 
 def try_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table, or None when it is absent, empty of files or unreadable."""
+    """The parquet table, or None when it is absent or empty of files; any other failure is raised."""
     try:
-        df = spark.read.parquet(path)
-        df.limit(1).count()
-        return df
-    except (PySparkException, Py4JError):
+        return spark.read.parquet(path)
+    except AnalysisException:
         return None
 
 

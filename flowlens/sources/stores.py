@@ -108,6 +108,11 @@ def load_run(spark: SparkSession, base: str) -> tuple[DataFrame, dict]:
     return scored, config
 
 
+def load_model(spark: SparkSession, base: str, kind):
+    """The model a run was stored with; ``kind`` is its class."""
+    return kind.load(spark, f"{base}/model")
+
+
 def save_result(result: DataFrame, base: str, model: str) -> None:
     """Store one detector's result row under its name."""
     result.coalesce(1).write.mode("overwrite").parquet(os.path.join(base, f"model={model}"))

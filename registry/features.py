@@ -330,3 +330,16 @@ FROM (SELECT COALESCE(least(sb, db) / CAST(NULLIF(greatest(sb, db), 0) AS DOUBLE
 def symmetry_profile(spark, sf_dir):
     f = windows.pair_window_features(rows.row_features(gappy_flows(spark, sf_dir)), "1 day")
     return rounded(windows.symmetry_profile(f), ["mean_symmetry", "two_way_share", "one_way_share"])
+
+
+@query("schema_contract", """
+SELECT e.name, c.column_name IS NOT NULL AS present,
+  coalesce((e.kind = 'any' AND c.column_name IS NOT NULL) OR (e.kind = 'number' AND regexp_matches(c.data_type, 'INT|DOUBLE|DECIMAL'))
+    OR (e.kind = 'time' AND c.data_type LIKE 'TIMESTAMP%'), FALSE) AS type_right
+FROM (VALUES ('event_id', 'any'), ('nothing', 'any'), ('value', 'number'), ('event_type', 'number'), ('ts', 'time'),
+             ('user_id', 'time')) AS e(name, kind)
+LEFT JOIN (SELECT * FROM information_schema.columns WHERE table_name = 'events') AS c ON c.column_name = e.name""")
+def schema_contract(spark, sf_dir):
+    from flowlens.functions.columns import schema_contract as contract
+
+    return contract(table(spark, sf_dir, "events"), ["event_id", "nothing"], ["value", "event_type"], ["ts", "user_id"])

@@ -8,16 +8,19 @@ from flowlens.operators import boosted, forest, neighbors, oneclass, row_feature
 from flowlens.operators.sampling import sample_n
 from flowlens.plans.benchmark import benchmark_models, compare_models
 from flowlens.plans.features import add_pair_stage, build_features, extract_features, smoke_stage4
-from flowlens.plans.postprocess import feedback_labels, postprocess
+from flowlens.plans.postprocess import feedback_labels, postprocess, remine
 from flowlens.plans.process import process_flows
 from flowlens.plans.training import UnsupervisedConfig, train_supervised, train_unsupervised
 from flowlens.sources import flows as src, stores
-from flowlens.sources.storage import scratch_path
+from flowlens.sources.storage import materialize, scratch_path
 from registry.base import flows, query, scored_flows, table
 from registry.features import rounded
 from registry.rules import SCORES
 
 INPUTS = ["Dur", "TotPkts", "TotBytes", "SrcBytes"]
+# Fewer boosting rounds than the jobs' own settings, as every round is several Spark jobs; the retrain differs.
+SHORT = {"max_depth": 3, "rate": 0.1, "iterations": 5}
+SHORT_TIGHTER = {"max_depth": 2, "rate": 0.05, "iterations": 7, "subsample": 0.7, "columns_share": 0.7}
 
 
 def scaled(spark, sf_dir):
@@ -43,7 +46,7 @@ def isolation_forest_labels(spark, sf_dir):
 def isolation_forest_grouped(spark, sf_dir):
     f, columns = scaled(spark, sf_dir)
     f = forest.protocol_group(f)
-    model, _ = forest.fit_grouped(f, columns, trees=50, bootstrap=True)
+    model, _ = forest.fit_grouped(f, columns, trees=300, bootstrap=True)
     scored = model.transform(f)
     return forest.score_grouped(scored, forest.group_score_stats(scored)).select(
         "flow_id", "protocol_group", "raw_score", "anomaly_score")
@@ -109,7 +112,7 @@ def one_class_embeddings(spark, sf_dir):
 @query("one_class_flows")
 def one_class_flows(spark, sf_dir):
     f, columns = scaled(spark, sf_dir)
-    return oneclass.fit_oneclass(f, columns, 0.1, steps=6).transform(f).select("flow_id", "label_binary", "raw_score")
+    return oneclass.fit_oneclass(f, columns, 0.1).transform(f).select("flow_id", "label_binary", "raw_score")
 
 
 @query("boosted_importances")
@@ -127,8 +130,7 @@ def boosted_predictions(spark, sf_dir):
 
 @query("boosted_guarded_fit")
 def boosted_guarded_fit(spark, sf_dir):
-    small = {"max_depth": 3, "rate": 0.1, "iterations": 5}
-    return boosted.fit_with_guard(scored_flows(spark, sf_dir).drop("y_pred"), INPUTS, first=small, tighter=small)[1]
+    return boosted.fit_with_guard(scored_flows(spark, sf_dir).drop("y_pred"), INPUTS, first=SHORT, tighter=SHORT_TIGHTER)[1]
 
 
 @query("benchmark_models")
@@ -157,14 +159,13 @@ QUICK = {"iterations": 5}
 
 @query("train_unsupervised")
 def unsupervised(spark, sf_dir):
-    run = train_unsupervised(flows(spark, sf_dir), UnsupervisedConfig(size="1 day", trees=50, boosted_options=QUICK))
+    run = train_unsupervised(flows(spark, sf_dir), UnsupervisedConfig(size="1 day", boosted_options=QUICK))
     return run.metrics
 
 
 @query("train_supervised")
 def supervised(spark, sf_dir):
-    small = {"max_depth": 3, "rate": 0.1, "iterations": 5}
-    return train_supervised(flows(spark, sf_dir), size="1 day", boosted_options=QUICK, first=small, tighter=small).metrics
+    return train_supervised(flows(spark, sf_dir), size="1 day", boosted_options=QUICK, first=SHORT, tighter=SHORT_TIGHTER).metrics
 
 
 @query("postprocess_summary", """
@@ -193,6 +194,34 @@ def analyst_feedback(spark, sf_dir):
     return feedback_labels(s, s.where((F.col("label_binary") == 1) & (F.col("TotPkts") > 15))).select("flow_id", "label_binary")
 
 
+@query("feedback_rules")
+def feedback_rules(spark, sf_dir):
+    """What the rules mined after the verdicts change."""
+    from flowlens.operators.rules import effect_stats
+
+    s = rf.row_features(scored_flows(spark, sf_dir))
+    _, applied = remine(s, s.where((F.col("label_binary") == 1) & (F.col("TotPkts") > 15)))
+    return effect_stats(applied)
+
+
+@query("outlier_factor_labels")
+def outlier_factor_labels(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    model = neighbors.fit_lof(e, "embedding", 10, "vec_id").fit_offset(e, 0.1)
+    return model.predict_labels(e).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("model_round_trip", "SELECT COUNT(*) AS rows, 0 AS changed FROM embeddings")
+def model_round_trip(spark, sf_dir):
+    """Labels of a stored one-class model after loading it back: none may change."""
+    e, base = table(spark, sf_dir, "embeddings"), scratch_path(spark, "run")
+    model = oneclass.fit_oneclass(e, "embedding", 0.1)
+    stores.save_run(e.select("vec_id", F.lit("train").alias("split")), base, {}, model)
+    loaded = stores.load_model(spark, base, oneclass.OneClassModel)
+    both = loaded.predict_labels(model.predict_labels(e, out="before").drop("raw_score"), out="after")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") != F.col("after")).cast("int").alias("changed"))
+
+
 # Stored artefacts, each read back after writing.
 
 @query("parquet_round_trip", "SELECT flow_id, StartTime, Dur, Proto, Dport, TotBytes FROM {flows} AS f")
@@ -314,7 +343,7 @@ def csv_report(spark, sf_dir):
 @query("best_transform_store")
 def best_transform_store(spark, sf_dir):
     base, f = scratch_path(spark, "best"), scored_flows(spark, sf_dir)
-    best = tr.compare_transforms(f, ["TotBytes"]).where("is_best")
+    best = materialize(tr.compare_transforms(f, ["TotBytes"]).where("is_best"), "best")  # read twice, computed once
     data, params = tr.apply_best(f, best)
     stores.save_best_transforms(best, data.select("flow_id", "TotBytes"), tr.params_table(spark, params), base)
     return spark.read.parquet(f"{base}/data")

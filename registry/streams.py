@@ -52,7 +52,7 @@ def stream_scoring(spark, sf_dir):
     s = rf.row_features(scored_flows(spark, sf_dir))
     names = ["Dur", "TotPkts", "TotBytes"]
     fitted = tr.fit_for_unsupervised(s, names, names)
-    model = forest.fit_forest(tr.apply_for_unsupervised(s, fitted), fitted["columns"], trees=25)
+    model = forest.fit_forest(tr.apply_for_unsupervised(s, fitted), fitted["columns"])
     rules = ru.mine_rules(s, method="score")
     out = score_stream(flow_stream(spark, sf_dir), model, rules, 0.6, fitted)
     return run_available(out.select("flow_id", "anomaly_score", "y_pred", "y_final"))

@@ -46,11 +46,27 @@ def test_missing_feature_passes_and_log_name_is_found(spark):
     assert got == {1: [0], 2: [], 3: [0], 4: []}
 
 
-def test_too_many_rules_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(ru, "MAX_RULES", 0)
-    rule = (0, "r", "port", None, 80.0, None, None, None, None, None, .1, .1, .1)
-    with pytest.raises(ValueError):
-        ru.rule_rows(spark.createDataFrame([rule], stores.RULE_SCHEMA))
+def test_thousands_of_rules(spark):
+    """Rules are joined, not written into the plan: each flow finds exactly its own."""
+    n = 5_000
+    ids = spark.range(n)
+    null = lambda t: F.lit(None).cast(t)
+    rules = ids.select(
+        F.col("id").alias("rule_id"), F.lit("r").alias("name"),
+        F.when(F.col("id") % 2 == 0, "proto_port").otherwise("port_behavioral").alias("type"), F.lit("tcp").alias("proto"),
+        F.col("id").cast("double").alias("port"), null("double").alias("port_min"), null("double").alias("port_max"),
+        null("string").alias("ip"), null("double").alias("anomaly_score_threshold"),
+        F.when(F.col("id") % 2 == 1, F.array(F.struct(F.lit("TotBytes").alias("feature"), F.lit("max").alias("op"),
+                                                      F.lit(10.0).alias("bound")))).alias("conditions"),
+        F.lit(.1).alias("fp_ratio"), F.lit(.2).alias("normal_ratio"), F.lit(.3).alias("attack_ratio"))
+    flows = ids.select((F.col("id") % (n + 100)).alias("Dport"), F.lit("TCP").alias("Proto"), (F.col("id") % 20).alias("TotBytes"),
+                       F.lit(1).alias("label_binary"), F.lit(0).alias("y_pred"))
+    out = ru.rule_match(rules, flows)
+    want = F.when((F.col("Dport") % 2 == 0) | (F.col("TotBytes") < 10), F.array("Dport")).otherwise(F.array().cast("array<long>"))
+    assert out.count() == n and out.where(F.col("rule_ids") != want).count() == 0
+    covered = ru.fn_coverage(flows, rules)
+    assert covered.count() == n and covered.agg(F.sum("matched_fn")).first()[0] == n // 2 + n // 4
+    assert ru.apply_rules(flows.withColumn("y_pred", F.lit(1)), rules).where("y_final = 0").count() == n // 2 + n // 4
 
 
 def test_rules_file(spark):
@@ -180,10 +196,10 @@ def test_hot_source_join_is_split(spark):
 
 
 def test_bounds_of_large_combinations(spark):
-    """The bracketed quantiles and counted modes give the same bounds as the value maps."""
+    """Narrow brackets give the same bounds as whole groups."""
     f = rf.row_features(scored_flows(spark, "/root/testdata/sf0.01"))
     combos = ru.combo_stats(f)
     plain = ru.behavioral_bounds(f, combos)
-    large = ru.behavioral_bounds(f, combos.select("proto", "port"), direct_rows=100)
+    large = ru.behavioral_bounds(f, combos.select("proto", "port"), whole_rows=100, accuracy=500)
     a, b = ({tuple(r) for r in d.select("proto", "port", "feature", "place", F.round("bound", 6)).collect()} for d in (plain, large))
     assert a == b and len(a) > 10

@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from flowlens.functions.ordering import running_sums
 from flowlens.functions.quantiles import exact_quantile, exact_quantiles
-from flowlens.operators import sampling, thresholds, windows
+from flowlens.operators import forest, sampling, thresholds, windows
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
 
@@ -22,25 +22,39 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g int, v double").repartition(6).cache()
 
 
-@pytest.mark.parametrize("direct", [40, 3_000, 1_000_000])
-def test_quantiles_equal_numpy(skewed, direct):
+@pytest.mark.parametrize("accuracy, whole", [(10_000, 100_000), (200, 1_500), (1_000, 5_000)])
+def test_quantiles_equal_numpy(skewed, accuracy, whole):
     pdf = skewed.toPandas().dropna()
-    for r in exact_quantiles(skewed, ["g"], "v", PROBS, direct_rows=direct).collect():
+    kw = {"accuracy": accuracy, "whole_rows": whole}
+    for r in exact_quantiles(skewed, ["g"], "v", PROBS, **kw).collect():
         part = pdf[pdf.g == r["g"]].v
         assert r["n"] == len(part)
         assert r["q"] == pytest.approx(list(np.quantile(part, PROBS)), rel=1e-12)
-    assert exact_quantile(skewed, "v", 0.37, direct_rows=direct) == pytest.approx(np.quantile(pdf.v, 0.37), rel=1e-12)
+    assert exact_quantile(skewed, "v", 0.37, **kw) == pytest.approx(np.quantile(pdf.v, 0.37), rel=1e-12)
 
 
-def test_misleading_samples_are_noticed(skewed, monkeypatch):
-    """Brackets from far too small samples miss, and are moved until they hold the rank."""
-    from flowlens.functions import quantiles
+@pytest.mark.parametrize("whole", [100_000, 1_000])
+def test_odd_values_count_alike_at_every_size(spark, whole):
+    """NaN is missing, infinities are values, and a thin stretch between two heavy values is found."""
+    inf = float("inf")
+    rows = [(0, float(i % 7) if i % 4 else float("nan")) for i in range(4_000)]
+    rows += [(1, inf if i % 3 else -inf) for i in range(3_000)]
+    rows += [(2, 1.0 if i < 2_000 else 9.0 if i >= 2_050 else 2.0 + i / 1_000) for i in range(4_050)]
+    rows += [(3, None), (None, 5.0), (None, 6.0)]
+    data = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    probs = [0.1, 0.25, 0.4945, 0.5, 0.75]
+    got = {r["g"]: r for r in exact_quantiles(data, ["g"], "v", probs, accuracy=300, whole_rows=whole).collect()}
+    for g in (0, 2):
+        values = [v for k, v in rows if k == g and v == v]
+        assert got[g]["n"] == len(values) and got[g]["q"] == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+    assert got[1]["q"] == [-inf, -inf, inf, inf, inf]
+    assert got[3]["n"] == 0 and got[3]["q"] is None and got[None]["q"][3] == 5.5
 
-    monkeypatch.setattr(quantiles, "SAMPLE", 20)
-    monkeypatch.setattr(quantiles, "MARGIN", 0)
-    v = skewed.toPandas().dropna().v
-    got = exact_quantiles(skewed, [], "v", PROBS, direct_rows=50).first()["q"]
-    assert got == pytest.approx(list(np.quantile(v, PROBS)), rel=1e-12)
+
+def test_quantiles_of_many_groups(spark):
+    data = spark.range(600_000).select((F.col("id") % 200_000).alias("g"), (F.col("id") * 3).alias("v"))
+    out = exact_quantiles(data, ["g"], "v", [0.5])
+    assert out.where(F.col("q")[0] == (F.col("g") + 200_000) * 3).count() == 200_000
 
 
 def test_quantiles_of_nothing(spark):
@@ -97,9 +111,9 @@ def test_interval_ties_and_nulls(spark):
     assert got == {1: (0, 0), 3: (0, 15), 5: (15, 0), 2: (0, 0), 4: (0, 0)}
 
 
-def test_hash_cuts_below_prefixes(spark, monkeypatch):
-    """Cuts found by descending hash prefixes equal a full ranking."""
-    monkeypatch.setattr(sampling, "GROUP_ROWS", 5)
+@pytest.mark.parametrize("digits", [1, 4])
+def test_splits_equal_a_full_ranking(spark, monkeypatch, digits):
+    monkeypatch.setattr(sampling, "DIGITS", digits)
     df = spark.range(9_000).select(F.col("id").alias("flow_id"), (F.col("id") % 3 == 0).cast("int").alias("label_binary"))
     got = sampling.split(df, label="label_binary", val=0.2).toPandas()
     order = Window.partitionBy("label_binary").orderBy(sampling.key_hash("flow_id"))
@@ -123,6 +137,26 @@ def test_splits_are_disjoint_and_stratified(spark):
     assert sampling.capped_sample(df, cap=500).count() == 500
 
 
+def test_exact_sizes_with_repeated_keys_and_many_strata(spark):
+    df = spark.range(6_000).select((F.col("id") % 40).alias("flow_id"), F.lit(1).alias("label_binary"))
+    assert sampling.sample_n(df, n=255).count() == 255
+    assert {r["split"]: r["count"] for r in sampling.split(df, val=0.25).groupBy("split").count().collect()} == {
+        "test": 1_200, "val": 1_200, "train": 3_600}
+    many = spark.range(20_000).select(F.col("id").alias("flow_id"), (F.col("id") % 5_000).alias("label_binary"))
+    got = sampling.stratified_sample(many, n=7_500)
+    assert got.count() == 7_500 and got.select("label_binary").distinct().count() == 5_000
+    parts = sampling.split(many, label="label_binary", test=0.25)
+    assert parts.where("split = 'test'").groupBy("label_binary").count().where("count <> 1").count() == 0
+
+
+def test_scores_of_many_groups(spark):
+    rows = spark.range(20_000).select((F.col("id") % 5_000).cast("string").alias("protocol_group"), (F.col("id") * -1.0).alias("raw_score"))
+    out = forest.score_grouped(rows, forest.group_score_stats(rows))
+    assert out.where("anomaly_score > 0 AND anomaly_score < 1").count() == 20_000
+    mixed = forest.ensemble(rows, {"raw_score": 1.0}, "protocol_group")
+    assert mixed.where("ensemble_score BETWEEN 0 AND 1").count() == 20_000
+
+
 def test_single_class_threshold_falls_back(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("anomaly_score"), F.lit(0).alias("label_binary"))
     assert thresholds.best_f1_threshold(df, fallback_frac=0.1).first()["threshold"] == pytest.approx(89.1)
