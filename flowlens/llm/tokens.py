@@ -93,28 +93,34 @@ class ByteIds:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.alphabet = byte_alphabet()
-        self.marks = {m: self._tokenize((m,))[0] for m in ".,;:!?"}
+        self.space = self.alphabet[ord(" ")]
+        self.model = self.tok.model.tokenize
+        self.marks = {m: self._word(m) for m in ".,;:!?"}
         self.cache = PartCache(self._encode)
-        self.words = PartCache(self._tokenize, parts=CACHE_PARTS // 4)
+        self.words = PartCache(lambda new: [self._word(p) for p in new], parts=CACHE_PARTS // 4)
 
     def _plain(self, text: str) -> bytes:
         return array.array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _tokenize(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pre-tokens, straight from the tokenizer's model."""
-        model, alphabet = self.tok.model.tokenize, self.alphabet
-        return [array.array("H", [t.id for t in model(p.encode().decode("latin-1").translate(alphabet))]).tobytes()
-                for p in pieces]
+    def _word(self, word: str) -> bytes:
+        """Ids of a pre-token, straight from the tokenizer's model; ASCII letters are their own alphabet."""
+        spelt = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.alphabet)
+        return array.array("H", [t.id for t in self.model(spelt)]).tobytes()
+
+    def _spaced(self, word: str) -> bytes:
+        """Ids of a pre-token of letters with its space."""
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        return array.array("H", [t.id for t in self.model(self.space + spelt)]).tobytes()
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        out, kept, settled, marks = [], self.cache.kept, _SETTLED.fullmatch, self.marks
+        out, kept, settled, marks, spaced = [], self.cache.kept, _SETTLED.fullmatch, self.marks, self._spaced
         for p in parts:
             if not settled(p):
                 out.append(self._plain(" " + p))
             elif p.isalpha():
-                out.append(self._tokenize((" " + p,))[0])
+                out.append(spaced(p))
             elif p[-1:] in marks and p[:-1].isalpha():  # two pre-tokens, the first often known
-                out.append((kept.get(p[:-1]) or self._tokenize((" " + p[:-1],))[0]) + marks[p[-1]])
+                out.append((kept.get(p[:-1]) or spaced(p[:-1])) + marks[p[-1]])
             else:
                 out.append(b"".join(self.words.values(self.pieces(" " + p))))
         return out
