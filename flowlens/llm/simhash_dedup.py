@@ -214,12 +214,16 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD_LI
 
 
 def deduplicate(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component, see ``one_of_each``."""
+    return one_of_each(docs, materialize(classes(docs, radius).select("doc_id", "h", "least"), "classes"))
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id, then of the smallest text hash.
 
-    Rows without an id come last. Of rows that repeat the chosen id and text one stays. Texts are not moved
-    while the rows to drop are few enough to broadcast.
+    ``rows`` has doc_id, h and least of every row. Rows without an id come last. Of rows that repeat the chosen id
+    and text one stays. Texts are not moved while the rows to drop are few enough to broadcast.
     """
-    rows = materialize(classes(docs, radius).select("doc_id", "h", "least"), "classes")
     chosen = (F.col("h") == F.col("least.h")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
     dropped = rows.where(~chosen).select("doc_id", "h").distinct()
     repeated = rows.where(chosen).groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h")
