@@ -1,8 +1,9 @@
 """Packing by lexical retrieval: neighbours found by BM25 fill each seed document's window.
 
 Every document is its token ids and one end id. Its full windows are sequences of their own; what is left
-over is retrieved: remainders are dealt over shards of bounded size, each shard holds an inverted index over
-its remainders, weighted with document frequencies counted over all remainders. A seed's window takes its
+over is retrieved: remainders are dealt by content over shards of bounded size, so that those with the same
+weightiest shared terms meet, and each shard holds an inverted index over its remainders, weighted with document
+frequencies counted over all remainders. A seed's window takes its
 best unused neighbours; the last of them is cut to fill the window, and its rest is the next seed. So only
 the last window of a shard is not full.
 """
@@ -27,6 +28,8 @@ VOCABULARY = 1 << 16
 #: Remainders a shard holds on average, terms a seed asks for, and the usual BM25 constants.
 SHARD_DOCS = 2_048
 QUERY_TERMS = 24
+#: Weightiest terms, of 16 bits each, that order the remainders for dealing.
+KEY_TERMS = 4
 K1, B = 1.2, 0.75
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -85,6 +88,38 @@ def term_statistics(rests: DataFrame) -> tuple[np.ndarray, int, float]:
     return df, n, length / n if n else 0.0
 
 
+def content_keys(rests: DataFrame, df: np.ndarray, idf: np.ndarray) -> DataFrame:
+    """``rests`` with ``key``: the weightiest terms that other remainders hold too, the first in the highest bits."""
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = []
+            for data in b.column(b.schema.get_field_index("rest")).to_pylist():
+                terms, tf = np.unique(np.frombuffer(data, "<u2"), return_counts=True)
+                held = df[terms] > 1
+                terms, tf = terms[held], tf[held]
+                top = terms[np.argsort(-idf[terms] * np.sqrt(tf), kind="stable")[:KEY_TERMS]].tolist()
+                keys.append(int.from_bytes(b"".join(t.to_bytes(2, "big") for t in top).ljust(8, b"\0"), "big", signed=True))
+            yield b.append_column("key", pa.array(keys, pa.int64()))
+
+    return rests.mapInArrow(keyed, "uid long, doc_id long, doc_tokens long, rest binary, key long")
+
+
+def dealt(keyed: DataFrame, shards: int) -> DataFrame:
+    """``keyed`` with ``shard``: ranges of keys of about equal size; a key that fills several is dealt over them."""
+    if shards == 1:
+        return keyed.withColumn("shard", F.lit(0).cast("long"))
+    places = [i / shards for i in range(1, shards)]
+    cuts = keyed.agg(F.percentile_approx("key", places, max(10_000, 50 * shards)).alias("cuts")).first()["cuts"]
+    shared = keyed.sparkSession.sparkContext.broadcast(np.array(cuts, "i8"))
+
+    @F.pandas_udf("long")
+    def shard(key: pd.Series, drawn: pd.Series) -> pd.Series:
+        low, high = (np.searchsorted(shared.value, key.to_numpy(), side) for side in ("left", "right"))
+        return pd.Series(low + drawn.to_numpy() % (high - low + 1))
+
+    return keyed.withColumn("shard", shard("key", F.xxhash64("uid")))
+
+
 class Index:
     """Inverted BM25 index over the remainders of a shard."""
 
@@ -150,7 +185,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, shard_docs: int =
     rests = encoded.where(F.length("rest") > 0)
     df, n, mean = term_statistics(rests)
     shards = max(1, -(-n // shard_docs))
-    idf = spark.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)))
+    weights = np.log1p((n - df + 0.5) / (df + 0.5))
+    idf = spark.sparkContext.broadcast(weights)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, row = TaskContext.get().partitionId() << 33, 0
@@ -177,9 +213,10 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, shard_docs: int =
         return out
 
     windows = encoded.where(F.size("windows") > 0).select("doc_id", "doc_tokens", "windows")
-    shard = F.pmod(F.xxhash64("uid"), F.lit(shards)).alias("shard")
-    packed = rests.select(
-        shard, "uid", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.isnull("doc_id").alias("missing"),
+    keyed = content_keys(rests.select("uid", "doc_id", "doc_tokens", "rest"), df, weights)
+    placed = dealt(materialize(keyed, "keyed") if shards > 1 else keyed, shards)
+    packed = placed.select(
+        "shard", "uid", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.isnull("doc_id").alias("missing"),
         "doc_tokens", "rest").groupBy("shard").applyInPandas(of_shard, PIECES)
     return windows.mapInArrow(whole, PIECES).unionByName(packed)
 

@@ -135,3 +135,19 @@ def test_bm25_scores():
         want = sum(idf[t] * (r == t).sum() * (packing.K1 + 1) / (
             (r == t).sum() + packing.K1 * (1 - packing.B + packing.B * len(r) / mean)) for t in (1, 2, 4))
         assert abs(s - want) < 1e-9
+
+
+def test_copies_meet_in_one_shard_of_many(spark):
+    """Edited copies are dealt by what they hold, however many shards there are."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(200):
+        words = [f"{rng.choice('bcdfgklmnprst')}{rng.choice('aeiou')}{rng.randrange(10**4)}" for _ in range(60)]
+        rows.append((2 * i, " ".join(words)))
+        words[rng.randrange(60)] = "edited"
+        rows.append((2 * i + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), shard_docs=40).collect()
+    shard = {p.doc_id: (p.sequence_id - (1 << 62)) >> 31 for p in pieces}
+    assert len(set(shard.values())) == 10
+    assert sum(shard[2 * i] == shard[2 * i + 1] for i in range(200)) > 120
