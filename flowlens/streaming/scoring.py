@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlens.operators.rules import apply_rules
@@ -21,15 +24,36 @@ def score_stream(flows: DataFrame, model, rules: DataFrame, threshold: float, fi
     return apply_rules(flagged, rules)
 
 
-def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 100) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream; without a bound one trigger reads all files, so none of a replay's rows is late."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+def run_counted(df: DataFrame, name: str = "stream") -> tuple[DataFrame, int]:
+    """Process all available input once; the output as a table, and the rows dropped behind the watermark.
+
+    Rows are counted as they reach the state: those of one group and task are one row where they are summed up before.
+    """
+    spark, kept = df.sparkSession, "spark.sql.streaming.numRecentProgressUpdates"
+    out, before = scratch_path(spark, name), spark.conf.get(kept)
+    spark.conf.set(kept, 1_000_000)
+    try:
+        run = (df.writeStream.format("parquet").outputMode("append").option("path", out)
+               .option("checkpointLocation", scratch_path(spark, f"{name}-state"))
+               .trigger(availableNow=True).start())
+        run.awaitTermination()
+        dropped = sum(s["numRowsDroppedByWatermark"] for p in run.recentProgress for s in json.loads(p.json)["stateOperators"])
+    finally:
+        spark.conf.set(kept, before)
+    return spark.read.schema(df.schema).parquet(out), dropped
 
 
 def run_available(df: DataFrame, name: str = "stream") -> DataFrame:
-    """Process all available input once, append the output to a table, and read it back."""
-    spark = df.sparkSession
-    out = scratch_path(spark, name)
-    (df.writeStream.format("parquet").outputMode("append").option("path", out)
-     .option("checkpointLocation", scratch_path(spark, f"{name}-state"))
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(df.schema).parquet(out)
+    """Process all available input once and read the output back; a warning tells of rows dropped behind the watermark."""
+    out, dropped = run_counted(df, name)
+    if dropped:
+        warnings.warn(f"{name}: the watermark dropped {dropped} rows", stacklevel=2)
+    return out

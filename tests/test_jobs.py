@@ -9,7 +9,7 @@ from flowlens.plans.postprocess import postprocess
 from flowlens.plans.training import UnsupervisedConfig, train_unsupervised
 from flowlens.sources import flows as src, stores
 from flowlens.sources.storage import scratch_path, shared_folder
-from flowlens.streaming.scoring import read_stream, run_available
+from flowlens.streaming.scoring import read_stream, run_available, run_counted
 from flowlens.streaming.windows import stream_src_windows
 from registry.base import flows, scored_flows
 
@@ -203,3 +203,16 @@ def test_bounds_of_large_combinations(spark):
     large = ru.behavioral_bounds(f, combos.select("proto", "port"), whole_rows=100, accuracy=500)
     a, b = ({tuple(r) for r in d.select("proto", "port", "feature", "place", F.round("bound", 6)).collect()} for d in (plain, large))
     assert a == b and len(a) > 10
+
+
+def test_replay_of_many_files_drops_nothing(spark):
+    """Every file holds an early and a late flow; a third trigger loses the early ones."""
+    path = scratch_path(spark, "in")
+    at = F.when(F.col("id") % 2 == 0, "2024-01-01 00:00:10").otherwise("2024-01-01 10:00:00").cast("timestamp")
+    rows = spark.range(0, 416, 1, 208).select(at.alias("StartTime"), F.lit("a").alias("SrcAddr"), F.lit("x").alias("DstAddr"),
+                                              F.lit(1).alias("Dport"), F.lit(1).cast("long").alias("TotBytes"))
+    rows.write.parquet(path)
+    out, dropped = run_counted(stream_src_windows(read_stream(spark, path, rows.schema)))
+    assert dropped == 0 and [r.flows_per_minute_by_src for r in out.collect()] == [208]
+    _, dropped = run_counted(stream_src_windows(read_stream(spark, path, rows.schema, 100)))
+    assert dropped > 0
