@@ -18,9 +18,6 @@ from registry.features import rounded
 from registry.rules import SCORES
 
 INPUTS = ["Dur", "TotPkts", "TotBytes", "SrcBytes"]
-# Fewer boosting rounds than the jobs' own settings, as every round is several Spark jobs; the retrain differs.
-SHORT = {"max_depth": 3, "rate": 0.1, "iterations": 5}
-SHORT_TIGHTER = {"max_depth": 2, "rate": 0.05, "iterations": 7, "subsample": 0.7, "columns_share": 0.7}
 
 
 def scaled(spark, sf_dir):
@@ -118,19 +115,19 @@ def one_class_flows(spark, sf_dir):
 @query("boosted_importances")
 def boosted_importances(spark, sf_dir):
     f = rf.row_features(scored_flows(spark, sf_dir))
-    return boosted.rank_features(f, [*INPUTS, "DstBytes", "flow_ratio"], iterations=10)
+    return boosted.rank_features(f, [*INPUTS, "DstBytes", "flow_ratio"])
 
 
 @query("boosted_predictions")
 def boosted_predictions(spark, sf_dir):
     f = scored_flows(spark, sf_dir).drop("y_pred")
-    return boosted.fit_boosted(f, INPUTS, iterations=10, max_depth=4).transform(f).select(
+    return boosted.fit_boosted(f, INPUTS).transform(f).select(
         "flow_id", "label_binary", "y_pred", "probability")
 
 
 @query("boosted_guarded_fit")
 def boosted_guarded_fit(spark, sf_dir):
-    return boosted.fit_with_guard(scored_flows(spark, sf_dir).drop("y_pred"), INPUTS, first=SHORT, tighter=SHORT_TIGHTER)[1]
+    return boosted.fit_with_guard(scored_flows(spark, sf_dir).drop("y_pred"), INPUTS)[1]
 
 
 @query("benchmark_models")
@@ -154,18 +151,15 @@ def compare(spark, sf_dir):
     return rounded(compare_models(s), ["value"])
 
 
-QUICK = {"iterations": 5}
-
-
 @query("train_unsupervised")
 def unsupervised(spark, sf_dir):
-    run = train_unsupervised(flows(spark, sf_dir), UnsupervisedConfig(size="1 day", boosted_options=QUICK))
+    run = train_unsupervised(flows(spark, sf_dir), UnsupervisedConfig(size="1 day"))
     return run.metrics
 
 
 @query("train_supervised")
 def supervised(spark, sf_dir):
-    return train_supervised(flows(spark, sf_dir), size="1 day", boosted_options=QUICK, first=SHORT, tighter=SHORT_TIGHTER).metrics
+    return train_supervised(flows(spark, sf_dir), size="1 day").metrics
 
 
 @query("postprocess_summary", """

@@ -214,3 +214,22 @@ def test_best_transform(spark):
     data, params = tr.apply_best(df, out)
     med = data.agg(F.median("v")).first()[0]
     assert med == pytest.approx(0.0, abs=1e-9) and set(params) == {"v"}
+
+
+@pytest.mark.parametrize("name, want", [
+    ("boosted_importances", [(4, 50)]), ("boosted_predictions", [(6, 100)]), ("boosted_guarded_fit", [(6, 200), (4, 300)]),
+    ("train_unsupervised", [(4, 50)]), ("train_supervised", [(4, 50), (6, 200), (4, 300)])])
+def test_registered_fits_have_the_jobs_settings(spark, monkeypatch, name, want):
+    """Each fit asks for the depth and rounds of its job; one round is run."""
+    import __spark_entry__ as entry
+
+    fit, asked = boosted.fit_boosted, []
+
+    def one_round(*args, **options):
+        asked.append((options.get("max_depth", 6), options.get("iterations", 100)))
+        return fit(*args, **{**options, "iterations": 1, "max_depth": 2})
+
+    monkeypatch.setattr(boosted, "fit_boosted", one_round)
+    monkeypatch.setattr(boosted, "overfit_report", lambda df, label: df.sparkSession.createDataFrame([("high",)], "risk string"))
+    entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert sorted(set(asked)) == sorted(want)
