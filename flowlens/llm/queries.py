@@ -14,6 +14,8 @@ SQL: dict[str, str] = {}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
+SHARDS = 40
 
 
 def query(fn):
@@ -93,6 +95,28 @@ def op7_quality_classifier(spark, sf_dir):
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    from flowlens.llm.alignment import align_documents
+
+    path = public_tokenizers.path
+    return align_documents(table(spark, sf_dir, "documents"), path(BYTE_TOKENIZER), path(PIECE_TOKENIZER))
+
+
+@query
+def op12_sharding(spark, sf_dir):
+    from flowlens.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    from flowlens.llm.ranked_search import ranked
+
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # SQL twins of the queries that SQL can express.
 SPLIT = r"list_filter(regexp_split_to_array({text}, '{by}'), lambda x: x <> '')"
 SHINGLES = """(SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
@@ -136,3 +160,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]') AND strlen(x) > 1)) > 0.4 * n_words
     OR len(list_filter(w, lambda x: regexp_full_match(x, '[\x00-\x40\x5B-\x60\x7B-\x7F]*'))) > 0.6 * n_words
     OR len(list_distinct(w)) < 0.5 * sqrt(n_words)) AS kept FROM f"""
+
+SQL["op13_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT COUNT(*) FILTER (WHERE len(w) > 0) AS n, SUM(len(w))::BIGINT AS l FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+p AS (SELECT r, doc_id, size, t, COUNT(*) AS tf FROM (SELECT r, doc_id, len(w) AS size, unnest(w) AS t FROM d) AS u
+  WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+f AS (SELECT t, COUNT(*) AS df FROM p GROUP BY t),
+v AS (SELECT t, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM f, c),
+s AS (SELECT item_id, r, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n) // l)))) AS BIGINT) AS score
+  FROM q JOIN p USING (t) JOIN v USING (t), c GROUP BY item_id, r, doc_id),
+o AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10"""
