@@ -1,13 +1,15 @@
 """Alignment of two tokenizers' tokens, over distinct texts.
 
 Texts are grouped by their full text, so each different text is tokenized and aligned once; what it holds counts as
-often as it occurs. A text is cut into units where neither tokenizer lets a token or a rule reach across: before a
-space that follows a visible character. Every unit starts with a space, the text's first with the one put before it.
-Each Python worker keeps the aligned units it has met in a bounded cache.
+often as it occurs. A text, with the space put before it, is cut into units where neither tokenizer lets a token or a
+rule reach across: before a space that follows a visible character, between a letter and a mark that no piece joins to
+letters, and between a single line break and a letter. Each Python worker keeps the aligned units it has met in a
+bounded cache.
 """
 
 from __future__ import annotations
 
+import array
 import hashlib
 import os
 import re
@@ -23,10 +25,12 @@ from flowlens.llm.common import materialize, small_enough, text_of
 
 #: Different id pairs up to which their counts are broadcast (about 40 MB); beyond, they are joined by a shuffle.
 BROADCAST_PAIRS = 400_000
-#: Aligned units a worker keeps, the longest it keeps, and texts aligned at a time.
-CACHE_UNITS, CACHE_LENGTH, TEXTS = 120_000, 48, 256
+#: Aligned units a worker keeps, twice over, the longest it keeps, and texts aligned at a time.
+CACHE_UNITS, CACHE_LENGTH, TEXTS = 80_000, 48, 256
 
-_CUT = re.compile(r"(?<=\S) ")
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
+_WORD = re.compile(f" ?{_LETTER}+")
+_MARKS = "\n!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 ALIGNED = "key binary, copies long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, links array<int>"
 
 
@@ -35,33 +39,49 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         self.a = tokens.load(path_a)
         self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        alphabet = {c: b for b, c in tokens.byte_alphabet().items()}
-        self.bytes_a = [bytes(alphabet[c] for c in self.a.id_to_token(i)) if all(c in alphabet for c in self.a.id_to_token(i))
-                        else self.a.id_to_token(i).encode() for i in range(self.a.get_vocab_size())]
+        spec = sentencepiece_model_pb2.ModelProto()
+        with open(path_b, "rb") as f:
+            spec.ParseFromString(f.read())
+        spec.normalizer_spec.add_dummy_prefix = False  # units bring their spaces
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
+        self.alphabet, self.model = tokens.byte_alphabet(), self.a.model.tokenize
+        back = {c: b for b, c in self.alphabet.items()}
+        spelt = [self.a.id_to_token(i) for i in range(self.a.get_vocab_size())]
+        self.bytes_a = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in spelt]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        joined = {m[0] for i, p in enumerate(pieces) if not self.b.is_byte(i) for m in re.findall(f"(?<={_LETTER})[^\\w▁]", p)}
+        marks = "".join(re.escape(c) for c in _MARKS if c not in joined)
+        broken = any("\n" in p and len(p) > 1 for p in pieces)
+        self.cut = re.compile("(?<=\\S)(?= )" + (f"|(?<={_LETTER})(?=[{marks}])" if marks else "")
+                              + ("" if broken else f"|(?<=\\S\n)(?={_LETTER})")).split
         self.kept: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
-    def unit(self, rest: str, a: list[int], b: list[int]) -> tuple | None:
-        """Value of the unit of a space and ``rest``, from its ids."""
-        whole, bytes_a, bytes_b = b" " + rest.encode(), self.bytes_a, self.bytes_b
+    def unit(self, whole: bytes, a: list[int], b: list[int]) -> tuple | None:
+        """Value of a unit from its bytes and ids."""
+        bytes_a, bytes_b = self.bytes_a, self.bytes_b
         if b"".join([bytes_a[i] for i in a]) != whole or b"".join([bytes_b[i] for i in b]) != whole:
             return None
+        if len(a) == 1 or len(b) == 1:  # all of it is one group
+            links = [x << 32 | y for x in a for y in b]
+            return len(a), len(b), ",".join(map(str, a)) + "|" + ",".join(map(str, b)), array.array("q", links).tobytes(), 1
         links, groups, i, j, first_a, first_b = [], [], 0, 0, 0, 0
         end_a, end_b = len(bytes_a[a[0]]), len(bytes_b[b[0]])
         while True:
             links.append(a[i] << 32 | b[j])
             if end_a == end_b:
                 i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
+                groups.append(f"{a[first_a]}|{b[first_b]}" if i - first_a == 1 == j - first_b else
+                              ",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
                 first_a, first_b = i, j
                 if i == len(a):
-                    return len(a), len(b), ";".join(groups), np.array(links, "<i8").tobytes(), len(groups)
+                    return len(a), len(b), ";".join(groups), array.array("q", links).tobytes(), len(groups)
                 end_a, end_b = end_a + len(bytes_a[a[i]]), end_b + len(bytes_b[b[j]])
             elif end_a < end_b:
                 i += 1
@@ -70,18 +90,28 @@ class Aligner:
                 j += 1
                 end_b += len(bytes_b[b[j]])
 
+    def ids_a(self, unit: str, whole: bytes) -> list[int]:
+        if _WORD.fullmatch(unit):  # one pre-token, straight to the tokenizer's model
+            return [t.id for t in self.model(whole.decode("latin-1").translate(self.alphabet))]
+        return self.a.encode(unit, add_special_tokens=False).ids
+
     def values(self, units: list[str]) -> dict:
-        """The value of each of the different ``units``, which are written without their space."""
-        kept = self.kept
-        new = [u for u in units if u not in kept]
-        ids_a = self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False) if new else []
-        # The space of an empty unit, at the end of a text, is a piece of its own.
-        ids_b = [x or [self.b.piece_to_id("▁")] for x in self.b.encode(new, num_threads=1)] if new else []
-        found = {u: self.unit(u, a.ids, b) for u, a, b in zip(new, ids_a, ids_b, strict=True)}
-        out = {u: found[u] if u in found else kept[u] for u in units}
-        if len(kept) + len(found) > CACHE_UNITS:
-            kept.clear()
-        kept.update((u, v) for u, v in found.items() if len(u) <= CACHE_LENGTH)
+        """The value of each of the different ``units``."""
+        out, new = {}, []
+        for u in units:
+            if u in self.kept:
+                out[u] = self.kept[u]
+            elif u in self.older:
+                out[u] = self.kept[u] = self.older[u]
+            else:
+                new.append(u)
+        for u, b in zip(new, self.b.encode(new, num_threads=1) if new else (), strict=True):
+            whole = u.encode()
+            out[u] = self.unit(whole, self.ids_a(u, whole), b)
+            if len(u) <= CACHE_LENGTH:
+                self.kept[u] = out[u]
+        if len(self.kept) > CACHE_UNITS:  # what is met again moves on, the rest goes with the next change
+            self.kept, self.older = {}, self.kept
         return out
 
 
@@ -109,7 +139,7 @@ def align_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(begin, TEXTS)
-                cut = [_CUT.split(t) for t in part.column(2).to_pylist()]
+                cut = [own.cut(" " + t) for t in part.column(2).to_pylist()]
                 value = own.values(list(dict.fromkeys(u for units in cut for u in units)))
                 rows: list[tuple] = []
                 for r, units in enumerate(cut):
