@@ -49,7 +49,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     lows, highs = [max(p - margin, 0.0) for p in rising], [min(p + margin, 1.0) for p in rising]
     summary = F.percentile_approx("_v", F.array(*map(F.lit, [*lows, *highs])), accuracy)
     groups = data.groupBy(*names).agg(F.count("_v").alias("n"), summary.alias("_c"), *extra)
-    few, inf = F.col("n") <= whole_rows, F.lit(float("inf"))
+    # Where a group has fewer rows than the summary tells apart, a bracket would be narrower than a rank.
+    few, inf = F.col("n") <= max(whole_rows, 10 * accuracy), F.lit(float("inf"))
     low = F.array(*[-inf if p == 0 else F.col("_c")[i] for i, p in enumerate(lows)])
     high = F.array(*[inf if p == 1 else F.col("_c")[len(rising) + i] for i, p in enumerate(highs)])
     at = F.array(*[F.lit(p) * (F.col("n") - 1) for p in probs])

@@ -1,4 +1,11 @@
-"""Local outlier factor against a bounded set of training rows."""
+"""Exact nearest neighbours in a metric space, and the local outlier factor on tables of any size.
+
+Different points (with their number of copies) are dealt to the nearest of a bounded number of pivots and, by their
+distance to it, to rings of bounded size. A query first visits the nearest rings; its k-th distance so far and the
+triangle inequality then tell which other rings can hold nearer points, and it visits only those. Queries of a busy
+ring are dealt over several tasks. Points, k-distances and densities stay tables; pivots and the rings' bounds, whose
+number is limited, are all that is broadcast.
+"""
 
 from __future__ import annotations
 
@@ -7,31 +14,36 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowlens.functions.quantiles import exact_quantile
 from flowlens.operators.forest import feature_value
+from flowlens.sources.storage import materialize
+
+#: Points of a ring and queries that meet one in a task; limits of pivots and rings; cuts of a pivot's distances.
+RING, VISITS, PIVOTS, RINGS, CUTS = 2_048, 8_192, 1_024, 100_000, 32
+#: Numbers of a block of distances, and what distances by matrix products may be off, by the points' size.
+CELLS, SLACK = 4_000_000, 1e-6
+
+POINTS = "id long, x array<double>, copies long, ring long, reach double, density double"
 
-MAX_TRAIN = 100_000
-CELLS = 4_000_000
 
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances as matrix products give them."""
+    return np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T, 0.0)
 
-def nearest(queries: np.ndarray, train: np.ndarray, k: int, skip: np.ndarray | None = None):
+
+def nearest(queries: np.ndarray, train: np.ndarray, k: int):
     """Distances and positions of the k nearest training rows, block by block.
 
     Matrix products find the neighbours; their distances are then taken directly, as the
-    product form loses digits. ``skip`` holds each query's own position, if it has one.
+    product form loses digits.
     """
-    norms = (train * train).sum(axis=1)
     step = max(1, CELLS // max(len(train), 1))
     distances, places = np.empty((len(queries), k)), np.empty((len(queries), k), np.int64)
     for begin in range(0, len(queries), step):
         q = queries[begin:begin + step]
-        d = norms[None, :] - 2 * q @ train.T
-        if skip is not None:
-            d[np.arange(len(q)), skip[begin:begin + step]] = np.inf
-        found = np.argpartition(d, k - 1, axis=1)[:, :k]
+        found = np.argpartition(_products(q, train), k - 1, axis=1)[:, :k]
         exact = np.sqrt(((train[found] - q[:, None, :]) ** 2).sum(axis=2))
         order = np.argsort(exact, axis=1, kind="stable")
         distances[begin:begin + step] = np.take_along_axis(exact, order, axis=1)
@@ -39,38 +51,160 @@ def nearest(queries: np.ndarray, train: np.ndarray, k: int, skip: np.ndarray | N
     return distances, places
 
 
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(float)
+
+
+@dataclass
+class Space:
+    """Points in rings: ``points`` (id, x, copies, ring), the pivots, and per ring its pivot, bounds and size."""
+
+    points: DataFrame
+    pivots: np.ndarray
+    rings: pd.DataFrame  # ring, low, high, n; the pivot is in the high bits of ring
+
+    def reach(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per query and ring: the least distance a point of it can have, that to its pivot, and the slack of both."""
+        to = np.sqrt(_products(x, self.pivots))[:, self.rings["ring"].to_numpy() >> 40]
+        least = np.maximum(np.maximum(self.rings["low"].to_numpy() - to, to - self.rings["high"].to_numpy()), 0.0)
+        return least, to, SLACK * (1 + np.sqrt((x * x).sum(axis=1)) + np.sqrt((self.pivots ** 2).sum(axis=1)).max())
+
+    def home(self, x: np.ndarray, k: int) -> list[np.ndarray]:
+        """Of each query the places of the nearest rings that together hold k points."""
+        least, to, _ = self.reach(x)
+        order = np.argsort(least + 1e-6 * to, axis=1, kind="stable")
+        held = np.cumsum(self.rings["n"].to_numpy()[order], axis=1)
+        return [o[:1 + int((h < k).sum())] for o, h in zip(order, held, strict=True)]
+
+    def other(self, x: np.ndarray, bound: np.ndarray, k: int) -> list[np.ndarray]:
+        """Of each query the places of the further rings that may hold a point within its bound."""
+        least, _, slack = self.reach(x)
+        return [np.setdiff1d(np.flatnonzero(l <= b + s), h, assume_unique=True)
+                for l, b, s, h in zip(least, bound, slack, self.home(x, k), strict=True)]
+
+
+def build_space(points: DataFrame, n: int) -> Space:
+    """Deal ``n`` points (id, x, copies) over rings. Only pivots and rings, both limited in number, are collected."""
+    spark = points.sparkSession
+    drawn = points.orderBy(F.xxhash64("id", F.lit(42)), "id").limit(min(PIVOTS, max(1, n // RING))).select("x").toPandas()
+    pivots = _matrix(drawn["x"])
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def deal(batches):
+        for pdf in batches:
+            x, parts = _matrix(pdf["x"]), []
+            step = max(1, CELLS // len(shared.value))
+            for i in range(0, len(x), step):
+                d = _products(x[i:i + step], shared.value)
+                at = d.argmin(axis=1)
+                parts.append(pd.DataFrame({"pivot": at, "d": np.sqrt(d[np.arange(len(at)), at])}))
+            yield pd.concat([pdf.reset_index(drop=True), pd.concat(parts, ignore_index=True)], axis=1)
+
+    dealt = materialize(points.mapInPandas(deal, "id long, x array<double>, copies long, pivot long, d double"), "dealt")
+    size = max(RING, n // RINGS)
+    cuts = dealt.groupBy("pivot").agg(F.ceil(F.count("*") / size).alias("parts"),
+                                      F.percentile_approx("d", [i / CUTS for i in range(1, CUTS)], 1000).alias("cuts"))
+    band = F.floor(F.size(F.filter("cuts", lambda c: c < F.col("d"))) * F.least("parts", F.lit(CUTS)) / CUTS)
+    salt = F.pmod(F.xxhash64("id"), F.ceil(F.col("parts") / CUTS))
+    ring = (F.shiftleft("pivot", 40) + F.shiftleft(band.cast("long"), 32) + salt).alias("ring")
+    placed = materialize(dealt.join(F.broadcast(cuts), "pivot").select("id", "x", "copies", "d", ring), "points")
+    rings = placed.groupBy("ring").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n"))
+    return Space(placed.drop("d"), pivots, rings.orderBy("ring").toPandas())
+
+
+def _meet(visits: DataFrame, space: Space, k: int) -> DataFrame:
+    """qid, id, copies and dist of the k nearest points of each ring a query visits (qid, x, ring, bound)."""
+    chunks = visits.groupBy("ring").agg(F.ceil(F.count("*") / VISITS).alias("chunks"))  # a row for each ring at most
+    queries = (visits.join(F.broadcast(chunks), "ring")
+               .select("ring", F.pmod(F.xxhash64("qid"), F.col("chunks")).alias("chunk"), "qid", "x", "bound"))
+    points = (space.points.join(F.broadcast(chunks), "ring")
+              .select("ring", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "id", "x", "copies"))
+
+    def search(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(p):
+            return pd.DataFrame({"qid": [], "id": [], "copies": [], "dist": []})
+        d, at = nearest(_matrix(q["x"]), _matrix(p["x"]), min(k, len(p)))
+        near = d <= q["bound"].to_numpy()[:, None]
+        at = at[near]
+        return pd.DataFrame({"qid": np.repeat(q["qid"].to_numpy(), near.sum(axis=1)), "id": p["id"].to_numpy()[at],
+                             "copies": p["copies"].to_numpy()[at], "dist": d[near]})
+
+    keys = ["ring", "chunk"]
+    return queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(search, "qid long, id long, copies long, dist double")
+
+
+def nearest_points(queries: DataFrame, space: Space, k: int) -> DataFrame:
+    """qid, id, copies and dist of the ``k`` nearest points of each query (qid, x); ties go to the smaller id."""
+    shared = queries.sparkSession.sparkContext.broadcast((space.pivots, space.rings))
+
+    def visits(ring_of):
+        """A function over batches that gives a row for each ring a query visits."""
+        def send(batches):
+            own = Space(None, *shared.value)
+            names, step = own.rings["ring"].to_numpy(), max(1, CELLS // len(own.rings))
+            for pdf in batches:
+                for i in range(0, len(pdf), step):
+                    part = pdf.iloc[i:i + step]
+                    places = ring_of(own, _matrix(part["x"]), part["bound"].to_numpy())
+                    rows = np.repeat(np.arange(len(part)), [len(p) for p in places])
+                    if len(rows):
+                        yield part.iloc[rows].assign(ring=names[np.concatenate(places)])
+        return send
+
+    kind = "qid long, x array<double>, bound double, ring long"
+    order = Window.partitionBy("qid").orderBy("dist", "id")
+    at_home = queries.select("qid", "x", F.lit(float("inf")).alias("bound")).mapInPandas(
+        visits(lambda s, x, b: s.home(x, k)), kind)
+    found = materialize(_meet(materialize(at_home, "visits"), space, k).withColumn("place", F.row_number().over(order))
+                        .where(F.col("place") <= k).drop("place"), "found")
+    bound = found.groupBy("qid").agg(F.when(F.count("*") >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("bound"))
+    further = queries.join(bound, "qid").select("qid", "x", "bound").mapInPandas(
+        visits(lambda s, x, b: s.other(x, b, k)), kind)
+    more = _meet(materialize(further, "visits"), space, k)
+    return (found.unionByName(more).withColumn("place", F.row_number().over(order))
+            .where(F.col("place") <= k).drop("place"))
+
+
+def weighted(pairs: DataFrame, k: int, copies: Column) -> DataFrame:
+    """``pairs`` with ``w``: how many of the query's k neighbours the point's copies are; points that give none go."""
+    before = Window.partitionBy("qid").orderBy("dist", "id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = pairs.withColumn("c", copies)
+    left = F.lit(k) - F.coalesce(F.sum("c").over(before), F.lit(0))
+    return rows.withColumn("w", F.least("c", left)).where("w > 0").drop("c", "copies")
+
+
+def _density(k: int) -> Column:
+    return 1 / (F.sum(F.col("w") * F.greatest("dist", "reach")) / k + 1e-10)
+
+
 @dataclass
 class LofModel:
+    """Points with their k-distance (reach) and local density, as a table that neighbours are searched in."""
+
     columns: list[str] | str
     k: int
-    train: np.ndarray
-    reach: np.ndarray  # distance to the k-th neighbour of each training row
-    density: np.ndarray  # local reachability density of each training row
+    space: Space
     offset: float = -1.5  # scores below it are outliers
 
     def transform(self, df: DataFrame, out: str = "raw_score") -> DataFrame:
-        """Add the negated factor; lower is more anomalous.
+        """Add the negated factor; lower is more anomalous. A row without a vector has no score.
 
-        Every row is scored against the stored rows, so a training row counts as its own
-        neighbour. The model is at most MAX_TRAIN rows and is shipped once per executor.
+        Every row is scored against the stored points, so a training row counts as its own neighbour. Rows of equal
+        features are searched once.
         """
-        k = self.k
-        shared = df.sparkSession.sparkContext.broadcast((self.train, self.reach, self.density))
-
-        @F.pandas_udf("double")
-        def score(x: pd.Series) -> pd.Series:
-            train, reach, density = shared.value
-            if not len(x):
-                return pd.Series([], dtype=float)
-            d, at = nearest(np.stack(x.to_numpy()).astype(float), train, k)
-            own = 1.0 / (np.maximum(d, reach[at]).mean(axis=1) + 1e-10)
-            return pd.Series(-(density[at].mean(axis=1) / own))
-
-        return df.withColumn(out, score(vector(self.columns)))
+        x = vector(self.columns)
+        queries = materialize(df.select(x.alias("x")).where("x is not null").distinct()
+                              .withColumn("qid", F.monotonically_increasing_id()), "queries")
+        pairs = weighted(nearest_points(queries, self.space, self.k), self.k, F.col("copies"))
+        known = self.space.points.select("id", "reach", "density")
+        scores = (pairs.join(known, "id").groupBy("qid")
+                  .agg((-(F.sum(F.col("w") * F.col("density")) / self.k) / _density(self.k)).alias("_score")))
+        by_x = queries.join(scores, "qid").select(F.col("x").alias("_x"), "_score")
+        return df.join(by_x, x == F.col("_x"), "left").withColumn(out, F.col("_score")).drop("_x", "_score")
 
     def fit_offset(self, train: DataFrame, contamination: float) -> "LofModel":
         """Learn the score below which the contamination share of rows lies."""
-        self.offset = exact_quantile(self.transform(train), "raw_score", contamination)
+        self.offset = exact_quantile(materialize(self.transform(train).select("raw_score"), "scores"), "raw_score", contamination)
         return self
 
     def predict_labels(self, df: DataFrame, raw: str = "raw_score", out: str = "label") -> DataFrame:
@@ -80,16 +214,20 @@ class LofModel:
 
     def save(self, path: str, spark: SparkSession | None = None) -> None:
         spark = spark or SparkSession.active()
-        rows = pd.DataFrame({"id": np.arange(len(self.train)), "x": self.train.tolist(), "reach": self.reach, "density": self.density})
-        spark.createDataFrame(rows, "id long, x array<double>, reach double, density double").write.mode("overwrite").parquet(f"{path}/rows")
+        self.space.points.write.mode("overwrite").parquet(f"{path}/rows")
+        spark.createDataFrame(self.space.rings, "ring long, low double, high double, n long").write.mode("overwrite").parquet(f"{path}/rings")
+        spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(self.space.pivots)], "i long, x array<double>").write.mode(
+            "overwrite").parquet(f"{path}/pivots")
         spark.createDataFrame([(json.dumps([self.columns, self.k, self.offset]),)], "meta string").coalesce(1).write.mode(
             "overwrite").json(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "LofModel":
         columns, k, offset = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
-        rows = spark.read.parquet(f"{path}/rows").toPandas().sort_values("id")  # MAX_TRAIN rows at most
-        return cls(columns, k, np.stack(rows["x"].to_numpy()), rows["reach"].to_numpy(), rows["density"].to_numpy(), offset)
+        pivots = spark.read.parquet(f"{path}/pivots").orderBy("i").toPandas()  # PIVOTS rows at most
+        rings = spark.read.parquet(f"{path}/rings").orderBy("ring").toPandas()  # about RINGS rows at most
+        space = Space(spark.read.schema(POINTS).parquet(f"{path}/rows"), _matrix(pivots["x"]), rings)
+        return cls(columns, k, space, offset)
 
 
 def vector(columns):
@@ -99,43 +237,27 @@ def vector(columns):
     return F.array(*[feature_value(c) for c in columns])
 
 
-def fit_lof(train: DataFrame, columns, k: int = 20, key: str = "flow_id") -> LofModel:
-    """Fit on a training table of bounded size (sample it first if it is larger).
+def fit_lof(train: DataFrame, columns, k: int = 20) -> LofModel:
+    """Fit on every row of a table of any size; its order does not matter, and rows without a vector are left out.
 
-    Neighbours are searched in parallel tasks against a broadcast of the training rows;
-    distances, reachability and density follow as joins and aggregates over row-neighbour
-    pairs, k per row.
+    Equal rows are one point with copies: they are each other's neighbours at distance 0, as many as they are, and
+    have one k-distance and density, so a vector that fills a third of the table is searched once.
     """
-    # Collected once: the training rows are the model, and their number is checked.
-    rows = train.select(F.col(key).alias("key"), vector(columns).alias("x")).limit(MAX_TRAIN + 1).toPandas()
-    if len(rows) > MAX_TRAIN:
-        raise ValueError(f"more than {MAX_TRAIN} training rows; take a stratified sample first")
-    if len(rows) < 2:
+    points = materialize(train.select(vector(columns).alias("x")).where("x is not null").groupBy("x").agg(F.count("*").alias("copies"))
+                         .select(F.monotonically_increasing_id().alias("id"), "x", "copies"), "points")
+    sizes = points.agg(F.count("*").alias("points"), F.sum("copies").alias("rows")).first()
+    if (sizes["rows"] or 0) < 2:
         raise ValueError("at least two training rows are needed")
-    rows = rows.sort_values("key", ignore_index=True)
-    matrix = np.stack(rows["x"].to_numpy()).astype(float)
-    k = min(k, len(rows) - 1)
-    spark = train.sparkSession
-    shared = spark.sparkContext.broadcast(matrix)
-
-    def search(batches):
-        for pdf in batches:
-            ids = pdf["id"].to_numpy()
-            d, at = nearest(shared.value[ids], shared.value, k, ids)
-            yield pd.DataFrame({"id": np.repeat(ids, k), "rank": np.tile(np.arange(k), len(ids)),
-                                "other": at.ravel(), "dist": d.ravel()})
-
-    parts = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 64))
-    pairs = spark.range(0, len(rows), 1, parts).mapInPandas(search, "id long, rank int, other long, dist double")
-    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)  # k rows per training row, read twice
-    try:
-        reach = pairs.where(F.col("rank") == k - 1).select(F.col("id").alias("other"), F.col("dist").alias("reach"))
-        found = pairs.join(reach, "other").groupBy("id").agg(
-            F.max(F.when(F.col("rank") == k - 1, F.col("dist"))).alias("reach"),
-            (1 / (F.avg(F.greatest("dist", "reach")) + 1e-10)).alias("density")).toPandas().sort_values("id")
-    finally:
-        pairs.unpersist()
-    return LofModel(columns, k, matrix, found["reach"].to_numpy(), found["density"].to_numpy())
+    k = min(k, sizes["rows"] - 1)
+    space = build_space(points, sizes["points"])
+    found = nearest_points(points.select(F.col("id").alias("qid"), "x"), space, k + 1)
+    own = F.when(F.col("id") == F.col("qid"), F.col("copies") - 1).otherwise(F.col("copies"))
+    pairs = materialize(weighted(found, k, own), "pairs")
+    reach = pairs.groupBy(F.col("qid").alias("id")).agg(F.max("dist").alias("reach"))
+    fitted = pairs.join(reach, "id").groupBy("qid").agg(_density(k).alias("density")).withColumnRenamed("qid", "id")
+    known = space.points.join(reach, "id").join(fitted, "id").select(*[c.split()[0] for c in POINTS.split(", ")])
+    space.points = materialize(known, "model")
+    return LofModel(columns, k, space)
 
 
 def neighbor_count(rows: int) -> int:

@@ -18,6 +18,8 @@ MAX_RULES = 2_000
 MIN_VALUES, MIN_FN_VALUES, MAX_CONDITIONS = 10, 5, 5
 PROBS = [0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95]
 FN_LIMIT = 0.10
+#: Rules (a few hundred bytes each) that are a constant of the plan, and those that are sent to every task.
+LITERAL_RULES, BROADCAST_RULES = 200, 50_000
 
 
 def outcome(df: DataFrame, y: str = "label_binary", p: str = "y_pred") -> DataFrame:
@@ -271,18 +273,31 @@ RULE_KEYS = {
 FLOW_COLUMNS = {"proto": "Proto", "port": "Dport", "ip": "DstAddr"}
 
 
+def text_key(values) -> Column:
+    """One string for the values of a key; NULL if one is."""
+    return F.concat(*[x for v in values for x in (v.cast("string"), F.lit("\x01"))])
+
+
+def rule_map(grouped: DataFrame, keys, lists: str) -> Column:
+    """A constant map from the text of a key to its rules, for at most ``LITERAL_RULES`` rules."""
+    pairs = grouped.select(text_key([F.col(k) for k in keys]).alias("key"), lists).where("key is not null")
+    table = pairs.agg(F.map_from_entries(F.collect_list(F.struct("key", lists))).alias("m"))
+    return F.from_json(F.lit(table.select(F.to_json("m")).first()[0]), table.schema["m"].dataType)
+
+
 def with_hits(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``_hits``: the rules (id, type, own score threshold) that cover a flow.
 
     Rules of one key are gathered into one row, so a flow stays one row in every join, and the number of rules
-    is open. Conditions are checked against a map of the flow's features.
+    is open. Few rules are a constant map in the flows' own projection; up to ``BROADCAST_RULES`` their table is sent to
+    the flows; beyond, a join by key meets them, whose hot keys adaptive execution splits on the flows' side. Conditions are checked against a map of the flow's features.
     """
     have = set(rules.columns)
     field = lambda n, t: (F.col(n) if n in have else F.lit(None)).cast(t).alias(n)
     table = rules.select(*[field(n, t) for n, t in rule_fields()])
-    # Seven kinds and the features of the flow at most.
-    used = table.agg(F.collect_set("type").alias("kinds"), F.array_distinct(F.flatten(F.collect_set(
+    used = table.agg(F.count("*").alias("n"), F.collect_set("type").alias("kinds"), F.array_distinct(F.flatten(F.collect_set(
         F.transform("conditions", lambda c: c["feature"])))).alias("features")).first()
+    # Seven kinds and the features of the flow at most.
     kinds, features = set(used["kinds"]) & set(RULE_KEYS), sorted(used["features"] or [])
     lists, out = [], df
     for keys in sorted({RULE_KEYS[k] for k in kinds}):
@@ -292,12 +307,16 @@ def with_hits(df: DataFrame, rules: DataFrame) -> DataFrame:
         name = "_r_" + "_".join(keys)
         grouped = table.where(F.col("type").isin(mine)).groupBy(*[F.col(k).alias(f"{name}_{k}") for k in keys]).agg(
             F.collect_list(F.struct("rule_id", "type", "port_min", "port_max", "conditions", "anomaly_score_threshold")).alias(name))
-        same = F.lit(True)
-        for k in keys:
-            flow = F.lower("Proto") if k == "proto" else F.col("Dport").cast("double") if k == "port" else F.col("DstAddr")
-            same = same & (flow == F.col(f"{name}_{k}"))
-        out = out.join(grouped, same, "left")
-        lists.append(F.coalesce(name, F.array().cast(grouped.schema[name].dataType)))
+        flow = [F.lower("Proto") if k == "proto" else F.col("Dport").cast("double") if k == "port" else F.col("DstAddr") for k in keys]
+        kind = grouped.schema[name].dataType
+        if used["n"] <= LITERAL_RULES:
+            found = F.try_element_at(rule_map(grouped, [f"{name}_{k}" for k in keys], name), text_key(flow))
+        else:
+            same = F.lit(True)
+            for k, x in zip(keys, flow, strict=True):
+                same = same & (x == F.col(f"{name}_{k}"))
+            out, found = out.join(F.broadcast(grouped) if used["n"] <= BROADCAST_RULES else grouped, same, "left"), F.col(name)
+        lists.append(F.coalesce(found, F.array().cast(kind)))
     if not lists:
         none = F.array().cast("array<struct<rule_id:bigint,type:string,anomaly_score_threshold:double>>")
         return df.withColumn("_hits", none)

@@ -26,7 +26,7 @@ def fit_detector(name: str, train: DataFrame, columns, key: str, contamination:
     if name == "isolation_forest":
         return fit_forest(train, columns, key, seed=seed)
     if name == "lof":
-        return fit_lof(train, columns, neighbor_count(rows), key)
+        return fit_lof(train, columns, neighbor_count(rows))
     if name == "one_class_svm":
         return fit_oneclass(train, columns, contamination, seed=seed)
     raise ValueError(f"unknown detector: {name!r}")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from flowlens.operators import boosted, forest, neighbors, oneclass, row_features as rf, rules as ru, transform as tr
-from flowlens.operators.sampling import sample_n
 from flowlens.plans.benchmark import benchmark_models, compare_models
 from flowlens.plans.features import add_pair_stage, build_features, extract_features, smoke_stage4
 from flowlens.plans.postprocess import feedback_labels, postprocess, remine
@@ -82,9 +81,8 @@ def ensemble_score(spark, sf_dir):
 
 LOF_SQL = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-t AS (SELECT vec_id, v FROM (SELECT *, row_number() OVER (ORDER BY md5(concat(CAST(vec_id AS VARCHAR), '|42'))) AS r FROM e) AS o WHERE r <= 50000),
-d AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.v, b.v) AS d FROM e AS a CROSS JOIN t AS b),
-o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d) AS r FROM d WHERE i <> j AND i IN (SELECT vec_id FROM t)),
+d AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.v, b.v) AS d FROM e AS a CROSS JOIN e AS b),
+o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d) AS r FROM d WHERE i <> j),
 kd AS (SELECT i, MAX(d) AS k FROM o WHERE r <= 10 GROUP BY i),
 lrd AS (SELECT o.i, 1 / (AVG(greatest(o.d, kd.k)) + 1e-10) AS l FROM o JOIN kd ON o.j = kd.i WHERE o.r <= 10 GROUP BY o.i),
 q AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d) AS r FROM d)
@@ -94,9 +92,8 @@ FROM q JOIN kd ON q.j = kd.i JOIN lrd ON q.j = lrd.i WHERE q.r <= 10 GROUP BY q.
 
 @query("local_outlier_factor", LOF_SQL)
 def local_outlier_factor(spark, sf_dir):
-    """Fitted on the sample detectors are compared on (50,000 rows), scoring every row."""
     e = table(spark, sf_dir, "embeddings")
-    model = neighbors.fit_lof(sample_n(e, "vec_id", 50_000), "embedding", 10, "vec_id")
+    model = neighbors.fit_lof(e, "embedding", 10)
     return rounded(model.transform(e).select("vec_id", "raw_score"), ["raw_score"])
 
 
@@ -198,10 +195,12 @@ def feedback_rules(spark, sf_dir):
     return effect_stats(applied)
 
 
-@query("outlier_factor_labels")
+@query("outlier_factor_labels", f"""WITH s AS ({LOF_SQL.replace('ROUND(-AVG', '(-AVG').replace(', 6) AS raw_score', ') AS raw_score')}),
+c AS (SELECT quantile_cont(raw_score, 0.1) AS o FROM s)
+SELECT CASE WHEN raw_score < o THEN -1 ELSE 1 END AS label, COUNT(*) AS n FROM s, c GROUP BY 1""")
 def outlier_factor_labels(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    model = neighbors.fit_lof(e, "embedding", 10, "vec_id").fit_offset(e, 0.1)
+    model = neighbors.fit_lof(e, "embedding", 10).fit_offset(e, 0.1)
     return model.predict_labels(e).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 

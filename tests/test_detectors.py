@@ -103,20 +103,48 @@ def test_lof_equals_brute_force(cloud):
     assert ranked(model.transform(cloud)) == set(range(10))
 
 
-def test_lof_small_and_too_large(spark, cloud, monkeypatch):
-    few = cloud.limit(3)
-    assert neighbors.fit_lof(few, COLUMNS, 20).k == 2
-    monkeypatch.setattr(neighbors, "MAX_TRAIN", 100)
+def test_lof_of_few_rows(cloud):
+    assert neighbors.fit_lof(cloud.limit(3), COLUMNS, 20).k == 2
     with pytest.raises(ValueError):
-        neighbors.fit_lof(cloud, COLUMNS)
+        neighbors.fit_lof(cloud.limit(1), COLUMNS)
+
+
+def test_lof_over_many_rings(spark, cloud, monkeypatch):
+    """Small rings and tasks change nothing, and queries leave most rings out."""
+    for name, value in {"RING": 20, "VISITS": 50, "PIVOTS": 12, "CUTS": 4}.items():
+        monkeypatch.setattr(neighbors, name, value)
+    train = cloud.where("flow_id >= 400")
+    model = neighbors.fit_lof(train, COLUMNS, 15)
+    rings = model.space.rings
+    assert len(rings) >= 12 and rings["n"].sum() == train.select(*COLUMNS).distinct().count()
+    scored = model.transform(cloud).orderBy("flow_id").toPandas()
+    x = scored[COLUMNS].to_numpy()
+    want = brute_lof(scored[scored.flow_id >= 400][COLUMNS].to_numpy(), x, 15)
+    assert np.allclose(scored.raw_score, want)
+    bound = np.sort(np.sqrt(((x[:, None] - x[None, scored.flow_id >= 400]) ** 2).sum(axis=2)), axis=1)[:, 15]
+    visited = sum(map(len, model.space.home(x, 15))) + sum(map(len, model.space.other(x, bound, 15)))
+    assert visited < 0.6 * len(x) * len(rings)
+
+
+def test_lof_is_stored_whole(spark, cloud, tmp_path):
+    model = neighbors.fit_lof(cloud, COLUMNS, 5).fit_offset(cloud, 0.1)
+    model.save(str(tmp_path / "lof"))
+    loaded = neighbors.LofModel.load(spark, str(tmp_path / "lof"))
+    assert (loaded.k, loaded.offset, loaded.columns) == (model.k, model.offset, model.columns)
+    first, second = ({r["flow_id"]: r["raw_score"] for r in m.transform(cloud).collect()} for m in (model, loaded))
+    assert first == pytest.approx(second)
 
 
 def test_lof_with_copies(spark):
     """A third of the training rows equal: scores stay finite and the far row is the outlier."""
     df = spark.range(300).select(F.col("id").alias("flow_id"), F.when(F.col("id") < 100, 0.0).otherwise(F.rand(1)).alias("a"),
                                  F.when(F.col("id") == 299, 50.0).otherwise(0.0).alias("b"))
-    scored = neighbors.fit_lof(df, ["a", "b"], 10).transform(df)
-    assert scored.where("isnan(raw_score) or raw_score is null").count() == 0
+    rows = df.toPandas()[["a", "b"]].to_numpy()
+    model = neighbors.fit_lof(spark.createDataFrame(rows.tolist(), "a double, b double"), ["a", "b"], 10)
+    assert model.space.points.count() == len(np.unique(rows, axis=0))
+    scored = model.transform(spark.createDataFrame(rows.tolist(), "a double, b double")).toPandas()
+    want = {tuple(x): s for x, s in zip(rows, brute_lof(rows, rows, 10))}
+    assert np.allclose(scored.raw_score, [want[a, b] for a, b in zip(scored.a, scored.b)])
 
 
 def test_one_class(cloud):
