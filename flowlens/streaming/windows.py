@@ -17,6 +17,15 @@ def timed(df: DataFrame, late: str, time: str = "StartTime") -> DataFrame:
     return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
 
 
+#: A flow of this time or later only says that a bounded replay has ended; its windows never leave.
+END = "9000-01-01 00:00:00"
+
+
+def kept(df: DataFrame, key: str, time: str = "StartTime") -> DataFrame:
+    """Flows with a key, and what tells the end; tested after the watermark, which the end has to reach."""
+    return df.where(F.col(key).isNotNull() | (F.col(time) >= F.lit(END).cast("timestamp")))
+
+
 def spelled(size: str) -> str:
     return f"{size_micros(size)} microseconds"
 
@@ -26,7 +35,7 @@ def stream_src_windows(df: DataFrame, size: str = "1min", late: str = "10 minute
 
     Distinct counts are sketches here: exact ones would keep every value as state.
     """
-    flows = timed(df.where(F.col("SrcAddr").isNotNull() & F.col("StartTime").isNotNull()), late)
+    flows = kept(timed(df, late), "SrcAddr")
     return (flows.groupBy(F.window("StartTime", spelled(size)).alias("w"), "SrcAddr").agg(
         F.count(F.lit(1)).alias("flows_per_minute_by_src"),
         F.approx_count_distinct("DstAddr", rsd).alias("unique_dst_per_minute_by_src"),
@@ -40,8 +49,8 @@ def stream_src_windows(df: DataFrame, size: str = "1min", late: str = "10 minute
 def stream_pair_windows(df: DataFrame, size: str = "1min", late: str = "10 minutes") -> DataFrame:
     """Two-way aggregates per undirected address pair and window."""
     a, b = pair_key()
-    keyed = df.withColumns({"addr_a": a, "addr_b": b}).where(F.col("addr_a").isNotNull() & F.col("StartTime").isNotNull())
-    sums = timed(keyed, late).groupBy(F.window("StartTime", spelled(size)).alias("w"), "addr_a", "addr_b").agg(
+    keyed = kept(timed(df.withColumns({"addr_a": a, "addr_b": b}), late), "addr_a")
+    sums = keyed.groupBy(F.window("StartTime", spelled(size)).alias("w"), "addr_a", "addr_b").agg(
         F.count(F.lit(1)).alias("bidirectional_flow_count"),
         F.coalesce(F.sum("TotBytes"), F.lit(0)).alias("bidirectional_total_bytes"),
         F.coalesce(F.sum("SrcBytes"), F.lit(0)).alias("bidirectional_total_src_bytes"),

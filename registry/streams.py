@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import forest, row_features as rf, rules as ru, transform as tr, windows
 from flowlens.streaming.arrivals import stream_intervals
-from flowlens.streaming.scoring import read_stream, run_available, score_stream
+from flowlens.streaming.scoring import read_stream, replay, run_available, score_stream
 from flowlens.streaming.windows import stream_pair_windows, stream_src_windows
 from registry.base import FLOWS_SQL, query, scored_flows, flows, table
 from registry.features import rounded
@@ -18,24 +18,27 @@ def flow_stream(spark, sf_dir):
     return spark.sql(FLOWS_SQL, events=events)
 
 
-CLOSED = "date_trunc('day', StartTime) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)"
+def replayed(spark, sf_dir, build):
+    """``build`` over the event table as a stream of flows, to the last open window."""
+    return replay(spark, f"{sf_dir}/events*.parquet", table(spark, sf_dir, "events").schema,
+                  lambda events: build(spark.sql(FLOWS_SQL, events=events)), "ts")
 
 
-@query("stream_src_windows", f"""SELECT date_trunc('day', StartTime) AS day, SrcAddr, COUNT(*) AS flows_per_minute_by_src,
+@query("stream_src_windows", """SELECT date_trunc('day', StartTime) AS day, SrcAddr, COUNT(*) AS flows_per_minute_by_src,
   COUNT(DISTINCT DstAddr) AS unique_dst_per_minute_by_src, CAST(SUM(TotBytes) AS BIGINT) AS total_bytes_per_minute_by_src
-FROM {{flows}} AS f WHERE {CLOSED} GROUP BY 1, 2""")
+FROM {flows} AS f GROUP BY 1, 2""")
 def src_windows(spark, sf_dir):
-    out = run_available(stream_src_windows(flow_stream(spark, sf_dir), "1 day"))
+    out = replayed(spark, sf_dir, lambda f: stream_src_windows(f, "1 day"))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("day"), "SrcAddr", "flows_per_minute_by_src",
                       "unique_dst_per_minute_by_src", "total_bytes_per_minute_by_src")
 
 
-@query("stream_pair_windows", f"""SELECT day, addr_a, addr_b, n AS bidirectional_flow_count,
+@query("stream_pair_windows", """SELECT day, addr_a, addr_b, n AS bidirectional_flow_count,
   ROUND(COALESCE(least(s, d) / CAST(NULLIF(greatest(s, d), 0) AS DOUBLE), 0), 6) AS bidirectional_symmetry FROM (
   SELECT date_trunc('day', StartTime) AS day, least(SrcAddr, DstAddr) AS addr_a, greatest(SrcAddr, DstAddr) AS addr_b, COUNT(*) AS n,
-    SUM(SrcBytes) AS s, SUM(TotBytes - SrcBytes) AS d FROM {{flows}} AS f WHERE {CLOSED} GROUP BY 1, 2, 3) AS t""")
+    SUM(SrcBytes) AS s, SUM(TotBytes - SrcBytes) AS d FROM {flows} AS f GROUP BY 1, 2, 3) AS t""")
 def pair_windows(spark, sf_dir):
-    out = run_available(stream_pair_windows(rf.row_features(flow_stream(spark, sf_dir)), "1 day"))
+    out = replayed(spark, sf_dir, lambda f: stream_pair_windows(rf.row_features(f), "1 day"))
     return rounded(out.select(F.col("window_start").cast("timestamp_ntz").alias("day"), "addr_a", "addr_b",
                               "bidirectional_flow_count", "bidirectional_symmetry"), ["bidirectional_symmetry"])
 
@@ -43,7 +46,7 @@ def pair_windows(spark, sf_dir):
 @query("stream_intervals", """SELECT flow_id, ROUND(COALESCE(epoch_us(StartTime) - LAG(epoch_us(StartTime))
   OVER (PARTITION BY SrcAddr ORDER BY StartTime, flow_id), 0) / 1e6, 6) AS time_since_last_flow FROM {flows} AS f""")
 def intervals(spark, sf_dir):
-    out = run_available(stream_intervals(flow_stream(spark, sf_dir)))
+    out = replayed(spark, sf_dir, lambda f: stream_intervals(f, slice="1 day"))
     return rounded(out.select("flow_id", "time_since_last_flow"), ["time_since_last_flow"])
 
 

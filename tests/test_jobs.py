@@ -1,5 +1,8 @@
 """Rules, stores, jobs, streams and plan shapes."""
 
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +12,8 @@ from flowlens.plans.postprocess import postprocess
 from flowlens.plans.training import UnsupervisedConfig, train_unsupervised
 from flowlens.sources import flows as src, stores
 from flowlens.sources.storage import scratch_path, shared_folder
-from flowlens.streaming.scoring import read_stream, run_available, run_counted
+from flowlens.streaming.arrivals import stream_intervals
+from flowlens.streaming.scoring import read_stream, replay, run_available, run_counted
 from flowlens.streaming.windows import stream_src_windows
 from registry.base import flows, scored_flows
 
@@ -216,3 +220,32 @@ def test_replay_of_many_files_drops_nothing(spark):
     assert dropped == 0 and [r.flows_per_minute_by_src for r in out.collect()] == [208]
     _, dropped = run_counted(stream_src_windows(read_stream(spark, path, rows.schema, 100)))
     assert dropped > 0
+
+
+def test_intervals_over_shuffled_files(spark):
+    """Files in any order inside the allowed lateness, several triggers, a hot source: equal to the batch feature."""
+    path, rng = scratch_path(spark, "in"), random.Random(5)
+    flows = [(i, rng.choice(["hot", "hot", "a", "b", None]), datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(7200), microseconds=rng.randrange(10**6)))
+             for i in range(900)]
+    flows += [(900 + i, s, t) for i, (_, s, t) in enumerate(flows[:40])]  # equal times are ordered by id
+    flows += [(2000, "c", datetime(2024, 1, 3)), (2001, "c", datetime(2024, 1, 1, 0, 0, 1)), (2002, "a", None)]
+    schema = "flow_id long, SrcAddr string, StartTime timestamp_ntz"
+    order = sorted(flows, key=lambda f: (f[2] or datetime(2024, 1, 1)).timestamp() + rng.uniform(0, 1200))
+    for part in range(20):
+        mine = order[part * len(order) // 20:(part + 1) * len(order) // 20]
+        spark.createDataFrame(rng.sample(mine, len(mine)), schema).coalesce(1).write.mode("append").parquet(path)
+    got = replay(spark, path, spark.read.parquet(path).schema, lambda f: stream_intervals(f, "3 days", "1min"), files_per_trigger=3)
+    want = windows.interval_features(spark.createDataFrame([f for f in flows if f[1] and f[2]], schema))
+    a = {r["flow_id"]: round(r["time_since_last_flow"], 6) for r in got.collect()}
+    b = {r["flow_id"]: round(r["time_since_last_flow"], 6) for r in want.collect()}
+    assert a == b and len(a) == got.count()
+
+
+def test_silent_sources_are_forgotten(spark):
+    path, start = scratch_path(spark, "in"), datetime(2024, 1, 1)
+    schema = "flow_id long, SrcAddr string, StartTime timestamp_ntz"
+    for hours, name in ((0, "a"), (1, "a"), (6, "b"), (7, "a"), (8, "b")):
+        spark.createDataFrame([(hours, name, start + timedelta(hours=hours))], schema).coalesce(1).write.mode("append").parquet(path)
+    build = lambda f: stream_intervals(f, "1 minute", "1min", keep_minutes=120)
+    got = replay(spark, path, spark.read.parquet(path).schema, build, files_per_trigger=1)
+    assert {r["flow_id"]: r["time_since_last_flow"] for r in got.collect()} == {0: 0.0, 1: 3600.0, 6: 0.0, 7: 0.0, 8: 7200.0}
