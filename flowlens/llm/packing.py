@@ -34,7 +34,8 @@ K1, B = 1.2, 0.75
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
-ENCODED = "uid long, doc_id long, doc_tokens long, windows array<binary>, rest binary"
+#: terms and tf: the different ids of the remainder and their numbers, as 16-bit integers.
+ENCODED = "uid long, doc_id long, doc_tokens long, windows array<binary>, rest binary, terms binary, tf binary"
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, window: int) -> DataFrame:
@@ -43,7 +44,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, window: int) -> DataFrame:
         ids, end, row = tokens.byte_ids(tokenizer), np.array([END_ID], "<u2").tobytes(), 0
         base, size = TaskContext.get().partitionId() << 33, 2 * window
         for b in batches:
-            out: dict[str, list] = {"uid": [], "doc_tokens": [], "windows": [], "rest": []}
+            out: dict[str, list] = {"uid": [], "doc_tokens": [], "windows": [], "rest": [], "terms": [], "tf": []}
             for t in b.column(1).to_pylist():
                 data = ids(t) + end
                 full = len(data) // size * size
@@ -51,16 +52,19 @@ def encode_documents(docs: DataFrame, tokenizer: str, window: int) -> DataFrame:
                 out["doc_tokens"].append(len(data) // 2)
                 out["windows"].append([data[i:i + size] for i in range(0, full, size)])
                 out["rest"].append(data[full:])
+                terms, tf = np.unique(np.frombuffer(data[full:], "<u2"), return_counts=True)
+                out["terms"].append(terms.tobytes())
+                out["tf"].append(tf.astype("<u2").tobytes())
                 row += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["uid"], pa.int64()), b.column(0), pa.array(out["doc_tokens"], pa.int64()),
-                 pa.array(out["windows"], pa.list_(pa.binary())), pa.array(out["rest"], pa.binary())],
-                names=["uid", "doc_id", "doc_tokens", "windows", "rest"])
+                 pa.array(out["windows"], pa.list_(pa.binary())), *(pa.array(out[c], pa.binary()) for c in ("rest", "terms", "tf"))],
+                names=["uid", "doc_id", "doc_tokens", "windows", "rest", "terms", "tf"])
 
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(encode, ENCODED)
 
 
-def term_statistics(rests: DataFrame) -> tuple[np.ndarray, int, float]:
+def term_statistics(rests: DataFrame, window: int) -> tuple[np.ndarray, int, float]:
     """Remainders that hold each id, their number and mean length, over all remainders.
 
     Counted per partition, then summed by id: the result has one row for each id of the vocabulary at most.
@@ -68,19 +72,14 @@ def term_statistics(rests: DataFrame) -> tuple[np.ndarray, int, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, length = np.zeros(VOCABULARY, "i8"), 0, 0
         for b in batches:
-            rests = b.column(0).to_pylist()
-            for i in range(0, len(rests), 1 << 12):  # one sort tells the different ids of many remainders
-                part = rests[i:i + (1 << 12)]
-                sizes = np.array([len(r) // 2 for r in part])
-                keys = np.repeat(np.arange(len(part), dtype="u4") << 16, sizes) | np.frombuffer(b"".join(part), "<u2")
-                df += np.bincount(np.unique(keys) & (VOCABULARY - 1), minlength=VOCABULARY)
-                n, length = n + len(part), length + int(sizes.sum())
+            df += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2"), minlength=VOCABULARY)
+            n, length = n + b.num_rows, length + int((b.column(1).to_numpy() % window).sum())
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({
             "term": pa.array(np.concatenate([held, [-1, -2]]), pa.int64()),
             "n": pa.array(np.concatenate([df[held], [n, length]]), pa.int64())})
 
-    rows = rests.select("rest").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = rests.select("terms", "doc_tokens").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = {r["term"]: r["n"] for r in rows.collect()}
     n, length = found.pop(-1, 0), found.pop(-2, 0)
     df = np.zeros(VOCABULARY, "i8")
@@ -93,15 +92,15 @@ def content_keys(rests: DataFrame, df: np.ndarray, idf: np.ndarray) -> DataFrame
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = []
-            for data in b.column(b.schema.get_field_index("rest")).to_pylist():
-                terms, tf = np.unique(np.frombuffer(data, "<u2"), return_counts=True)
-                held = df[terms] > 1
-                terms, tf = terms[held], tf[held]
-                top = terms[np.argsort(-idf[terms] * np.sqrt(tf), kind="stable")[:KEY_TERMS]].tolist()
+            for held, times in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True):
+                terms, tf = np.frombuffer(held, "<u2"), np.frombuffer(times, "<u2")
+                weight = np.where(df[terms] > 1, -idf[terms] * np.sqrt(tf), np.inf)
+                top = [t for t in terms[np.argsort(weight, kind="stable")[:KEY_TERMS]].tolist() if df[t] > 1]
                 keys.append(int.from_bytes(b"".join(t.to_bytes(2, "big") for t in top).ljust(8, b"\0"), "big", signed=True))
-            yield b.append_column("key", pa.array(keys, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(keys, pa.int64())],
+                                             names=["uid", "doc_id", "doc_tokens", "rest", "key"])
 
-    return rests.mapInArrow(keyed, "uid long, doc_id long, doc_tokens long, rest binary, key long")
+    return rests.select("uid", "doc_id", "doc_tokens", "rest", "terms", "tf").mapInArrow(keyed, "uid long, doc_id long, doc_tokens long, rest binary, key long")
 
 
 def dealt(keyed: DataFrame, shards: int) -> DataFrame:
@@ -180,10 +179,12 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, shard_docs: int =
     between neighbours go to the smaller doc_id. An empty table gives no pieces. Other columns are left out.
     Documents are encoded once, into a table in the shared folder; row numbers there name the sequences.
     """
+    if window > 1 << 16:
+        raise ValueError("a window has at most 65,536 ids")
     spark = docs.sparkSession
     encoded = materialize(encode_documents(docs, tokenizer, window), "encoded")
     rests = encoded.where(F.length("rest") > 0)
-    df, n, mean = term_statistics(rests)
+    df, n, mean = term_statistics(rests, window)
     shards = max(1, -(-n // shard_docs))
     weights = np.log1p((n - df + 0.5) / (df + 0.5))
     idf = spark.sparkContext.broadcast(weights)
@@ -198,7 +199,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, shard_docs: int =
                     row += 1
             yield _pieces(rows)
 
-    def of_shard(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def of_shard(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["missing", "doc_id", "uid"])
         parts = [np.frombuffer(x, "<u2") for x in pdf["rest"]]
         index = Index(parts, idf.value, mean)
@@ -213,7 +214,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, shard_docs: int =
         return out
 
     windows = encoded.where(F.size("windows") > 0).select("doc_id", "doc_tokens", "windows")
-    keyed = content_keys(rests.select("uid", "doc_id", "doc_tokens", "rest"), df, weights)
+    keyed = content_keys(rests, df, weights)
     placed = dealt(materialize(keyed, "keyed") if shards > 1 else keyed, shards)
     packed = placed.select(
         "shard", "uid", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.isnull("doc_id").alias("missing"),

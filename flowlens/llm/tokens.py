@@ -1,23 +1,20 @@
-"""Tokenizer access inside tasks: exact results from cached parts of a text.
+"""Tokenizer access inside tasks.
 
-A text is cut where no token and no rule of its tokenizer can reach across, so the ids of the parts, one
-after the other, are the ids of the text. Each Python worker keeps the parts it has met; the cache is
-bounded, and what falls out is simply encoded again.
+Where parts are cached, a text is cut where no token and no rule of its tokenizer can reach across, so the ids of the
+parts, one after the other, are the ids of the text. Each Python worker keeps the parts it has met; the cache is bounded,
+and what falls out is simply encoded again. Byte-level ids need no cache: whole texts are encoded by rank.
 """
 
 from __future__ import annotations
 
 import array
+import json
 import os
-import re
 
 #: Parts a worker keeps, and the longest part it keeps.
 CACHE_PARTS = 600_000
 CACHE_LENGTH = 64
 
-_SPACE_RUN = re.compile(r" \s")
-_CUT = re.compile(r" (?=\S)")
-
 
 def load(path: str):
     """The tokenizer of a file, single-threaded; Spark's tasks are the parallel part."""
@@ -61,18 +58,6 @@ def word_parts(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-def byte_parts(text: str) -> list[str]:
-    """Parts for the byte-level rule: a space before a visible character always opens a new pre-token.
-
-    That space is left off; only the first part has none.
-    """
-    return _CUT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
-
-
-#: Parts of these characters are split here; the classes of letters and digits among them are settled.
-_SETTLED = re.compile(r"[\n\t\r -~\u00a1-\u024f]*")
-
-
 def byte_alphabet() -> dict[int, str]:
     """The character that byte-level vocabularies write for each byte, by the byte's Latin-1 code."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -80,64 +65,46 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+def rank_encoder(path: str):
+    """The byte-level encoding of a tokenizers file by tiktoken, whose equal answer costs far less.
+
+    That library merges by the rank of an id; None where the file's merges are not in the order of their ids.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)["model"]
+    back, ids = {c: b for b, c in byte_alphabet().items()}, spec["vocab"]
+    plain = {t: i for t, i in ids.items() if all(c in back for c in t)}
+    order = [ids.get("".join(m if isinstance(m, list) else m.split(" "))) for m in spec["merges"]]
+    if sorted(plain.values()) != list(range(256 + len(order))) or order != list(range(256, 256 + len(order))):
+        return None
+    ranks = {bytes(back[c] for c in t): i for t, i in plain.items()}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class ByteIds:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary is checked to fit)."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import regex
-
         self.tok = load(path)
         if self.tok.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.alphabet = byte_alphabet()
-        self.space = self.alphabet[ord(" ")]
-        self.model = self.tok.model.tokenize
-        self.marks = {m: self._word(m) for m in ".,;:!?"}
-        self.cache = PartCache(self._encode)
-        self.words = PartCache(lambda new: [self._word(p) for p in new], parts=CACHE_PARTS // 4)
-
-    def _plain(self, text: str) -> bytes:
-        return array.array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a pre-token, straight from the tokenizer's model; ASCII letters are their own alphabet."""
-        spelt = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.alphabet)
-        return array.array("H", [t.id for t in self.model(spelt)]).tobytes()
-
-    def _spaced(self, word: str) -> bytes:
-        """Ids of a pre-token of letters with its space."""
-        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
-        return array.array("H", [t.id for t in self.model(self.space + spelt)]).tobytes()
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        out, kept, settled, marks, spaced = [], self.cache.kept, _SETTLED.fullmatch, self.marks, self._spaced
-        for p in parts:
-            if not settled(p):
-                out.append(self._plain(" " + p))
-            elif p.isalpha():
-                out.append(spaced(p))
-            elif p[-1:] in marks and p[:-1].isalpha():  # two pre-tokens, the first often known
-                out.append((kept.get(p[:-1]) or spaced(p[:-1])) + marks[p[-1]])
-            else:
-                out.append(b"".join(self.words.values(self.pieces(" " + p))))
-        return out
+        self.plain = rank_encoder(path)
 
     def __call__(self, text: str) -> bytes:
-        # A special string ends a stretch of white space earlier than its part would: such texts go whole.
-        if any(s in text for s in self.special):
-            return self._plain(text)
-        first, *rest = byte_parts(text)
-        return b"".join([self._plain(first) if first else b"", *(self.cache.values(rest) if rest else ())])
+        if self.plain is None or any(s in text for s in self.special):
+            return array.array("H", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        return array.array("H", self.plain(text)).tobytes()
 
 
 _WORKER: dict = {}
 
 
 def byte_ids(path: str) -> ByteIds:
-    """The encoder of this Python worker; later tasks of the worker find its cache warm."""
+    """The encoder of this Python worker; it keeps nothing of the texts it has met."""
     if path not in _WORKER:
         _WORKER[path] = ByteIds(path)
     return _WORKER[path]
