@@ -10,6 +10,7 @@ from __future__ import annotations
 import array
 import json
 import os
+from functools import cached_property
 
 #: Parts a worker keeps, and the longest part it keeps.
 CACHE_PARTS = 600_000
@@ -65,7 +66,7 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
-def rank_encoder(path: str):
+def rank_encoder(spec: dict):
     """The byte-level encoding of a tokenizers file by tiktoken, whose equal answer costs far less.
 
     That library merges by the rank of an id; None where the file's merges are not in the order of their ids.
@@ -73,8 +74,6 @@ def rank_encoder(path: str):
     import public_tokenizers
     import tiktoken
 
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)["model"]
     back, ids = {c: b for b, c in byte_alphabet().items()}, spec["vocab"]
     plain = {t: i for t, i in ids.items() if all(c in back for c in t)}
     order = [ids.get("".join(m if isinstance(m, list) else m.split(" "))) for m in spec["merges"]]
@@ -88,11 +87,17 @@ class ByteIds:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary is checked to fit)."""
 
     def __init__(self, path: str):
-        self.tok = load(path)
-        if self.tok.get_vocab_size() > 1 << 16:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.path, self.special = path, [t["content"] for t in spec["added_tokens"]]
+        if max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) >= 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.plain = rank_encoder(path)
+        self.plain = rank_encoder(spec["model"])
+
+    @cached_property
+    def tok(self):
+        """The tokenizer itself, loaded where a text asks for it."""
+        return load(self.path)
 
     def __call__(self, text: str) -> bytes:
         if self.plain is None or any(s in text for s in self.special):

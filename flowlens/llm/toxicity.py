@@ -93,6 +93,9 @@ def compose() -> list[list[tuple[int, int]]]:
 FIXED = ({w: (NEGATION, 0.0) for w in NEGATIONS} | {w: (REPORT, 0.0) for w in SPEECH}
          | {w: (TARGET, 0.0) for w in TARGETS} | {w: (THREAT, 3.0) for w in THREATS} | {b: (BREAK, 0.0) for b in BREAKS})
 
+#: What most words are, and the words a worker keeps.
+NEUTRAL, KNOWN_WORDS = (OTHER, 0.0), 100_000
+
 
 @dataclass
 class Grammar:
@@ -113,8 +116,8 @@ class Grammar:
             got = FIXED.get(low)
             if got is None or got[0] not in (BREAK,):
                 w = max([self.lexicon.get("=" + low, 0.0), *(self.lexicon.get(low[:k], 0.0) for k in PREFIXES if k <= len(low))])
-                got = (INSULT, w) if w > 0 and got is None else got or (OTHER, 0.0)
-            if len(self._known) > 200_000:
+                got = (INSULT, w) if w > 0 and got is None else got or NEUTRAL
+            if len(self._known) > KNOWN_WORDS:
                 self._known.clear()
             self._known[word] = got
         return got
