@@ -1,57 +1,284 @@
-"""Boosted trees for supervised checks and feature importances."""
+"""Boosted trees over binned features, for supervised checks and feature importances.
+
+Features are binned once by quantiles and rows packed into blocks. A level of a tree needs one pass over the blocks:
+gradient histograms per node, feature and bin are summed in each task, then over tasks; the loss of the held-out rows
+comes from the same pass. Rows never move after they are packed. Up to ``ONE_TASK_ROWS`` the blocks are few, and one
+task makes all passes by itself, by the same code, as a Spark job for each level would cost more than the level.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlens.functions.columns import require
 from flowlens.operators.evaluate import overfit_report
 from flowlens.operators.forest import feature_value
 from flowlens.operators.sampling import sample_n, split
+from flowlens.sources.storage import materialize
 
-# Settings of the two fits of the supervised job, and of the quick fit that
-# ranks features.
+# Settings of the two fits of the supervised job, of the quick fit that ranks features, and the rounds
+# without a better held-out loss that end a fit.
 FIRST = {"max_depth": 6, "rate": 0.1, "iterations": 200, "subsample": 0.8, "columns_share": 0.8}
 TIGHTER = {"max_depth": 4, "rate": 0.05, "iterations": 300, "subsample": 0.7, "columns_share": 0.7}
 QUICK = {"max_depth": 4, "rate": 0.1, "iterations": 50}
+PATIENCE = 10
+
+#: Bins of a feature, rows of a block, rows that one task fits, trees after which margins are written anew.
+BINS, BLOCK_ROWS, ONE_TASK_ROWS, REFRESH = 64, 16_384, 200_000, 10
+#: Penalty of leaf weights and least hessian of a leaf.
+L2, LEAST = 1.0, 1.0
+
+PARTS = {"bins": "u1", "y": "u1", "w": "<f8", "held": "u1", "draw": "<u8", "margin": "<f8"}
+BLOCKS = ", ".join(f"{c} binary" for c in PARTS)
+SUMS = "feature int, data binary"
+NODES = "tree int, node int, feature int, cut int, value double, gain double"
 
 
-def assemble(df: DataFrame, cols) -> DataFrame:
-    filled = df.withColumns({f"_f{i}": feature_value(c) for i, c in enumerate(cols)})
-    names = [f"_f{i}" for i in range(len(cols))]
-    return VectorAssembler(inputCols=names, outputCol="_features").transform(filled).drop(*names)
+class Tree:
+    """A tree as arrays in heap order: feature (-1 for a leaf), cut (bins up to it go left), value and gain."""
+
+    def __init__(self, depth: int):
+        size = 2 ** (depth + 1) - 1
+        self.depth, self.feature, self.cut = depth, np.full(size, -1), np.zeros(size, int)
+        self.value, self.gain = np.zeros(size), np.zeros(size)
+
+    def places(self, bins: np.ndarray) -> np.ndarray:
+        """The node where each row ends."""
+        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        for _ in range(self.depth):
+            feature = self.feature[at]
+            at = np.where(feature < 0, at, 2 * at + 1 + (bins[rows, feature] > self.cut[at]))
+        return at
+
+
+@dataclass
+class Block:
+    """Packed rows; ``margin`` holds the sum of the first ``done`` trees."""
+
+    bins: np.ndarray
+    y: np.ndarray
+    w: np.ndarray
+    held: np.ndarray
+    draw: np.ndarray
+    margin: np.ndarray
+    done: int = 0
+
+    @classmethod
+    def unpack(cls, row: dict, width: int, done: int) -> "Block":
+        found = {c: np.frombuffer(row[c], t) for c, t in PARTS.items()}
+        found["bins"] = found["bins"].reshape(-1, width)
+        return cls(**{**found, "margin": found["margin"].copy()}, done=done)
+
+    def add(self, trees: list[Tree]) -> None:
+        for t in trees[self.done:]:
+            self.margin += t.value[t.places(self.bins)]
+        self.done = len(trees)
+
+    def sums(self, trees: list[Tree], tree: Tree, level: int, share: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients and hessians by node of the level, feature and bin; at the root also the held-out loss and weight."""
+        self.add(trees)
+        p = 1 / (1 + np.exp(-self.margin))
+        loss, held = np.zeros(2), self.held > 0
+        if level == 0 and held.any():
+            q = np.clip(np.where(self.y[held] > 0, p[held], 1 - p[held]), 1e-15, 1)
+            loss[:] = -(self.w[held] * np.log(q)).sum(), self.w[held].sum()
+        # A row is in a round's sample by a hash of its own key, whatever block it lies in.
+        odd = np.uint64(np.random.default_rng([seed, len(trees)]).integers(1 << 62) * 2 + 1)
+        drawn = ((self.draw * odd) >> np.uint64(40)).astype(float) < share * (1 << 24)
+        at, first = tree.places(self.bins), 2 ** level - 1
+        rows = np.flatnonzero(~held & drawn & (at >= first))
+        width = self.bins.shape[1]
+        cells = (((at[rows] - first)[:, None] * width + np.arange(width)) * BINS + self.bins[rows]).ravel()
+        p, w, y = p[rows], self.w[rows], self.y[rows]
+        size = 2 ** level * width * BINS
+        both = [np.bincount(cells, np.repeat(v, width), size) for v in (w * (p - y), w * p * (1 - p))]
+        return np.stack(both, axis=-1).reshape(2 ** level, width, BINS, 2), loss
+
+
+def open_level(tree: Tree, level: int, sums: np.ndarray, columns: np.ndarray, rate: float) -> bool:
+    """Split the nodes of a level where that gains; whether any was split."""
+    found = False
+    for place in range(2 ** level):
+        node = 2 ** level - 1 + place
+        if level and tree.feature[(node - 1) // 2] < 0:
+            continue
+        part = sums[place][columns].cumsum(axis=1)
+        left, whole = part[:, :-1], part[:, -1:]
+        right = whole - left
+        score = lambda x: x[..., 0] ** 2 / (x[..., 1] + L2)
+        gain = np.where((left[..., 1] >= LEAST) & (right[..., 1] >= LEAST), score(left) + score(right) - score(whole), 0.0)
+        if level == 0:
+            tree.value[node] = -rate * whole[0, 0, 0] / (whole[0, 0, 1] + L2)
+        best = int(gain.argmax())
+        if gain.ravel()[best] <= 1e-9:
+            continue
+        f, cut = divmod(best, BINS - 1)
+        tree.feature[node], tree.cut[node], tree.gain[node], found = columns[f], cut, gain.ravel()[best], True
+        for child, side in ((2 * node + 1, left[f, cut]), (2 * node + 2, right[f, cut])):
+            tree.value[child] = -rate * side[0] / (side[1] + L2)
+    return found
+
+
+def boost(gather, width: int, max_depth: int, rate: float, iterations: int, columns_share: float, seed: int) -> list[Tree]:
+    """Grow trees until the held-out loss has not fallen for ``PATIENCE`` rounds; those up to the best round.
+
+    ``gather(trees, tree, level)`` sums the histograms of a level and the held-out loss over all rows.
+    """
+    trees, best, at = [], np.inf, 0
+    for number in range(iterations):
+        columns = np.sort(np.random.default_rng([seed, number, 1]).permutation(width)[:max(1, int(columns_share * width))])
+        tree = Tree(max_depth)
+        for level in range(max_depth):
+            sums, loss = gather(trees, tree, level)
+            if level == 0 and loss[1] > 0:
+                if loss[0] / loss[1] < best:
+                    best, at = loss[0] / loss[1], number
+                elif number - at >= PATIENCE:
+                    return trees[:at]
+            if not open_level(tree, level, sums, columns, rate):
+                break
+        trees.append(tree)
+    return trees
+
+
+def node_rows(trees: list[Tree]) -> pd.DataFrame:
+    """The nodes of trees that are reached."""
+    parts = []
+    for number, t in enumerate(trees):
+        used = np.array([n == 0 or t.feature[(n - 1) // 2] >= 0 for n in range(len(t.feature))])
+        n = np.flatnonzero(used)
+        parts.append(pd.DataFrame({"tree": number, "node": n, "feature": t.feature[n], "cut": t.cut[n], "value": t.value[n], "gain": t.gain[n]}))
+    return pd.concat(parts) if parts else pd.DataFrame(columns=[c.split()[0] for c in NODES.split(", ")])
+
+
+def trees_of(nodes: pd.DataFrame, depth: int) -> list[Tree]:
+    out = []
+    for _, part in nodes.groupby("tree"):
+        tree, n = Tree(depth), part["node"].to_numpy(int)
+        for c in ("feature", "cut", "value", "gain"):
+            getattr(tree, c)[n] = part[c].to_numpy()
+        out.append(tree)
+    return out
+
+
+def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edges)], axis=1).astype("u1")
 
 
 @dataclass
 class BoostedModel:
     columns: list[str]
-    model: GBTClassificationModel
+    edges: list[np.ndarray]
+    trees: list[Tree]
 
     def transform(self, df: DataFrame, out: str = "y_pred") -> DataFrame:
         """Add the predicted class and the probability of class 1."""
-        scored = self.model.transform(assemble(df, self.columns))
-        return (scored.withColumns({out: F.col("_pred").cast("int"), "probability": vector_to_array("_prob")[1]})
-                .drop("_features", "_raw", "_prob", "_pred"))
+        shared = df.sparkSession.sparkContext.broadcast((self.edges, self.trees))  # at most rounds x 2^(depth + 1) nodes
+
+        @F.pandas_udf("double")
+        def chance(values: pd.DataFrame) -> pd.Series:
+            edges, trees = shared.value
+            bins, margin = binned(values.to_numpy(dtype=float), edges), np.zeros(len(values))
+            for t in trees:
+                margin += t.value[t.places(bins)]
+            return pd.Series(1 / (1 + np.exp(-margin)))
+
+        inputs = F.struct(*[feature_value(c).alias(f"c{i}") for i, c in enumerate(self.columns)])
+        return df.withColumn("probability", chance(inputs)).withColumn(out, (F.col("probability") >= 0.5).cast("int"))
 
     def importances(self) -> DataFrame:
-        values = self.model.featureImportances.toArray()
+        """Total gain of each feature, as a share of all."""
+        gains = np.zeros(len(self.columns))
+        for t in self.trees:
+            np.add.at(gains, t.feature[t.feature >= 0], t.gain[t.feature >= 0])
+        gains /= gains.sum() or 1.0
         return SparkSession.active().createDataFrame(
-            [(c, float(v)) for c, v in zip(self.columns, values)], "feature string, importance double")
+            [(c, float(v)) for c, v in zip(self.columns, gains)], "feature string, importance double")
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/trees")
-        SparkSession.active().createDataFrame([(self.columns,)], "columns array<string>").coalesce(1).write.mode(
-            "overwrite").json(f"{path}/meta")
+        spark = SparkSession.active()
+        spark.createDataFrame(node_rows(self.trees), NODES).write.mode("overwrite").parquet(f"{path}/trees")
+        meta = json.dumps([self.columns, [e.tolist() for e in self.edges], max((t.depth for t in self.trees), default=0)])
+        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "BoostedModel":
-        columns = spark.read.schema("columns array<string>").json(f"{path}/meta").first()["columns"]
-        return cls(columns, GBTClassificationModel.load(f"{path}/trees"))
+        columns, edges, depth = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
+        nodes = spark.read.schema(NODES).parquet(f"{path}/trees").toPandas()  # the fitted model
+        return cls(columns, [np.array(e) for e in edges], trees_of(nodes, depth))
+
+
+def packed(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """Rows (x, y, w, held, draw) as blocks of bins."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, BLOCK_ROWS):
+                part = b.slice(i, BLOCK_ROWS)
+                x = np.stack(part.column(0).to_numpy(zero_copy_only=False))
+                y, w, held, draw = (part.column(k).to_numpy(zero_copy_only=False) for k in range(1, 5))
+                values = (binned(x, edges), y.astype("u1"), w.astype("<f8"), held.astype("u1"), draw.view("u8"), np.zeros(len(x)))
+                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=list(PARTS))
+
+    return rows.mapInArrow(pack, BLOCKS)
+
+
+def fit_one_task(blocks: DataFrame, width: int, share: float, seed: int, settings: dict) -> list[Tree]:
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [Block.unpack(r, width, 0) for b in batches for r in b.to_pylist()]
+        own = [Block(*(np.concatenate([getattr(b, c) for b in own]) for c in PARTS))] if own else []
+
+        def gather(trees, tree, level):
+            return own[0].sums(trees, tree, level, share, seed)
+
+        if own:
+            yield pa.RecordBatch.from_pandas(node_rows(boost(gather, width, seed=seed, **settings)), preserve_index=False,
+                                             schema=pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()),
+                                                               ("cut", pa.int32()), ("value", pa.float64()), ("gain", pa.float64())]))
+
+    return trees_of(blocks.coalesce(1).mapInArrow(fit, NODES).toPandas(), settings["max_depth"])
+
+
+def fit_many_tasks(blocks: DataFrame, width: int, share: float, seed: int, settings: dict) -> list[Tree]:
+    state = {"blocks": blocks, "done": 0}
+
+    def gather(trees, tree, level):
+        done = state["done"]
+        if len(trees) - done >= REFRESH:  # else every pass would add all trees again
+            def moved(batches):
+                for b in batches:
+                    for r in b.to_pylist():
+                        block = Block.unpack(r, width, done)
+                        block.add(trees)
+                        yield pa.RecordBatch.from_pylist([{**r, "margin": block.margin.tobytes()}])
+
+            state["blocks"], state["done"] = materialize(state["blocks"].mapInArrow(moved, BLOCKS), "margins"), len(trees)
+            done = len(trees)
+
+        def part(batches):
+            sums, loss = np.zeros((2 ** level, width, BINS, 2)), np.zeros(2)
+            for b in batches:
+                for r in b.to_pylist():
+                    s, l = Block.unpack(r, width, done).sums(trees, tree, level, share, seed)
+                    sums, loss = sums + s, loss + l
+            yield pa.RecordBatch.from_pydict({"feature": pa.array(range(-1, width), pa.int32()),
+                                              "data": [loss.tobytes(), *(sums[:, f].tobytes() for f in range(width))]})
+
+        def total(rows: pa.Table) -> pa.Table:
+            data = sum(np.frombuffer(d.as_py()) for d in rows.column("data"))
+            return pa.table({"feature": rows.column("feature").slice(0, 1), "data": pa.array([data.tobytes()], pa.binary())})
+
+        found = state["blocks"].mapInArrow(part, SUMS).groupBy("feature").applyInArrow(total, SUMS).collect()
+        by = {r["feature"]: np.frombuffer(r["data"]) for r in found}  # one row a feature, for the nodes of a level
+        return np.stack([by[f].reshape(2 ** level, BINS, 2) for f in range(width)], axis=1), by[-1]
+
+    return boost(gather, width, seed=seed, **settings)
 
 
 def class_weight(df: DataFrame, label: str) -> float:
@@ -70,17 +297,20 @@ def fit_boosted(df: DataFrame, cols, label: str = "label_binary", key: str = "fl
     if not 0.0 < test < 1.0:
         raise ValueError(f"test must be between 0 and 1, got {test}")
     require(df, [label])
+    cols = list(cols)
     weight = class_weight(df, label) if weight is None else weight
-    kept = split(df.select(key, label, *cols), key, label, test, seed=seed)
-    rows = assemble(kept, cols).select(
-        "_features", F.col(label).cast("double").alias("_y"), (F.col("split") == "test").alias("_held"),
-        F.when(F.col(label) == 1, weight).otherwise(1.0).alias("_w"))
-    model = GBTClassifier(
-        featuresCol="_features", labelCol="_y", weightCol="_w", validationIndicatorCol="_held", maxIter=iterations,
-        maxDepth=max_depth, stepSize=rate, subsamplingRate=subsample, featureSubsetStrategy=str(float(columns_share)),
-        seed=seed, predictionCol="_pred", maxMemoryInMB=512,
-    ).setRawPredictionCol("_raw").setProbabilityCol("_prob").fit(rows)
-    return BoostedModel(list(cols), model)
+    kept = split(df.select(key, label, *[c for c in cols if c not in (key, label)]), key, label, test, seed=seed)
+    rows = materialize(kept.where(F.col(label).isNotNull()).select(
+        F.array(*[feature_value(c) for c in cols]).alias("x"), F.col(label).cast("int").alias("y"),
+        F.when(F.col(label) == 1, weight).otherwise(1.0).alias("w"), (F.col("split") == "test").alias("held"),
+        F.xxhash64(F.col(key), F.lit(seed)).alias("draw")), "boosted-rows")
+    places = [i / BINS for i in range(1, BINS)]
+    found = rows.where("not held").agg(F.count("*"), *[F.percentile_approx(F.col("x")[i], places, 10_000) for i in range(len(cols))]).first()
+    edges = [np.unique(np.array(e or [0.0])) for e in found[1:]]
+    blocks = materialize(packed(rows, edges), "blocks")
+    settings = {"max_depth": max_depth, "rate": rate, "iterations": iterations, "columns_share": columns_share}
+    fit = fit_one_task if found[0] <= ONE_TASK_ROWS else fit_many_tasks
+    return BoostedModel(cols, edges, fit(blocks, len(cols), subsample, seed, settings))
 
 
 def rank_features(df: DataFrame, cols, label: str = "label_binary", key: str = "flow_id", sample: int = 100_000,

@@ -174,6 +174,46 @@ def test_boosted(spark, cloud):
         boosted.fit_boosted(df, COLUMNS, test=1.0)
 
 
+def test_boosted_in_many_tasks_is_the_same(spark, cloud, monkeypatch, tmp_path):
+    """Histograms summed over tasks grow the trees that one task grows; a stored model predicts alike."""
+    df = cloud.withColumn("label_binary", (F.col("a") + 0.3 * F.col("b") > 0.3).cast("int")).repartition(3)
+    options = dict(iterations=4, max_depth=3, subsample=0.8, columns_share=0.8)
+    one = boosted.fit_boosted(df, COLUMNS, **options)
+    monkeypatch.setattr(boosted, "ONE_TASK_ROWS", 0)
+    monkeypatch.setattr(boosted, "REFRESH", 2)
+    many = boosted.fit_boosted(df, COLUMNS, **options)
+    a, b = boosted.node_rows(one.trees), boosted.node_rows(many.trees)
+    assert a[["tree", "node", "feature", "cut"]].equals(b[["tree", "node", "feature", "cut"]])
+    assert np.allclose(a["value"], b["value"]) and np.allclose(a["gain"], b["gain"])
+    one.save(str(tmp_path / "model"))
+    loaded = boosted.BoostedModel.load(spark, str(tmp_path / "model"))
+    assert loaded.transform(df).join(one.transform(df).select("flow_id", F.col("probability").alias("p")), "flow_id").where(
+        "abs(probability - p) > 1e-12").count() == 0
+
+
+def test_boosted_splits_are_the_best(spark):
+    """One tree of one level against all cuts; importances against its gain; early stopping ends on noise."""
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 20, (600, 2)), rng.integers(0, 2, 600)
+    y[x[:, 1] > 12] = 1
+    rows = [(i, float(a), float(b), int(c)) for i, ((a, b), c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "flow_id long, a double, b double, label_binary int")
+    model = boosted.fit_boosted(df, ["a", "b"], iterations=1, max_depth=1, weight=1.0)
+    kept = boosted.split(df, "flow_id", "label_binary", 0.2, seed=42).where("split = 'train'").toPandas()
+    g, best = 0.5 - kept["label_binary"].to_numpy(), (0, None)
+    score = lambda v: v.sum() ** 2 / (0.25 * len(v) + 1)
+    for f in ("a", "b"):
+        for cut in sorted(set(kept[f]))[:-1]:
+            left = (kept[f] <= cut).to_numpy()
+            best = max(best, (score(g[left]) + score(g[~left]) - score(g), (f, cut)))
+    tree = model.trees[0]
+    assert ("ab"[tree.feature[0]], model.edges[tree.feature[0]][tree.cut[0]]) == best[1]
+    assert tree.gain[0] == pytest.approx(best[0])
+    assert {r["feature"]: r["importance"] for r in model.importances().collect()}[best[1][0]] == 1.0
+    noise = df.withColumn("label_binary", F.pmod(F.xxhash64("flow_id"), F.lit(2)).cast("int"))
+    assert len(boosted.fit_boosted(noise, ["a", "b"], iterations=100).trees) < 60
+
+
 def test_benchmark(cloud):
     out = benchmark_models(cloud, detectors=("isolation_forest", "lof"), skewed=[], features=COLUMNS)
     rows = {r["model_type"]: r for r in out.collect()}
