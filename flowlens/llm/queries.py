@@ -119,15 +119,15 @@ def op13_ranked_search(spark, sf_dir):
 
 # SQL twins of the queries that SQL can express.
 SPLIT = r"list_filter(regexp_split_to_array({text}, '{by}'), lambda x: x <> '')"
-SHINGLES = """(SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
-  FROM (SELECT {key}, """ + SPLIT.format(text="lower(coalesce(text, ''))", by=r"[^\p{{L}}\p{{N}}]+") + """ AS w FROM {table}) AS t)"""
+SHINGLES = """(SELECT DISTINCT {key}, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+  FROM (SELECT {key}, """ + SPLIT.format(text="lower(coalesce(text, ''))", by=r"[^\p{{L}}\p{{N}}]+") + """ AS w FROM {table}) AS t, {lengths})"""
 
 SQL["op10_decontamination"] = f"""
-WITH d AS {SHINGLES.format(key="doc_id", table="documents")}, i AS {SHINGLES.format(key="item_id", table="benchmark")},
+WITH i AS {SHINGLES.format(key="item_id", table="benchmark", lengths="(VALUES (1), (2), (3), (4), (5)) AS v(k) WHERE k = least(len(w), 5)")},
+d AS {SHINGLES.format(key="doc_id", table="documents", lengths="(SELECT DISTINCT k FROM i) AS v")},
 n AS (SELECT item_id, COUNT(*) AS n FROM i GROUP BY 1)
 SELECT doc_id, item_id, n AS n_item, COUNT(*) AS n_found, COUNT(*) / CAST(n AS DOUBLE) AS containment
-FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING COUNT(*) * 100 >= n * 80"""
+FROM d JOIN i USING (k, s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n HAVING COUNT(*) * 100 >= n * 80"""
 
 ESCAPED = r"regexp_replace({x}, '([<\[])(\\*)(\|[a-z_]+\|>|/?s>|/?INST\])', '\1\\\2\3', 'g')"
 

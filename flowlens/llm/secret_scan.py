@@ -1,9 +1,9 @@
 """Secret scan that links the parts of credentials.
 
 Base kinds are reported wherever they match. Weak kinds (identifiers, short or unnamed secrets, endpoints) are
-reported only when what completes them stands near: parts are ordered inside their scope, a paragraph, and an
-interval join finds for every weak part the nearest parts of the other classes. Everything is built-in
-expressions; only parts are shuffled, never texts.
+reported only when what completes them stands near: parts are ordered inside their scope, a paragraph, and two
+ordered windows find for every weak part the nearest parts of the other classes, the ones an interval join would
+give. Everything is built-in expressions; only parts are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import materialize, small_enough, text_of
+from flowlens.llm.common import materialize, plain_names, small_enough, text_of
 from flowlens.llm.text_spans import SPAN, matches, places
 
 # Fixed patterns of the base kinds, and the least lengths.
@@ -28,7 +28,7 @@ ENDPOINT = (r"(?i)(?:https?|sftp|ftp|ssh|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mo
             r"|(?:host|endpoint|server)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9.-]{4,}")
 SCOPE = r"\n[\x20\t]*\n"
 SHORT_SECRET = 6
-#: Code points between the starts of parts that belong together.
+#: Most code points between the end of one part and the start of the next that belongs to it.
 REACH = 200
 
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
@@ -86,9 +86,8 @@ def link(parts: DataFrame, reach: int = REACH) -> DataFrame:
     before, after = scope.rowsBetween(Window.unboundedPreceding, 0), scope.rowsBetween(0, Window.unboundedFollowing)
 
     def near(kinds: tuple[int, ...]) -> Column:
-        start = F.when(F.col("kind").isin(*kinds), F.col("start"))
-        gap = F.least(F.col("start") - F.last(start, ignorenulls=True).over(before),
-                      F.first(start, ignorenulls=True).over(after) - F.col("start"))
+        of = lambda place: F.when(F.col("kind").isin(*kinds), F.col(place))
+        gap = F.least(F.col("start") - F.max(of("end")).over(before), F.min(of("start")).over(after) - F.col("end"))
         return F.coalesce(gap <= reach, F.lit(False))
 
     rows = rows.withColumns({"strong_id": near((1,)), "any_id": near((1, 3)), "strong_secret": near((0, 2)),
@@ -104,16 +103,17 @@ def link(parts: DataFrame, reach: int = REACH) -> DataFrame:
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``docs`` with ``secret_spans``: all reported spans by start, then kind.
 
-    A NULL or empty text has none; repeated rows each keep their row; own columns named _base, _weak, _key or
-    _linked are not allowed. Spans of one kind never overlap, spans of different kinds may.
+    A NULL or empty text has none; repeated rows each keep their row; extra columns may have any name, but one
+    named secret_spans is replaced. Spans of one base kind never overlap, others may.
     """
-    own = find_parts(docs)
+    docs = docs.drop("secret_spans")
+    plain = plain_names(docs, "text")
     linked = small_enough(materialize(link(find_parts(docs.select("text")), reach), "linked"))
     # Rows without parts to link have no partner; a key of their own spreads them evenly if the join shuffles.
-    spread = own.withColumn("_key", F.coalesce("_key", F.xxhash64(*docs.columns).cast("string")))
+    spread = find_parts(plain).withColumn("_key", F.coalesce("_key", F.xxhash64(*plain.columns).cast("string")))
     return (spread.join(linked, "_key", "left")
-            .withColumn("secret_spans", F.array_sort(F.concat("_base", F.coalesce("_linked", F.array().cast(PARTS)))))
-            .select(*docs.columns, "secret_spans"))
+            .withColumn("_spans", F.array_sort(F.concat("_base", F.coalesce("_linked", F.array().cast(PARTS)))))
+            .select(*plain.columns, "_spans").toDF(*docs.columns, "secret_spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -135,9 +135,10 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of the text replaced; overlapping spans become one mark.
 
-    Rows without secrets keep their text as it is, NULL included.
+    Rows without secrets keep their text as it is, NULL included. Extra columns may have any name.
     """
-    found = scan(docs)
+    plain = plain_names(docs, "text")
+    found = scan(plain)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -150,4 +151,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     rest = F.expr("substring(text, _done.at + 1)")
     return (found.withColumn("_done", F.when(F.size("secret_spans") > 0, cleaned))
             .withColumn("text", F.when(F.col("_done").isNotNull(), F.concat("_done.out", rest)).otherwise(F.col("text")))
-            .select(*docs.columns))
+            .select(*plain.columns).toDF(*docs.columns))
