@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import materialize, small_enough, text_of
+from flowlens.llm.common import free_names, materialize, small_enough, text_of
 from flowlens.llm.components import components
 
 SEED = 42
@@ -222,19 +222,21 @@ def one_of_each(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id, then of the smallest text hash.
 
     ``rows`` has doc_id, h and least of every row. Rows without an id come last. Of rows that repeat the chosen id
-    and text one stays. Texts are not moved while the rows to drop are few enough to broadcast.
+    and text one stays. Texts are not moved while the rows to drop are few enough to broadcast. Extra columns may
+    have any name.
     """
+    key_id, key_h = free_names(docs, "_id", "_h")
     chosen = (F.col("h") == F.col("least.h")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
     dropped = rows.where(~chosen).select("doc_id", "h").distinct()
     repeated = rows.where(chosen).groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h")
 
     def key(side: DataFrame) -> DataFrame:
-        return small_enough(side).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
+        return small_enough(side).select(F.col("doc_id").alias(key_id), F.col("h").alias(key_h))
 
-    same = (F.xxhash64(text_of()) == F.col("_h")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
+    same = (F.xxhash64(text_of()) == F.col(key_h)) & docs["doc_id"].cast("long").eqNullSafe(F.col(key_id))
     kept = docs.join(key(dropped), same, "left_anti")
     if repeated.isEmpty():
         return kept
-    once = (docs.join(key(repeated), same, "left_semi").withColumn("_h", F.xxhash64(text_of()))
-            .dropDuplicates(["doc_id", "_h"]).drop("_h"))
+    once = (docs.join(key(repeated), same, "left_semi").withColumn(key_h, F.xxhash64(text_of()))
+            .dropDuplicates(["doc_id", key_h]).drop(key_h))
     return kept.join(key(repeated), same, "left_anti").unionByName(once)
