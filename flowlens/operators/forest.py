@@ -2,10 +2,14 @@
 
 A tree needs only a few hundred rows, so fitting moves trees x samples rows once, whatever
 the size of the table, and all groups (protocols) are fitted by the same job.
+
+Every random choice is the MD5 of its place (seed, group, tree, node), so a forest does not depend on how rows
+are spread, and any engine with that hash can grow the same one.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass, field
 
@@ -14,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from flowlens.functions.quantiles import exact_quantiles
-from flowlens.operators.sampling import strata
+from flowlens.operators.sampling import key_hash, strata
 
 NODE_SCHEMA = "grp string, tree int, node int, feature int, split double, child int, depth double"
 EULER = 0.5772156649015329
@@ -33,30 +37,48 @@ def feature_share(width: int) -> float:
     return 1.0 if width <= 5 else 0.8 if width <= 10 else 0.6
 
 
-def grow_tree(x: np.ndarray, columns: np.ndarray, rng: np.random.Generator) -> list[tuple]:
+#: Hex digits of an MD5 that make a number, and how many such numbers there are.
+DRAW_DIGITS = 12
+DRAWS = 1 << 4 * DRAW_DIGITS
+
+
+def drawn(*place) -> int:
+    """The random number, below ``DRAWS``, of a place."""
+    return int(hashlib.md5("|".join(map(str, place)).encode()).hexdigest()[:DRAW_DIGITS], 16)
+
+
+def drawn_column(*place) -> Column:
+    """``drawn`` as a column."""
+    text = F.concat_ws("|", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in place])
+    return F.conv(F.substring(F.md5(text), 1, DRAW_DIGITS), 16, 10).cast("long")
+
+
+def grow_tree(x: np.ndarray, columns: np.ndarray, *place) -> list[tuple]:
     """Random splits until rows are alone, alike or at the depth limit.
 
     A node is (feature, split, child, path length credited to rows that end there); the
-    right child follows the left one, and a leaf is its own child with an endless split.
+    right child follows the left one, and a leaf is its own child with an endless split. For its
+    draws node n, the root being 1, has the children 2n and 2n + 1.
     """
     limit = math.ceil(math.log2(max(len(x), 2)))
-    nodes, todo = [None], [(0, np.arange(len(x)), 0)]
+    nodes, todo = [None], [(0, np.arange(len(x)), 0, 1)]
     while todo:
-        here, rows, depth = todo.pop()
+        here, rows, depth, number = todo.pop()
         part = x[rows][:, columns]
         low, high = part.min(axis=0), part.max(axis=0)
         usable = np.flatnonzero(high > low)
         if depth >= limit or len(rows) <= 1 or len(usable) == 0:
             nodes[here] = (0, math.inf, here, depth + float(expected_depth(len(rows))))
             continue
-        pick = rng.choice(usable)
-        cut = low[pick] + (high[pick] - low[pick]) * rng.random()
+        pick = usable[drawn(*place, number, "feature") % len(usable)]
+        cut = low[pick] + (high[pick] - low[pick]) * (drawn(*place, number, "split") / DRAWS)
         goes_left = part[:, pick] <= cut
         if goes_left.all():  # the cut rounded up to the maximum
             cut = low[pick]
             goes_left = part[:, pick] <= cut
         nodes[here] = (int(columns[pick]), float(cut), len(nodes), 0.0)
-        todo += [(len(nodes), rows[goes_left], depth + 1), (len(nodes) + 1, rows[~goes_left], depth + 1)]
+        todo += [(len(nodes), rows[goes_left], depth + 1, 2 * number),
+                 (len(nodes) + 1, rows[~goes_left], depth + 1, 2 * number + 1)]
         nodes += [None, None]
     return nodes
 
@@ -172,36 +194,32 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
     draws = {g: min(max_samples, n) for g, n in counts.items()}
     pool = {g: min(n, trees * draws[g]) for g, n in counts.items()}
     # A share of the rows by hash, wide enough that the pool is full beyond any doubt.
-    draw_hash = F.xxhash64(F.col(key), F.lit(seed))
-    spot = F.pmod(draw_hash, F.lit(1 << 52)) / F.lit(float(1 << 52))
+    row_hash = key_hash(key, seed)
     wide = {g: min(1.0, (pool[g] + 8 * math.sqrt(pool[g]) + 64) / counts[g]) for g in counts}
     name = F.col(group).cast("string") if group else F.lit(ONE_GROUP)
-    widths = spark.createDataFrame([(str(g) if group else ONE_GROUP, share) for g, share in wide.items()],
-                                   "_wide_group string, _wide double")
-    chosen = df.join(widths, (name == F.col("_wide_group")) & (spot <= F.col("_wide")))
+    named = {g: str(g) if group else ONE_GROUP for g in counts}
+    widths = spark.createDataFrame(
+        [(named[g], f"{int(share * DRAWS):0{DRAW_DIGITS}x}" if share < 1 else "g") for g, share in wide.items()],
+        "_wide_group string, _wide string")
+    chosen = df.join(F.broadcast(widths), (name == F.col("_wide_group"))
+                     & (F.substring(F.coalesce(row_hash, F.lit("")), 1, DRAW_DIGITS) <= F.col("_wide")))
     # At most trees x max_samples rows per group are ranked and joined.
-    order = Window.partitionBy("grp").orderBy("_h", "_key")
-    chosen = (chosen.select(name.alias("grp"), draw_hash.alias("_h"), F.col(key).alias("_key"),
-                            F.array(*[feature_value(c) for c in cols]).alias("x"))
+    order = Window.partitionBy("grp").orderBy("_h", "x")
+    chosen = (chosen.select(name.alias("grp"), row_hash.alias("_h"), F.array(*[feature_value(c) for c in cols]).alias("x"))
               .select("grp", "x", (F.row_number().over(order) - 1).cast("long").alias("pos")))
 
-    # Which pool positions each tree draws: uniform with replacement, or a random stride.
-    rng = np.random.default_rng(seed)
-    plan = []
-    for g in sorted(counts, key=str):
-        for t in range(trees):
-            start, stride = int(rng.integers(pool[g])), int(rng.integers(1, pool[g] + 1))
-            while math.gcd(stride, pool[g]) != 1:
-                stride = stride % pool[g] + 1
-            plan.append((str(g) if group else ONE_GROUP, t, draws[g], pool[g], start, stride))
-    table = spark.createDataFrame(plan, "grp string, tree int, draws int, pool long, start long, stride long")
-    draw = F.col("draw").cast("long")
-    position = (F.pmod(F.xxhash64("grp", "tree", "draw", F.lit(seed)), F.col("pool")) if bootstrap
-                else F.pmod(F.col("start") + draw * F.col("stride"), F.col("pool")))
-    picked = (table.withColumn("draw", F.explode(F.sequence(F.lit(0), F.col("draws") - 1)))
+    # Which pool positions each tree draws: any with replacement; else a run of its own or, in a pool too small for
+    # that, from a random place on.
+    table = spark.createDataFrame([(named[g], draws[g], pool[g]) for g in counts], "grp string, draws long, pool long")
+    table = table.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    draw = F.col("draw")
+    start = F.when(F.col("pool") < trees * F.col("draws"), drawn_column(seed, F.col("grp"), F.col("tree"), "start")).otherwise(
+        F.col("tree") * F.col("draws"))
+    position = F.pmod(drawn_column(seed, F.col("grp"), F.col("tree"), draw) if bootstrap else start + draw, F.col("pool"))
+    picked = (table.withColumn("draw", F.explode(F.sequence(F.lit(0).cast("long"), F.col("draws") - 1)))
               .select("grp", "tree", "draw", position.alias("pos")))
     # Few bytes but much work per row: one task per core, which coalescing would undo.
-    tasks = max(1, min(len(plan), spark.sparkContext.defaultParallelism))
+    tasks = max(1, min(len(counts) * trees, spark.sparkContext.defaultParallelism))
     dealt = picked.join(chosen, ["grp", "pos"]).repartition(tasks, "grp", "tree")
     width = max(1, int((max_features if max_features is not None else feature_share(len(cols))) * len(cols)))
     total = len(cols)
@@ -209,9 +227,8 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("draw")
         grp, tree = pdf["grp"].iloc[0], int(pdf["tree"].iloc[0])
-        local = np.random.default_rng([seed, tree, *grp.encode()])
-        columns = np.sort(local.permutation(total)[:width])
-        nodes = grow_tree(np.stack(pdf["x"].to_numpy()), columns, local)
+        columns = np.array(sorted(sorted(range(total), key=lambda c: drawn(seed, grp, tree, f"c{c}"))[:width]))
+        nodes = grow_tree(np.stack(pdf["x"].to_numpy()), columns, seed, grp, tree)
         out = pd.DataFrame(nodes, columns=["feature", "split", "child", "depth"])
         out.insert(0, "node", np.arange(len(out)))
         out.insert(0, "tree", tree)
@@ -219,8 +236,7 @@ def fit_forest(df: DataFrame, cols, key: str = "flow_id", group: str | None = No
         return out
 
     nodes = dealt.groupBy("grp", "tree").applyInPandas(build, NODE_SCHEMA).toPandas()  # the fitted model
-    named = {str(g) if group else ONE_GROUP: n for g, n in draws.items()}
-    return ForestModel(cols, group, named, nodes.sort_values(["grp", "tree", "node"], ignore_index=True))
+    return ForestModel(cols, group, {named[g]: n for g, n in draws.items()}, nodes.sort_values(["grp", "tree", "node"], ignore_index=True))
 
 
 def protocol_group(df: DataFrame, main=("tcp", "udp"), col: str = "Proto", out: str = "protocol_group") -> DataFrame:

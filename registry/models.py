@@ -25,36 +25,119 @@ def scaled(spark, sf_dir):
     return out, columns
 
 
-@query("isolation_forest")
+#: Rows (id, grp, x0, x1, …) as they enter a forest: logs, then robust scaling over the whole table.
+FOREST_LOGS = ", ".join(f"ln(1 + {c}) AS l{i}" for i, c in enumerate(INPUTS))
+FOREST_SCALED = ", ".join(
+    f"(l{i} - quantile_cont(l{i}, 0.5) OVER ()) / COALESCE(NULLIF(quantile_cont(l{i}, 0.75) OVER () - quantile_cont(l{i}, 0.25) OVER (), 0), 1)"
+    f" AS x{i}" for i in range(len(INPUTS)))
+FOREST_ROWS = f"SELECT flow_id AS id, {{grp}} AS grp, {FOREST_SCALED} FROM (SELECT *, {FOREST_LOGS} FROM {{flows}} AS f) AS l"
+PROTOCOL_SQL = "CASE WHEN lower(Proto) IN ('tcp', 'udp') THEN lower(Proto) ELSE 'other' END"
+
+
+def drawn_sql(*place: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', 42, grp, tree, {', '.join(place)})), 1, {forest.DRAW_DIGITS}) AS BIGINT)"
+
+
+def forest_sql(rows: str, width: int, trees: int = 100, bootstrap: bool = False, min_rows: int = 1, share: float = 1.0) -> str:
+    """Common tables up to ``raw`` (id, grp, raw_score): the forest grown level by level and descended, in SQL.
+
+    The rows of a node are told by ``node``; a split is made where the node's rows differ and the depth allows it.
+    """
+    every = range(width)
+    seen = max(1, int(share * width))
+    of_tree = [f"h{i} < {seen}" if seen < width else "TRUE" for i in every]
+    ranks = (", " + ", ".join(f"list_position(cs, {i}) - 1 AS h{i}" for i in every)) if seen < width else ""
+    cs = (f", list_transform(list_sort(list_transform(range({width}), lambda c: "
+          f"{{'d': CAST('0x' || substr(md5(concat_ws('|', 42, grp, tree, 'c' || c)), 1, {forest.DRAW_DIGITS}) AS BIGINT), 'c': c}})),"
+          f" lambda v: v.c) AS cs") if seen < width else ""
+    start = f"(CASE WHEN pool < {trees} * draws THEN {drawn_sql("'start'")} ELSE tree * draws END + draw)"
+    usable = ", ".join(f"CASE WHEN high{i} > low{i} AND {of_tree[i]} THEN {i} END" for i in every)
+    pick = lambda what, of: f"CASE {of} " + " ".join(f"WHEN {i} THEN {what}{i}" for i in every) + " END"
+    spans = ", ".join(f"MIN(x{i}) AS low{i}, MAX(x{i}) AS high{i}" for i in every)
+    values = ", ".join(f"x{i}" for i in every)
+    hs = "".join(f", MIN(h{i}) AS h{i}" for i in every) if seen < width else ""
+    held = "".join(f", h{i}" for i in every) if seen < width else ""
+
+    def splits(source: str) -> str:
+        return f"""SELECT grp, tree, node, depth, n, draws, pick,
+          CASE WHEN cut >= {pick('high', 'pick')} THEN {pick('low', 'pick')} ELSE cut END AS cut FROM (
+          SELECT *, {pick('low', 'pick')} + ({pick('high', 'pick')} - {pick('low', 'pick')})
+            * (CAST({drawn_sql('node', "'split'")} AS DOUBLE) / {forest.DRAWS}) AS cut FROM (
+          SELECT *, CASE WHEN n > 1 AND depth < ceil(log2(greatest(draws, 2))) AND len(open) > 0
+            THEN open[CAST({drawn_sql('node', "'feature'")} % len(open) AS INT) + 1] END AS pick FROM (
+          SELECT *, list_filter([{usable}], lambda f: f IS NOT NULL) AS open FROM (
+          SELECT grp, tree, node, depth, draws, COUNT(*) AS n, {spans}{hs} FROM {source} GROUP BY grp, tree, node, depth, draws))))"""
+
+    return f"""WITH RECURSIVE data AS MATERIALIZED ({rows}),
+sizes AS MATERIALIZED (SELECT grp, COUNT(*) AS total, least(256, COUNT(*)) AS draws, least(COUNT(*), {trees} * least(256, COUNT(*))) AS pool
+  FROM data WHERE grp IS NOT NULL GROUP BY grp HAVING COUNT(*) >= {min_rows}),
+pooled AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY md5(concat(id, '|42'))) - 1 AS pos FROM data),
+drawn AS (SELECT *, {drawn_sql('draw') if bootstrap else start} % pool AS pos{cs}
+  FROM (SELECT *, unnest(range(draws)) AS draw FROM (SELECT *, unnest(range({trees})) AS tree FROM sizes))),
+levels AS (
+  SELECT d.grp, tree, draws, CAST(1 AS BIGINT) AS node, 0 AS depth, {values}{ranks} FROM drawn AS d JOIN pooled AS p ON p.grp = d.grp AND p.pos = d.pos
+  UNION ALL
+  SELECT l.grp, l.tree, l.draws, 2 * l.node + CAST({pick('l.x', 's.pick')} > s.cut AS INT), l.depth + 1, {values}{held}
+  FROM levels AS l JOIN ({splits('levels')}) AS s ON s.grp = l.grp AND s.tree = l.tree AND s.node = l.node WHERE s.pick IS NOT NULL),
+nodes AS MATERIALIZED ({splits('levels')}),
+walks AS (
+  SELECT id, d.grp, t.tree, CAST(1 AS BIGINT) AS node, {values} FROM data AS d JOIN (SELECT grp, tree FROM nodes WHERE node = 1) AS t ON t.grp = d.grp
+  UNION ALL
+  SELECT w.id, w.grp, w.tree, 2 * w.node + CAST({pick('w.x', 'n.pick')} > n.cut AS INT), {values}
+  FROM walks AS w JOIN nodes AS n ON n.grp = w.grp AND n.tree = w.tree AND n.node = w.node WHERE n.pick IS NOT NULL),
+raw AS MATERIALIZED (SELECT data.id, data.grp, -pow(2, -mean / {credit_sql('draws')}) AS raw_score FROM data LEFT JOIN (
+  SELECT w.id, w.grp, any_value(n.draws) AS draws, SUM(CAST(n.depth + {credit_sql('n.n')} AS DECIMAL(18, 12))) / {trees} AS mean
+  FROM walks AS w JOIN nodes AS n ON n.grp = w.grp AND n.tree = w.tree AND n.node = w.node WHERE n.pick IS NULL GROUP BY w.id, w.grp) AS m
+  ON m.id = data.id)
+"""
+
+
+def credit_sql(n: str) -> str:
+    return f"(CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + {forest.EULER}) - 2 * ({n} - 1) / CAST({n} AS DOUBLE) WHEN {n} = 2 THEN 1.0 ELSE 0.0 END)"
+
+
+ONE_FOREST = forest_sql(FOREST_ROWS.replace("{grp}", "'all'"), len(INPUTS))
+EMBEDDING_ROWS = "SELECT vec_id AS id, 'all' AS grp, " + ", ".join(
+    f"COALESCE(CAST(embedding[{i + 1}] AS DOUBLE), 0) AS x{i}" for i in range(64)) + " FROM embeddings"
+
+
+@query("isolation_forest", ONE_FOREST + """SELECT f.flow_id, f.label_binary, ROUND(raw_score, 6) AS raw_score
+FROM raw JOIN {scored} AS f ON f.flow_id = raw.id""")
 def isolation_forest(spark, sf_dir):
     f, columns = scaled(spark, sf_dir)
-    return forest.fit_forest(f, columns).transform(f).select("flow_id", "label_binary", "raw_score")
+    return rounded(forest.fit_forest(f, columns).transform(f).select("flow_id", "label_binary", "raw_score"), ["raw_score"])
 
 
-@query("isolation_forest_labels")
+@query("isolation_forest_labels", ONE_FOREST + """SELECT CASE WHEN r < quantile_cont THEN -1 ELSE 1 END AS label, COUNT(*) AS n
+FROM (SELECT ROUND(raw_score, 12) AS r FROM raw), (SELECT quantile_cont(ROUND(raw_score, 12), 0.1) AS quantile_cont FROM raw) GROUP BY 1""")
 def isolation_forest_labels(spark, sf_dir):
     f, columns = scaled(spark, sf_dir)
     model = forest.fit_forest(f, columns).fit_offsets(f, 0.1)
     return model.predict_labels(f).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("isolation_forest_grouped")
+@query("isolation_forest_grouped", forest_sql(FOREST_ROWS.replace("{grp}", PROTOCOL_SQL), len(INPUTS), 300, True, 1000) + """
+SELECT id AS flow_id, raw.grp AS protocol_group, ROUND(raw_score, 6) AS raw_score,
+  ROUND(CASE WHEN raw_score IS NULL THEN NULL WHEN s > 1e-6 THEN 1 / (1 + exp(-(-raw_score - m) / s)) ELSE 0 END, 6) AS anomaly_score
+FROM raw JOIN (SELECT grp, AVG(-raw_score) AS m, stddev_pop(-raw_score) AS s FROM raw GROUP BY grp) AS g ON g.grp = raw.grp""")
 def isolation_forest_grouped(spark, sf_dir):
     f, columns = scaled(spark, sf_dir)
     f = forest.protocol_group(f)
     model, _ = forest.fit_grouped(f, columns, trees=300, bootstrap=True)
     scored = model.transform(f)
-    return forest.score_grouped(scored, forest.group_score_stats(scored)).select(
+    out = forest.score_grouped(scored, forest.group_score_stats(scored)).select(
         "flow_id", "protocol_group", "raw_score", "anomaly_score")
+    return rounded(out, ["raw_score", "anomaly_score"])
 
 
-@query("isolation_forest_embeddings")
+@query("isolation_forest_embeddings", forest_sql(EMBEDDING_ROWS, 64, share=forest.feature_share(64)) + """
+SELECT vec_id, label, ROUND(raw_score, 6) AS raw_score FROM raw JOIN embeddings ON vec_id = id""")
 def isolation_forest_embeddings(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     size = e.agg(F.max(F.size("embedding"))).first()[0]
     wide = e.select("vec_id", "label", *[F.col("embedding")[i].alias(f"d{i}") for i in range(size)])
     model = forest.fit_forest(wide, [f"d{i}" for i in range(size)], "vec_id")
-    return model.transform(wide).select("vec_id", "label", "raw_score")
+    return rounded(model.transform(wide).select("vec_id", "label", "raw_score"), ["raw_score"])
 
 
 # A raw score known to both engines: minus the bytes.
