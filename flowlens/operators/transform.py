@@ -15,6 +15,9 @@ from flowlens.sources.stores import PARAM_SCHEMA
 # The transforms compared for each feature, in order of preference.
 TRANSFORMS = ["original", "log1p", "sqrt", "boxcox", "yeo-johnson"]
 NEAR_ZERO = 1e-10
+#: Half widths of the ranges in which a lambda is sought, and the lambdas tried in each.
+LAMBDA_SPANS = (5.0, 0.9, 0.05)
+LAMBDA_POINTS = 13
 GRID = 1000
 BINS = 4096
 
@@ -73,53 +76,41 @@ def yeojohnson_value(x: Column, lam) -> Column:
     return F.when(x >= 0, boxcox_value(x + 1, lam)).otherwise(-boxcox_value(1 - x, 2 - lam))
 
 
-def fit_lambdas(df: DataFrame, cols, method: str = "box-cox", points: int = 13, rounds: int = 5) -> dict[str, float]:
-    """Maximum-likelihood lambda per feature.
+def fit_lambdas(df: DataFrame, cols, method: str = "box-cox") -> dict[str, float]:
+    """Maximum-likelihood lambda per feature, to six digits.
 
-    Each round scores a grid of lambdas for all features in one aggregate and zooms in;
-    a parabola through the last three scores gives the rest of the digits.
+    Three passes over the table score ``LAMBDA_POINTS`` lambdas of every feature each, as columns of one aggregate
+    without a shuffle of rows; the top of the parabola through the best three is the middle of the next, narrower
+    range. A feature whose transformed values never differ has no lambda.
     """
     cols = [c for c in cols if c in df.columns]
-    long = melt(df, cols).where("value is not null")
     if method == "box-cox":
         shifts = {c: boxcox_shift(m) for c, m in column_minima(df, cols).items()}
-        pieces = F.create_map(*[F.lit(x) for c in cols for x in (c, shifts[c])])
-        long = long.withColumn("value", F.col("value") + pieces[F.col("feature")])
-        curve, log_term = boxcox_value, F.ln("value")
+        values = {c: F.col(c).cast("double") + shifts[c] for c in cols}
+        curve, log_term = boxcox_value, F.ln
     elif method == "yeo-johnson":
-        curve = yeojohnson_value
-        log_term = F.signum("value") * F.log1p(F.abs("value"))
+        values = {c: F.col(c).cast("double") for c in cols}
+        curve, log_term = yeojohnson_value, lambda v: F.signum(v) * F.log1p(F.abs(v))
     else:
         raise ValueError(f"unknown method: {method!r}")
-    grids = {c: np.linspace(-5.0, 5.0, points) for c in cols}
-    best: dict[str, float] = {}
-    for turn in range(rounds):
-        table = F.create_map(*[x for c in grids for x in (
-            F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
-        tried = long.where(F.col("feature").isin(list(grids))).select(
-            "feature", "value", log_term.alias("lg"), F.explode(table[F.col("feature")]).alias("lam"))
-        scores = tried.groupBy("feature", "lam").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("lg").alias("lg"),
-            F.var_pop(curve(F.col("value"), F.col("lam"))).alias("var")).collect()
-        by_feature: dict[str, list] = {}
-        for r in scores:
-            if r["var"] is not None and r["var"] > 0:
-                like = (r["lam"] - 1) * r["lg"] - r["n"] / 2 * np.log(r["var"])
-                by_feature.setdefault(r["feature"], []).append((r["lam"], like))
-        nxt = {}
-        for c, found in by_feature.items():
-            found.sort()
-            lams, likes = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-            at = int(np.argmax(likes))
-            best[c] = float(lams[at])
-            if 0 < at < len(lams) - 1 and turn == rounds - 1:
-                best[c] = peak(lams[at - 1:at + 2], likes[at - 1:at + 2])
-            step = lams[1] - lams[0] if len(lams) > 1 else 1.0
-            nxt[c] = np.linspace(lams[at] - step, lams[at] + step, points)
-        grids = nxt
+    best = dict.fromkeys(cols, 0.0)
+    for span in LAMBDA_SPANS:
+        grids = {c: best[c] + np.linspace(-span, span, LAMBDA_POINTS) for c in best}
         if not grids:
             break
-    return best
+        found = df.agg(*[F.struct(
+            F.count(values[c]).alias("n"), F.sum(log_term(values[c])).alias("lg"),
+            F.array(*[F.var_pop(curve(values[c], float(lam))) for lam in grid]).alias("var")).alias(f"l{i}")
+            for i, (c, grid) in enumerate(grids.items())]).first()
+        best = {}
+        for i, (c, grid) in enumerate(grids.items()):
+            scored = [((lam - 1) * found[i]["lg"] - found[i]["n"] / 2 * np.log(var), lam)
+                      for lam, var in zip(grid, found[i]["var"], strict=True) if var is not None and var > 0]
+            if scored:
+                likes, lams = map(np.array, zip(*scored, strict=True))
+                at = int(np.argmax(likes))
+                best[c] = peak(lams[at - 1:at + 2], likes[at - 1:at + 2]) if 0 < at < len(lams) - 1 else float(lams[at])
+    return {c: round(lam, 6) for c, lam in best.items()}
 
 
 def peak(x, y) -> float:
@@ -360,8 +351,8 @@ def compare_transforms(df: DataFrame, features, label: str = "label_binary") ->
         "feature": F.split("pair", r"\|")[0], "transform": F.split("pair", r"\|")[1],
         "total_score": F.when(F.col("both"), F.col("total_score")).otherwise(0.0)})
     rank = F.array_position(F.array(*[F.lit(t) for t in TRANSFORMS]), F.col("transform"))
-    # At most five rows per feature.
-    order = Window.partitionBy("feature").orderBy(F.desc("total_score"), rank)
+    # At most five rows per feature; scores alike to nine digits count as equal.
+    order = Window.partitionBy("feature").orderBy(F.desc(F.round("total_score", 9)), rank)
     return table.withColumn("is_best", F.row_number().over(order) == 1).select(
         "feature", "transform", "lambda", "cohens_d", "skewness", "kurtosis", "is_normal_like",
         "density_overlap", "separation_score", "distribution_score", "overlap_score", "total_score", "is_best")

@@ -14,6 +14,7 @@ from flowlens.sources import flows as src, stores
 from flowlens.sources.storage import materialize, scratch_path
 from registry.base import flows, query, scored_flows, table
 from registry.features import rounded
+from registry.profiles import best_sql
 from registry.rules import SCORES
 
 INPUTS = ["Dur", "TotPkts", "TotBytes", "SrcBytes"]
@@ -416,13 +417,13 @@ def csv_report(spark, sf_dir):
     return spark.read.schema("Label string, n long").option("header", True).csv(path)
 
 
-@query("best_transform_store")
+@query("best_transform_store", best_sql(["TotBytes"]))
 def best_transform_store(spark, sf_dir):
     base, f = scratch_path(spark, "best"), scored_flows(spark, sf_dir)
     best = materialize(tr.compare_transforms(f, ["TotBytes"]).where("is_best"), "best")  # read twice, computed once
     data, params = tr.apply_best(f, best)
     stores.save_best_transforms(best, data.select("flow_id", "TotBytes"), tr.params_table(spark, params), base)
-    return spark.read.parquet(f"{base}/data")
+    return rounded(spark.read.parquet(f"{base}/data"), ["TotBytes"])
 
 
 @query("process_flows", """WITH t AS (SELECT flow_id, ln(1 + TotBytes) AS x, ln(1 + Dur) AS y FROM {flows} AS f)

@@ -193,16 +193,50 @@ def boxcox_apply(spark, sf_dir):
     return rounded(out, ["boxcox_TotPkts", "log_case"]).select("flow_id", "boxcox_TotPkts", "log_case")
 
 
-@query("boxcox_transform")
+def boxcox_sql(x: str, lam: str) -> str:
+    return f"CASE WHEN abs({lam}) < {tr.NEAR_ZERO} THEN ln({x}) ELSE (pow({x}, {lam}) - 1) / {lam} END"
+
+
+def yeojohnson_sql(x: str, lam: str) -> str:
+    return f"CASE WHEN {x} >= 0 THEN {boxcox_sql(f'({x} + 1)', lam)} ELSE -({boxcox_sql(f'(1 - {x})', f'(2 - {lam})')}) END"
+
+
+def shift_sql(col: str, source: str) -> str:
+    return f"(SELECT CASE WHEN MIN({col}) <= 0 THEN 1 - MIN({col}) ELSE 0 END FROM {source} AS m)"
+
+
+def lambda_sql(col: str, source: str, yeoj: bool = False) -> str:
+    """The best lambda as a scalar subquery: three nested grids, each around the top of the one before."""
+    lg, curve = ("sign(v) * ln(1 + abs(v))", yeojohnson_sql("v", "lam")) if yeoj else ("ln(v)", boxcox_sql("v", "lam"))
+    values = f"SELECT CAST({col} AS DOUBLE) + {'0' if yeoj else shift_sql(col, source)} AS v FROM {source} AS s0 WHERE {col} IS NOT NULL"
+    top, steps = "0.0", tr.LAMBDA_POINTS - 1
+    for span in tr.LAMBDA_SPANS:
+        top = f"""(SELECT CASE WHEN a IS NULL OR b IS NULL OR a - 2 * y + b >= 0 THEN lam
+          ELSE lam + {2 * span / steps!r} * greatest(-1, least(1, 0.5 * (a - b) / (a - 2 * y + b))) END
+          FROM (SELECT lam, y, lag(y) OVER (ORDER BY lam) AS a, lead(y) OVER (ORDER BY lam) AS b FROM (
+            SELECT lam, (lam - 1) * SUM(lg) - COUNT(*) / 2.0 * ln(var_pop(c)) AS y FROM (
+              SELECT lam, {lg} AS lg, {curve} AS c FROM ({values}) AS v,
+                (SELECT {top} + CAST({span!r} AS DOUBLE) * (2 * j / CAST({steps} AS DOUBLE) - 1) AS lam FROM range({steps + 1}) AS r(j)) AS g)
+            GROUP BY lam HAVING var_pop(c) > 0)) ORDER BY y DESC LIMIT 1)"""
+    return f"round({top}, 6)"
+
+
+@query("boxcox_transform", "SELECT flow_id, " + ", ".join(
+    f"ROUND({boxcox_sql(f'greatest({c} + sh_{c}, {tr.NEAR_ZERO})', f'lam_{c}')}, 6) AS \"boxcox_{c}\"" for c in ("TotBytes", "TotPkts", "SrcBytes"))
+    + " FROM {flows} AS f, (SELECT " + ", ".join(
+        f"{lambda_sql(c, '{flows}')} AS lam_{c}, {shift_sql(c, '{flows}')} AS sh_{c}" for c in ("TotBytes", "TotPkts", "SrcBytes")) + ") AS p")
 def boxcox_transform(spark, sf_dir):
     out, _ = tr.boxcox_transform(flows(spark, sf_dir), ["TotBytes", "TotPkts", "SrcBytes"])
-    return out.select("flow_id", "boxcox_TotBytes", "boxcox_TotPkts", "boxcox_SrcBytes")
+    names = ["boxcox_TotBytes", "boxcox_TotPkts", "boxcox_SrcBytes"]
+    return rounded(out.select("flow_id", *names), names)
 
 
-@query("yeojohnson_transform")
+@query("yeojohnson_transform", f"""SELECT flow_id, ROUND({yeojohnson_sql('CAST(TotBytes AS DOUBLE)', 'lam_b')}, 6) AS "yeoj_TotBytes",
+  ROUND({yeojohnson_sql('CAST(moved AS DOUBLE)', 'lam_m')}, 6) AS yeoj_moved
+FROM {MOVED} AS f, (SELECT {lambda_sql('TotBytes', MOVED, True)} AS lam_b, {lambda_sql('moved', MOVED, True)} AS lam_m) AS p""")
 def yeojohnson_transform(spark, sf_dir):
     out, _ = tr.yeojohnson_transform(moved(spark, sf_dir), ["TotBytes", "moved"])
-    return out.select("flow_id", "yeoj_TotBytes", "yeoj_moved")
+    return rounded(out.select("flow_id", "yeoj_TotBytes", "yeoj_moved"), ["yeoj_TotBytes", "yeoj_moved"])
 
 
 ROBUST = """ROUND((x - quantile_cont(x, 0.5) OVER ()) / COALESCE(NULLIF(quantile_cont(x, 0.75) OVER ()
@@ -261,9 +295,24 @@ def cohens_d(spark, sf_dir):
     return rounded(tr.cohens_d(scored_flows(spark, sf_dir), NUMBERS), ["cohens_d"])
 
 
-@query("density_overlap")
+def overlap_sql(values: str) -> str:
+    """(overlap) of the class densities of ``values`` (x, label_binary): bins and grid as the operator has them."""
+    return f"""(SELECT COALESCE(SUM(part) / NULLIF(SUM(whole), 0), 1) FROM (
+      SELECT (least(y0, y1) + least(lag(y0) OVER o, lag(y1) OVER o)) / 2 AS part, (y0 + y1 + lag(y0) OVER o + lag(y1) OVER o) / 2 AS whole FROM (
+      SELECT j, SUM(d) FILTER (label_binary = 0) AS y0, SUM(d) FILTER (label_binary = 1) AS y1 FROM (
+        SELECT j, label_binary, SUM(c * exp(-0.5 * pow((lo + (hi - lo) * j / {tr.GRID - 1} - b) / w, 2))) / (any_value(n) * any_value(w)) AS d
+        FROM (SELECT label_binary, COUNT(*) AS c, AVG(x) AS b, any_value(lo) AS lo, any_value(hi) AS hi, any_value(n) AS n, any_value(w) AS w FROM (
+          SELECT *, least(floor(CAST({tr.BINS} AS DOUBLE) * (x - lo) / (hi - lo)) + 1, {tr.BINS}) AS bin FROM (
+          SELECT x, label_binary, MIN(x) OVER () AS lo, MAX(x) OVER () AS hi, COUNT(*) OVER k AS n, stddev_samp(x) OVER k * pow(COUNT(*) OVER k, -0.2) AS w
+          FROM {values} AS v WHERE x IS NOT NULL WINDOW k AS (PARTITION BY label_binary))) GROUP BY label_binary, bin),
+        (SELECT CAST(range AS DOUBLE) AS j FROM range({tr.GRID})) GROUP BY j, label_binary) GROUP BY j) WINDOW o AS (ORDER BY j)))"""
+
+
+@query("density_overlap", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, ROUND({overlap_sql(f'(SELECT CAST({c} AS DOUBLE) AS x, label_binary FROM {{scored}} AS s)')}, 6) AS density_overlap"
+    for c in NUMBERS))
 def density_overlap(spark, sf_dir):
-    return tr.density_overlap(scored_flows(spark, sf_dir), NUMBERS)
+    return rounded(tr.density_overlap(scored_flows(spark, sf_dir), NUMBERS), ["density_overlap"])
 
 
 # The score formula over metrics, with a given overlap so that SQL can follow.
@@ -279,16 +328,53 @@ def transform_score(spark, sf_dir):
         "feature", "separation_score", "distribution_score", "total_score")
 
 
-@query("compare_transforms")
+def comparison_sql(features) -> str:
+    """Common tables: ``tried`` (flow_id, label_binary, feature, transform, lam, x) and ``compared``, one row for each transform."""
+    source, selects = "flow", []
+    for c in features:
+        low, x = f"(SELECT least(MIN({c}), 0) FROM flow)", f"CAST({c} AS DOUBLE)"
+        for name, lam, value in (
+                ("original", "CAST(NULL AS DOUBLE)", x), ("log1p", "CAST(NULL AS DOUBLE)", f"ln(1 + {x} - {low})"),
+                ("sqrt", "CAST(NULL AS DOUBLE)", f"sqrt({x} - {low})"),
+                ("boxcox", lambda_sql(c, source), boxcox_sql(f"greatest({x} + {shift_sql(c, source)}, {tr.NEAR_ZERO})", "lam")),
+                ("yeo-johnson", lambda_sql(c, source, True), yeojohnson_sql(x, "lam"))):
+            selects.append(f"SELECT flow_id, label_binary, '{c}' AS feature, '{name}' AS transform, lam, {value} AS x "
+                           f"FROM flow, (SELECT {lam} AS lam) AS p")
+    rows = [f"""SELECT '{c}' AS feature, '{t}' AS transform, any_value(lam) AS lam, {COHEN} AS cohens_d, {SKEW} AS skewness,
+      kurtosis_pop(x) + 3 AS kurtosis, {overlap_sql(f"(SELECT x, label_binary FROM tried WHERE feature = '{c}' AND transform = '{t}')")} AS density_overlap
+      FROM tried WHERE feature = '{c}' AND transform = '{t}'""" for c in features for t in tr.TRANSFORMS]
+    order = ", ".join(f"'{t}'" for t in tr.TRANSFORMS)
+    return f"""WITH flow AS MATERIALIZED (SELECT * FROM {{scored}} AS s), tried AS MATERIALIZED ({' UNION ALL '.join(selects)}),
+metrics AS ({' UNION ALL '.join(rows)}),
+scores AS (SELECT *, ABS(skewness) < 0.5 AND ABS(kurtosis - 3) < 1 AS is_normal_like, least(cohens_d / 2 * 50, 50) AS separation_score,
+  CASE WHEN ABS(skewness) < 0.5 AND ABS(kurtosis - 3) < 1 THEN 30.0 ELSE 0.0 END + CASE WHEN ABS(skewness) < 1 THEN 10.0 ELSE 0.0 END AS distribution_score,
+  (1 - density_overlap) * 20 AS overlap_score FROM metrics),
+compared AS MATERIALIZED (SELECT *, separation_score + distribution_score + overlap_score AS total_score, ROW_NUMBER() OVER (PARTITION BY feature
+  ORDER BY ROUND(separation_score + distribution_score + overlap_score, 9) DESC, list_position([{order}], transform)) = 1 AS is_best FROM scores)
+"""
+
+
+def best_sql(features) -> str:
+    """Every feature under its best transform, then robust scaled."""
+    pivot = ", ".join(f"MAX(x) FILTER (feature = '{c}') AS {c}" for c in features)
+    return comparison_sql(features) + f"SELECT flow_id, " + ", ".join(f'{ROBUST.replace("x", c)} AS "{c}"' for c in features) + (
+        f" FROM (SELECT flow_id, {pivot} FROM tried JOIN compared USING (feature, transform) WHERE is_best GROUP BY flow_id) AS b")
+
+
+@query("compare_transforms", comparison_sql(NUMBERS) + """SELECT feature, transform, lam AS "lambda", ROUND(cohens_d, 6) AS cohens_d,
+  ROUND(skewness, 4) AS skewness, ROUND(kurtosis, 4) AS kurtosis, is_normal_like, ROUND(density_overlap, 6) AS density_overlap,
+  ROUND(separation_score, 4) AS separation_score, distribution_score, ROUND(overlap_score, 4) AS overlap_score,
+  ROUND(total_score, 4) AS total_score, is_best FROM compared""")
 def compare_transforms(spark, sf_dir):
-    return tr.compare_transforms(scored_flows(spark, sf_dir), NUMBERS)
+    out = tr.compare_transforms(scored_flows(spark, sf_dir), NUMBERS)
+    return rounded(rounded(out, ["cohens_d", "density_overlap"]), ["skewness", "kurtosis", "separation_score", "overlap_score", "total_score"], 4)
 
 
-@query("apply_best_transforms")
+@query("apply_best_transforms", best_sql(["TotBytes", "Dur"]))
 def apply_best_transforms(spark, sf_dir):
     f = scored_flows(spark, sf_dir)
     out, _ = tr.apply_best(f, tr.compare_transforms(f, ["TotBytes", "Dur"]))
-    return out.select("flow_id", "TotBytes", "Dur")
+    return rounded(out.select("flow_id", "TotBytes", "Dur"), ["TotBytes", "Dur"])
 
 
 # Columns with every defect the quality report looks for.
