@@ -2,18 +2,24 @@
 
 An approximate summary per group brackets each wanted order statistic; its error is bounded, so the bracket
 surely holds the rank. A counting pass then keeps one row for each value inside a bracket and mere counts
-outside, and running counts find the ranks. Brackets stay in a table that is joined by group; nothing reaches
-the driver, and no group is gathered whole.
+outside. A bracket is cut into ``PIECES`` pieces; running counts over pieces find those that hold a wanted rank,
+and only the values of such a piece are put in order. Brackets stay in a table that is joined by group; nothing
+reaches the driver, and neither a group nor a bracket is gathered whole.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: An approximate rank is off by at most the group's rows divided by this.
 ACCURACY = 10_000
 #: Groups of so few rows are one bracket: their ranks lie too close for approximate ones.
 WHOLE_ROWS = 100_000
+#: Pieces of a bracket, evenly spaced on a logarithmic scale.
+PIECES = 1024
 
 
 def melt(df: DataFrame, columns, keep=()) -> DataFrame:
@@ -30,13 +36,20 @@ def _same(keys: list[str], left: str, right: str) -> Column:
     return test
 
 
+def _spread(value: Column) -> Column:
+    """A scale that rises with the value, finite also for endless ones."""
+    return F.greatest(F.least(F.signum(value) * F.log1p(F.abs(value)), F.lit(710.0)), F.lit(-710.0))
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], extra=(),
-                    accuracy: int = ACCURACY, whole_rows: int = WHOLE_ROWS) -> DataFrame:
+                    accuracy: int = ACCURACY, whole_rows: int = WHOLE_ROWS, few_groups: bool = False) -> DataFrame:
     """Linear-interpolation quantiles per group: keys..., n, q (array, one per prob), and ``extra`` aggregates.
 
     NULL and NaN do not count; q is NULL where nothing counts. Equal neighbours give their value, also infinite
-    ones.
+    ones. ``few_groups`` says that the groups are few by their kind, such as one for each column of a table: what is
+    known of them is then broadcast, and rows do not move to meet it. Without keys that is always so.
     """
+    small = F.broadcast if few_groups or not keys else (lambda table: table)
     probs = [float(p) for p in probs]
     names = keys or ["_all"]
     v = F.col(value).cast("double")
@@ -48,31 +61,45 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     rising, margin = sorted(set(probs)), 2.0 / accuracy
     lows, highs = [max(p - margin, 0.0) for p in rising], [min(p + margin, 1.0) for p in rising]
     summary = F.percentile_approx("_v", F.array(*map(F.lit, [*lows, *highs])), accuracy)
-    groups = data.groupBy(*names).agg(F.count("_v").alias("n"), summary.alias("_c"), *extra)
+    groups = data.groupBy(*names).agg(F.count("_v").alias("n"), summary.alias("_c"), F.min("_v").alias("_min"),
+                                      F.max("_v").alias("_max"), *extra)
     # Where a group has fewer rows than the summary tells apart, a bracket would be narrower than a rank.
-    few, inf = F.col("n") <= max(whole_rows, 10 * accuracy), F.lit(float("inf"))
-    low = F.array(*[-inf if p == 0 else F.col("_c")[i] for i, p in enumerate(lows)])
-    high = F.array(*[inf if p == 1 else F.col("_c")[len(rising) + i] for i, p in enumerate(highs)])
+    few, least, most = F.col("n") <= max(whole_rows, 10 * accuracy), F.col("_min"), F.col("_max")
+    low = F.array(*[least if p == 0 else F.col("_c")[i] for i, p in enumerate(lows)])
+    high = F.array(*[most if p == 1 else F.col("_c")[len(rising) + i] for i, p in enumerate(highs)])
     at = F.array(*[F.lit(p) * (F.col("n") - 1) for p in probs])
     ranks = F.array_distinct(F.flatten(F.transform("_at", lambda a: F.array(F.floor(a), F.ceil(a)))))
-    groups = (groups.withColumn("_los", F.when(few, F.array(-inf)).otherwise(low))
-              .withColumn("_his", F.when(few, F.array(inf)).otherwise(high))
+    groups = (groups.withColumn("_los", F.when(few, F.array(least)).otherwise(low))
+              .withColumn("_his", F.when(few, F.array(most)).otherwise(high))
               .withColumn("_at", at).withColumn("_ranks", ranks))
 
     # Second pass: one row for each value inside a bracket, one for each stretch between them.
     brackets = groups.select(*names, "_los", "_his", "_ranks")
+    below = [F.coalesce((F.get("_his", F.lit(i)) < F.col("_v")).cast("int"), F.lit(0)) for i in range(len(rising))]
+    # A plain sum is compiled, a lambda is not; many brackets would make it too long.
+    slot = functools.reduce(operator.add, below) if len(below) <= 16 else F.expr("size(filter(_his, h -> h < _v))")
     rows = (data.select(*names, "_v").where("_v IS NOT NULL").alias("d")
-            .join(brackets.alias("b"), _same(names, "d", "b"))
-            .select(*[F.col(f"d.{k}") for k in names], "_v", "_los", F.expr("size(filter(_his, h -> h < _v))").alias("_slot")))
+            .join(small(brackets).alias("b"), _same(names, "d", "b"))
+            .select(*[F.col(f"d.{k}") for k in names], "_v", "_los", "_his", slot.alias("_slot")))
+    begin, end = _spread(F.try_element_at("_los", F.col("_slot") + 1)), _spread(F.try_element_at("_his", F.col("_slot") + 1))
     inside = F.coalesce(F.col("_v") >= F.try_element_at("_los", F.col("_slot") + 1), F.lit(False))
-    counts = (rows.groupBy(*names, "_slot", F.when(inside, F.col("_v")).alias("_value"))
+    piece = F.when(end > begin, F.least(F.floor((_spread(F.col("_v")) - begin) / (end - begin) * PIECES), F.lit(PIECES - 1))).otherwise(0)
+    counts = (rows.groupBy(*names, "_slot", F.when(inside, piece).otherwise(-1).cast("int").alias("_piece"),
+                           F.when(inside, F.col("_v")).alias("_value"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    order = Window.partitionBy(*names).orderBy("_slot", F.asc_nulls_first("_value")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ends = counts.withColumn("_upto", F.sum("_n").over(order))
+
+    # At most PIECES + 1 rows a bracket are put in order for a group, then the values of the pieces that are hit.
+    upto = Window.partitionBy(*names).orderBy("_slot", "_piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = (counts.groupBy(*names, "_slot", "_piece").agg(F.sum("_n").alias("_n")).withColumn("_upto", F.sum("_n").over(upto)))
     hit = F.filter("_ranks", lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_n")))
-    found = (ends.alias("e").join(groups.select(*names, "_ranks").alias("g"), _same(names, "e", "g"))
-             .select(*[F.col(f"e.{k}") for k in names], "_value", F.explode(hit).alias("_rank")))
+    sought = (pieces.alias("e").join(small(groups.select(*names, "_ranks")).alias("g"), _same(names, "e", "g"))
+              .select(*[F.col(f"e.{k}") for k in names], "_slot", "_piece", (F.col("_upto") - F.col("_n")).alias("_before"),
+                      hit.alias("_ranks")).where(F.size("_ranks") > 0))
+    order = Window.partitionBy(*names, "_slot", "_piece").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = (counts.alias("c").join(small(sought).alias("s"), _same([*names, "_slot", "_piece"], "c", "s"))
+              .select(*[F.col(f"c.{k}") for k in (*names, "_slot", "_piece", "_value", "_n")], "_before", "_ranks")
+              .withColumn("_upto", F.col("_before") + F.sum("_n").over(order)))
+    found = within.select(*names, "_value", F.explode(hit).alias("_rank"))
     value_of = F.when(F.col("_value").isNull(), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(F.col("_value"))
     ranked = found.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_rank", value_of.alias("x")))).alias("_m"))
 
@@ -80,8 +107,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         x, y = F.element_at("_m", F.floor(a)), F.element_at("_m", F.ceil(a))
         return F.when(x == y, x).otherwise(x + (y - x) * (a - F.floor(a)))
 
-    added = [c for c in groups.columns if c not in (*names, "n", "_c", "_los", "_his", "_at", "_ranks")]
-    return (groups.alias("g").join(ranked.alias("r"), _same(names, "g", "r"), "left")
+    added = [c for c in groups.columns if c not in (*names, "n", "_c", "_min", "_max", "_los", "_his", "_at", "_ranks")]
+    return (groups.alias("g").join(small(ranked).alias("r"), _same(names, "g", "r"), "left")
             .select(*[F.col(f"g.{k}") for k in keys], "n", F.when(F.col("n") > 0, F.transform("_at", between)).alias("q"),
                     *added))
 

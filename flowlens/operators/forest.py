@@ -147,7 +147,7 @@ class ForestModel:
         shares = contamination if isinstance(contamination, dict) else {g: contamination for g in groups}
         wanted = sorted(set(shares.values()))
         rows = scored.select(group.alias("grp"), raw).where(F.col(raw).isNotNull())
-        for r in exact_quantiles(rows, ["grp"], raw, wanted).collect():
+        for r in exact_quantiles(rows, ["grp"], raw, wanted, few_groups=True).collect():
             self.offsets[r["grp"]] = r["q"][wanted.index(shares[r["grp"]])]
         self.contamination = shares
         return self

@@ -41,7 +41,7 @@ def time_range(df: DataFrame, time: str = "StartTime") -> DataFrame:
 def long_tail(df: DataFrame, features=None, **kw) -> DataFrame:
     """Shape of each feature's distribution; kurtosis of a normal distribution is 3."""
     features = [f for f in (features or SKEWED_FEATURES) if f in df.columns]
-    found = exact_quantiles(melt(df, features), ["feature"], "value", [0.5, 0.25, 0.75, 0.95, 0.99], extra=[
+    found = exact_quantiles(melt(df, features), ["feature"], "value", [0.5, 0.25, 0.75, 0.95, 0.99], few_groups=True, extra=[
         F.skewness("value").alias("skewness"), (F.kurtosis("value") + 3).alias("kurtosis"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")], **kw)
     q = F.col("q")

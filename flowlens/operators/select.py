@@ -47,7 +47,7 @@ def correlation_pairs(df: DataFrame, cols, threshold: float = 0.98) -> DataFrame
     """Pairs (feature_i before feature_j in the given order) with |r| above the threshold."""
     cols = list(cols)
     typed = df.select(*[finite(F.col(c)).alias(c) for c in cols])
-    found = exact_quantiles(melt(typed, cols), ["feature"], "value", [0.5]).collect()
+    found = exact_quantiles(melt(typed, cols), ["feature"], "value", [0.5], few_groups=True).collect()
     medians = {r["feature"]: (r["q"] or [0.0])[0] for r in found}
     filled = typed.select(*[F.coalesce(c, F.lit(medians[c])).alias(c) for c in cols])
     vectors = VectorAssembler(inputCols=cols, outputCol="v").transform(filled).select("v")

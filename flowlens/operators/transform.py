@@ -140,7 +140,7 @@ def robust_fit(df: DataFrame, cols, centering: bool = True, scaling: bool = True
     """Median and IQR per column; a zero IQR scales by 1, missing values are ignored."""
     require(df, cols)
     typed = df.select(*[finite(F.col(c)).alias(c) for c in cols])
-    found = exact_quantiles(melt(typed, cols), ["feature"], "value", [0.25, 0.5, 0.75], **kw).collect()
+    found = exact_quantiles(melt(typed, cols), ["feature"], "value", [0.25, 0.5, 0.75], few_groups=True, **kw).collect()
     params = {}
     for r in found:
         q25, q50, q75 = r["q"] or (0.0, 0.0, 1.0)

@@ -57,6 +57,28 @@ def test_quantiles_of_many_groups(spark):
     assert out.where(F.col("q")[0] == (F.col("g") + 200_000) * 3).count() == 200_000
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_quantiles_of_wide_and_endless_values(spark, few):
+    """Values over many orders of magnitude, both signs, repeats and endless ones, in brackets cut into pieces."""
+    rng = np.random.default_rng(1)
+    rows = [("e", float("inf")), ("e", 1.0), ("a", None), ("a", float("nan")), ("d", None), ("c", float("inf")), ("c", float("-inf"))]
+    for g, n in (("a", 3000), ("b", 1), ("c", 9000), (None, 2000)):
+        wide = rng.lognormal(3, 4, n // 2) * rng.choice([-1, 1], n // 2)
+        rows += [(g, float(v)) for v in [*wide, *rng.integers(0, 5, n - n // 2)]]
+    data = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = [0, 0.001, 0.25, 0.5, 0.5, 0.9, 0.999, 1]
+    got = {r["g"]: r for r in exact_quantiles(data, ["g"], "v", probs, accuracy=300, whole_rows=10, few_groups=few).collect()}
+    assert got["d"]["n"] == 0 and got["d"]["q"] is None
+    for g in ("a", "b", "c", None, "e"):
+        x = sorted(v for k, v in rows if k == g and v is not None and v == v)
+        assert got[g]["n"] == len(x)
+        for p, q in zip(probs, got[g]["q"], strict=True):
+            at = p * (len(x) - 1)
+            low, high = x[int(at)], x[-int(-at // 1)]
+            want = low if low == high else low + (high - low) * (at - int(at))
+            assert q == pytest.approx(want, rel=1e-9, nan_ok=True)
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert exact_quantile(empty, "v", 0.5) is None
