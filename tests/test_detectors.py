@@ -191,6 +191,21 @@ def test_boosted_in_many_tasks_is_the_same(spark, cloud, monkeypatch, tmp_path):
         "abs(probability - p) > 1e-12").count() == 0
 
 
+def test_boosted_level_is_one_job(spark, cloud, monkeypatch):
+    """Beyond one task a level costs one job of one stage, and margins are not written for every few trees."""
+    monkeypatch.setattr(boosted, "ONE_TASK_ROWS", 0)
+    monkeypatch.setattr(boosted, "TASK_ROWS", 500)
+    df = cloud.withColumn("label_binary", (F.col("a") + 0.3 * F.col("b") > 0.3).cast("int"))
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for trees in (2, 12):
+        group = f"boosted-{trees}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert len(boosted.fit_boosted(df, COLUMNS, iterations=trees, max_depth=2).trees) == trees
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] - jobs[0] <= 10 * 2
+
+
 def test_boosted_splits_are_the_best(spark):
     """One tree of one level against all cuts; importances against its gain; early stopping ends on noise."""
     rng = np.random.default_rng(2)
