@@ -1,9 +1,10 @@
-"""Near duplicates by exact Jaccard similarity of five-word shingles, found through MinHash bands.
+"""Near duplicates by exact Jaccard similarity of five-word shingles, found through SimHash fingerprints and MinHash bands.
 
-Texts of equal shingle sets count as one. Sets that agree in a band of MinHashes are candidates: 20 bands of 6
-find a pair of similarity 0.8 with a chance of 0.998, one of 0.85 with 0.9999. Candidates are verified by the
-shingles themselves, which are hashed once for all sets that have a candidate. First every set meets one other of each
-of its bands; then sets of a band that are still in different components meet all of a small band, and about ``LEADERS``
+Texts of equal shingle sets count as one. Fingerprints are searched in BK-trees as ``simhash_dedup`` does; the links
+found there are candidates. At 0.8 most pairs differ in more bits than a search can reach, so sets that agree in a band
+of MinHashes are candidates too: 20 bands of 6 find a pair of similarity 0.8 with a chance of 0.998, one of 0.85 with
+0.9999. Candidates are verified by the shingles themselves, which are hashed once for all sets that have a candidate.
+First every set meets those its fingerprint is linked to and one other of each of its bands; then sets of a band that are still in different components meet all of a small band, and about ``LEADERS``
 random members of a large one. That joins a large group of near copies. Sets of large bands that are still apart are
 then compared exactly: two similar sets share one of their rarest shingles, so those with a rare shingle in common meet,
 all at once where such pairs are few, else in rounds of ever more leaders until every pair of different components with
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from flowlens.llm.common import materialize, small_enough, text_of
 from flowlens.llm.components import components
-from flowlens.llm.simhash_dedup import SEED, one_of_each
+from flowlens.llm.simhash_dedup import RADIUS, SEED, SHARD_LIMIT, fingerprint, one_of_each, search
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -70,16 +71,18 @@ def _set_id(hashes: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, h (hash of the text), s (hash of the shingle set) and band keys of every row."""
+    """doc_id, h (hash of the text), s (hash of the shingle set), fingerprint and band keys of every row."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_hashes(x) for x in b.column(2).to_pylist()]
+            texts = b.column(2).to_pylist()
+            sets = [shingle_hashes(x) for x in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([_set_id(x) for x in sets], pa.int64()),
-                 pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "h", "s", "keys"])
+                 pa.array(np.array([fingerprint(x) for x in texts], "u8").view("i8")),
+                 pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "h", "s", "fp", "keys"])
 
     return (docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("h"), text_of().cast("binary"))
-            .mapInArrow(sketch, "doc_id long, h long, s long, keys array<long>"))
+            .mapInArrow(sketch, "doc_id long, h long, s long, fp long, keys array<long>"))
 
 
 def shingle_data(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -189,6 +192,20 @@ def led(apart: DataFrame, leaders: int, least: float | None = None) -> DataFrame
             .select(F.greatest("m.s", "l.s").alias("a"), F.least("m.s", "l.s").alias("b")).distinct())
 
 
+def fingerprint_pairs(rows: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
+    """(a, b): different sets of ``rows`` (s, fp) whose fingerprints the BK-trees link, or that share a fingerprint.
+
+    Of the sets of one fingerprint the smallest stands for it, so pairs grow with the sets.
+    """
+    held = materialize(rows.select("fp", "s").distinct(), "fingerprints")
+    first = materialize(held.groupBy("fp").agg(F.min("s").alias("s")), "distinct")
+    links = search(first.select("fp"), radius, limit)
+    heads = [first.select(F.col("fp").alias(f"fp_{k}"), F.col("s").alias(k)) for k in "ab"]
+    linked = links.select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b")).join(heads[0], "fp_a").join(heads[1], "fp_b")
+    equal = held.withColumnRenamed("s", "a").join(first.withColumnRenamed("s", "b"), "fp")
+    return linked.select("a", "b").unionByName(equal.select("a", "b")).where("a <> b").distinct()
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, leaders: int = LEADERS) -> DataFrame:
     """doc_id, h and least of every row: least is the smallest (no id, doc_id, h) of the row's component.
 
@@ -203,8 +220,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, leaders: int = LEAD
     bands = materialize(members.groupBy("key").agg(F.count("*").alias("size"), F.min_by("s", F.xxhash64("s", "key")).alias("b"))
                         .where("size > 1"), "bands")
     shared = materialize(members.join(bands, "key"), "shared")
-    data = shingle_data(docs, texts.join(shared.select("s").distinct(), "s", "left_semi"))
-    pairs = materialize(shared.where("s <> b").select(F.col("s").alias("a"), "b").distinct(), "pairs")
+    near = materialize(fingerprint_pairs(rows), "near")
+    met = shared.select("s").union(near.select("a")).union(near.select("b")).distinct()
+    data = shingle_data(docs, texts.join(met, "s", "left_semi"))
+    pairs = materialize(shared.where("s <> b").select(F.col("s").alias("a"), "b").unionByName(near).distinct(), "pairs")
     root = components(materialize(verified(data, pairs, similarity), "links"))
 
     apart = still_apart(shared.drop("b"), root)

@@ -187,15 +187,18 @@ def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Da
     return plain.unionByName(dealt)
 
 
+def search(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
+    """(a, b): links that join the different fingerprints of ``fps`` (fp) as all pairs within the radius would."""
+    return (shards(fps, radius, limit).repartition("shard").sortWithinPartitions("shard", "fp")
+            .mapInArrow(lambda it: _search(it, radius), "a long, b long"))
+
+
 def classes(docs: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
     """doc_id, h, fp and least of every row: least is the smallest (no id, doc_id, h) of the row's component."""
     rows = materialize(fingerprints(docs), "fingerprints")
     own = F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "h")
     fps = materialize(rows.groupBy("fp").agg(F.min(own).alias("least")), "distinct")
-    found = shards(fps.select("fp"), radius, limit)
-    links = (found.repartition("shard").sortWithinPartitions("shard", "fp")
-             .mapInArrow(lambda it: _search(it, radius), "a long, b long"))
-    roots = components(links)
+    roots = components(search(fps.select("fp"), radius, limit))
     joined = (fps.join(roots, fps["fp"] == roots["a"], "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     least = joined.groupBy("root").agg(F.min("least").alias("least"))

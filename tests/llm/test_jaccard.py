@@ -104,3 +104,22 @@ def test_hard_rows(spark, hard, empty):
     assert jaccard_dedup.deduplicate(empty).count() == 0
     named = hard.select("doc_id", "text", F.lit(1).alias("_id"), F.lit("x").alias("_h"), F.lit(2).alias("least"), F.lit(3).alias("s"))
     assert jaccard_dedup.deduplicate(named).columns == named.columns and jaccard_dedup.deduplicate(named).count() == 6
+
+
+def test_fingerprints_are_searched(spark, monkeypatch):
+    """The stage's candidates hold the links of the BK-trees: joined they are the groups of all pairs within the radius."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = jaccard_dedup.sketches(docs).collect()
+    fps, sets = sorted({r.fp for r in rows}), sorted({r.s for r in rows})
+    at = {s: i for i, s in enumerate(sets)}
+    close = [(a, b) for a, b in combinations(fps, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= jaccard_dedup.RADIUS]
+    of = defaultdict(list)
+    for r in rows:
+        of[r.fp].append(at[r.s])
+    want = [(x, of[a][0]) for a in of for x in of[a]] + [(of[a][0], of[b][0]) for a, b in close]
+    found = jaccard_dedup.fingerprint_pairs(spark.createDataFrame(rows)).collect()
+    assert groups(range(len(sets)), [(at[r.a], at[r.b]) for r in found]) == groups(range(len(sets)), want)
+    search, asked = jaccard_dedup.search, []
+    monkeypatch.setattr(jaccard_dedup, "search", lambda *a: asked.append(a) or search(*a))
+    assert {r.doc_id for r in jaccard_dedup.deduplicate(docs).collect()} == kept_by_brute_force(docs.collect())
+    assert asked
