@@ -26,6 +26,7 @@ def describe_numeric(df: DataFrame, columns=None, by=(), key: str = "flow_id", *
     """count, mean, std, min, quartiles and max per numeric column (and group)."""
     columns = columns or [c for c in numeric_columns(df) if c != key and c not in by]
     long = melt(df, columns, by)
+    kw.setdefault("few_groups", not by)  # one for each column
     found = exact_quantiles(long, [*by, "feature"], "value", [0.25, 0.5, 0.75], extra=[
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max")], **kw)

@@ -189,3 +189,18 @@ def test_scores_missing_are_never_flagged(spark):
     df = spark.createDataFrame([(1, 5.0), (2, None), (3, 1.0)], "flow_id int, anomaly_score double")
     got = {r["flow_id"]: r["y_pred"] for r in thresholds.flag_top(df, frac=0.5).collect()}
     assert got == {1: 1, 2: 0, 3: 0}
+
+
+def test_describe_moves_no_rows_to_their_column(spark):
+    """One group for each column: what is known of a column is broadcast, rows are not sorted by their column."""
+    from flowlens.operators.profile import describe_numeric
+
+    df = spark.createDataFrame([(i, float(i % 7), float(i)) for i in range(100)], "flow_id long, a double, b double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = describe_numeric(df, ["a", "b"])
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert {r["feature"]: (r["count"], r["q50"]) for r in out.collect()} == {"a": (100, 3.0), "b": (100, 49.5)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
