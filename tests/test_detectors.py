@@ -126,6 +126,29 @@ def test_lof_over_many_rings(spark, cloud, monkeypatch):
     assert visited < 0.6 * len(x) * len(rings)
 
 
+def test_lof_sends_a_query_once_to_a_block(spark, monkeypatch):
+    """In many dimensions most rings stay open: rows sent grow with blocks, not rings, and training rows are searched once."""
+    for name, value in {"RING": 20, "VISITS": 64, "PIVOTS": 12, "NUMBERS": 24 * 100, "SENT": 24 * 7, "CELLS": 500, "FEW_VISITS": 1}.items():
+        monkeypatch.setattr(neighbors, name, value)
+    sent, write = [], neighbors.materialize
+
+    def counted(df, name="stage"):
+        out = write(df, name)
+        if name == "visits":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbors, "materialize", counted)
+    x = np.random.default_rng(11).normal(0, 1, (600, 24))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "flow_id long, v array<double>")
+    model = neighbors.fit_lof(df.where("flow_id < 500"), "v", 10)
+    blocks, rings = len(set(model.space.blocks)), len(model.space.rings)
+    assert blocks < rings / 3 and sum(sent) <= 500 * (blocks + 2)
+    assert len(sent) == 2 and model.transform(df.where("flow_id < 500")).count() == 500 and len(sent) == 2
+    scored = model.transform(df).orderBy("flow_id").toPandas()
+    assert np.allclose(scored.raw_score, brute_lof(x[:500], x, 10))
+
+
 def test_lof_is_stored_whole(spark, cloud, tmp_path):
     model = neighbors.fit_lof(cloud, COLUMNS, 5).fit_offset(cloud, 0.1)
     model.save(str(tmp_path / "lof"))
