@@ -185,6 +185,26 @@ def test_one_class_objective_improves(cloud):
     assert long @ long <= short @ short + 1e-9
 
 
+def test_one_class_scores_rows_once_a_step(spark, cloud, monkeypatch):
+    """A step makes features of all rows once and of the nu share once more, few rows at a time."""
+    at = np.random.default_rng(4).uniform(-2_000, 2_000, (50, 40))
+    assert np.abs(oneclass.cosine_of_double(at / 2) - np.cos(at)).max() < 1e-14
+    made, fourier = spark.sparkContext.accumulator(0), oneclass.fourier
+
+    def counted(*args):
+        for z in fourier(*args):
+            made.add(len(z))
+            yield z
+
+    monkeypatch.setattr(oneclass, "fourier", counted)
+    model = oneclass.fit_oneclass(cloud, COLUMNS, steps=3)
+    assert made.value <= 2_000 * (1 + 3 * 1.11 + 1)
+    x = np.array([[r[c] for c in COLUMNS] for r in cloud.orderBy("flow_id").limit(50).collect()])
+    want = np.cos(x @ model.directions + model.phases) * np.sqrt(2 / 256) @ model.weights - model.rho
+    got = [r["raw_score"] for r in model.transform(cloud).orderBy("flow_id").limit(50).collect()]
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
 def test_boosted(spark, cloud):
     df = cloud.withColumn("label_binary", (F.col("a") > 0.3).cast("int"))
     model = boosted.fit_boosted(df, COLUMNS, iterations=5, max_depth=3)
