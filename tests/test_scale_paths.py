@@ -204,3 +204,12 @@ def test_describe_moves_no_rows_to_their_column(spark):
         assert {r["feature"]: (r["count"], r["q50"]) for r in out.collect()} == {"a": (100, 3.0), "b": (100, 49.5)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_brackets_of_quantiles_are_made_once(spark, capsys):
+    """A summary made again may give other brackets, whose pieces then miss the wanted rank; the plan must not hold one."""
+    df = spark.range(0, 300_000, numPartitions=6).select(F.sqrt("id").alias("v"))
+    found = exact_quantiles(df, [], "v", [0.1])
+    found.explain()
+    assert "percentile_approx" not in capsys.readouterr().out
+    assert found.first()["q"][0] == pytest.approx(np.quantile(np.sqrt(np.arange(300_000)), 0.1))
