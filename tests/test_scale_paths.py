@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from flowlens.functions.ordering import running_sums
-from flowlens.functions.quantiles import exact_quantile, exact_quantiles
-from flowlens.operators import forest, sampling, thresholds, windows
+from flowlens.functions.quantiles import column_quantiles, exact_quantile, exact_quantiles
+from flowlens.operators import forest, sampling, select, thresholds, transform, windows
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
 
@@ -213,3 +213,34 @@ def test_brackets_of_quantiles_are_made_once(spark, capsys):
     found.explain()
     assert "percentile_approx" not in capsys.readouterr().out
     assert found.first()["q"][0] == pytest.approx(np.quantile(np.sqrt(np.arange(300_000)), 0.1))
+
+
+@pytest.mark.parametrize("chunk_values, points", [(4_000_000, 1024), (20_000, 64), (3_000, 16), (50, 1)])
+def test_quantiles_of_columns_equal_numpy(spark, chunk_values, points):
+    """Heavy values, gaps, endless values and a narrow range; chunks of every size, also some that end in a batch."""
+    rng, n = np.random.default_rng(11), 25_000
+    columns = {
+        "wide": rng.lognormal(0, 8, n) * rng.choice([-1, 1], n), "hours": rng.integers(0, 24, n).astype(float),
+        "one": np.full(n, 3.5), "narrow": 1.7e9 + rng.random(n) * 1e-3, "zeros": rng.choice([-0.0, 0.0, 1.0], n, p=[0.4, 0.5, 0.1]),
+        "gaps": np.where(rng.random(n) < 0.7, np.nan, rng.random(n)), "rising": np.arange(n) / 7,
+        "endless": rng.choice([-np.inf, -1.0, 2.0, np.inf], n)}
+    rows = [(*(None if np.isnan(v) and i % 2 else float(v) for v in r), None) for i, r in enumerate(zip(*columns.values()))]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in (*columns, "empty"))).repartition(5).cache()
+    got = column_quantiles(df, [*columns, "empty"], [0.5, 0.0, 0.25, 0.8131, 1.0], chunk_values, points)
+    assert list(got) == [*columns, "empty"] and got["empty"] is None
+    for c, v in columns.items():
+        v = np.sort(v[~np.isnan(v)])
+        for q, p in zip(got[c], [0.5, 0.0, 0.25, 0.8131, 1.0], strict=True):
+            a = p * (len(v) - 1)
+            x, y = v[int(np.floor(a))], v[int(np.ceil(a))]
+            assert q == (x if x == y else x + (y - x) * (a - np.floor(a))) and str(q) != "-0.0"
+    assert column_quantiles(df.where("false"), ["wide"], [0.5]) == {}
+
+
+def test_fits_over_columns_do_not_melt_the_table(spark, monkeypatch):
+    df = spark.range(3_000).selectExpr("id AS flow_id", "id % 97 AS a", "sqrt(id) AS b", "CAST(id % 97 AS DOUBLE) * 2 AS c")
+    monkeypatch.setattr(type(df), "unpivot", lambda *_: pytest.fail("a row for each cell of the table"))
+    params = transform.robust_fit(df, ["a", "b"])
+    b = np.sqrt(np.arange(3_000))
+    assert params["b"] == (np.quantile(b, 0.5), pytest.approx(np.quantile(b, 0.75) - np.quantile(b, 0.25)))
+    assert [(r.feature_i, r.feature_j) for r in select.correlation_pairs(df, ["a", "b", "c"]).collect()] == [("a", "c")]
