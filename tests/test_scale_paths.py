@@ -244,3 +244,15 @@ def test_fits_over_columns_do_not_melt_the_table(spark, monkeypatch):
     b = np.sqrt(np.arange(3_000))
     assert params["b"] == (np.quantile(b, 0.5), pytest.approx(np.quantile(b, 0.75) - np.quantile(b, 0.25)))
     assert [(r.feature_i, r.feature_j) for r in select.correlation_pairs(df, ["a", "b", "c"]).collect()] == [("a", "c")]
+
+
+def test_a_task_walks_the_trees_once_for_a_row(spark):
+    """Also where a filter asks for the score: a second walk takes a second Python worker of the same task."""
+    df = spark.range(600).selectExpr("id AS flow_id", "CAST(id % 17 AS DOUBLE) AS a", "sqrt(id) AS b", "IF(id % 3 = 0, 'tcp', 'udp') AS g")
+    model = forest.fit_forest(df, ["a", "b"], group="g", trees=5)
+    scored = model.transform(df)
+    stats = forest.group_score_stats(scored, "g")
+    assert stats._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    plain = scored.toPandas().groupby("g").raw_score
+    for r in stats.collect():
+        assert (r["mean"], r["std"]) == (pytest.approx(-plain.mean()[r["g"]]), pytest.approx(plain.std(ddof=0)[r["g"]]))
