@@ -32,8 +32,9 @@ def test_forest_of_a_training_split(rows, group, bootstrap):
     assert found.transform(train).where("raw_score IS NULL").count() == 0
 
 
-def test_split_of_few_strata_moves_no_rows(rows):
-    """The cuts of a 0/1 label are broadcast: rows stay in their tasks, and the split is the same."""
+def test_split_of_few_strata_moves_no_rows(rows, monkeypatch):
+    """The cuts of a 0/1 label are broadcast: rows of a large table stay in their tasks, and the split is the same."""
+    monkeypatch.setattr(sampling, "MOVED_ROWS", 100)
     spread = rows.repartition(6)
     moved = sampling.split(spread, "flow_id", "label_binary", 0.2, 0.2)
     stays = sampling.split(spread, "flow_id", "label_binary", 0.2, 0.2, few_strata=True)
